@@ -195,6 +195,245 @@ def q_symbol_snapshot_onepass(spark, sf):
     return marts.symbol_snapshot_onepass(feats(spark, sf))
 
 
+# ---------------------------------------------------------------- messages
+from barlake.operators import normalize as norm  # noqa: E402
+
+CANON_SQL = """
+SELECT event_id AS msg_id, lower(upper(event_type)) AS symbol, event_id AS trade_id, value AS price,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
+       CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS trade_time,
+       (user_id % 2 = 0) AS is_buyer_maker
+FROM events"""
+
+
+@register("normalize_trades", f"""
+SELECT * REPLACE (round(price, 6) AS price, round(quantity, 6) AS quantity) FROM ({CANON_SQL}
+WHERE event_type <> 'error' AND event_id % 101 <> 0) q""")
+def q_normalize_trades(spark, sf):
+    """Envelope unwrap, trade filter, canonical projection of raw messages."""
+    msgs = fx.messages_from_events(fx.table(spark, sf, "events"))
+    return norm.normalize_trades(msgs, keep=("msg_id",), with_ingest_time=False)
+
+
+@register("normalize_rejects", """
+SELECT event_id AS msg_id, 'malformed' AS reason FROM events WHERE event_id % 101 = 0""")
+def q_normalize_rejects(spark, sf):
+    """Q8, Q9: unreadable messages go to a reject set with a reason."""
+    msgs = fx.messages_from_events(fx.table(spark, sf, "events"))
+    return norm.normalize_rejects(msgs, keep=("msg_id",)).select("msg_id", "reason")
+
+
+@register("trade_messages", O.with_ctes(O.TRADES_CTE, body="""
+SELECT symbol AS key,
+       to_json({'symbol': symbol, 'trade_id': trade_id, 'price': price, 'quantity': quantity,
+                'trade_time': trade_time, 'is_buyer_maker': is_buyer_maker}) AS value
+FROM trades"""))
+def q_trade_messages(spark, sf):
+    """A2: keyed JSON records of normalised trades (key = symbol)."""
+    return norm.encode_trades(trades(spark, sf).drop("ingest_time"))
+
+
+@register("decode_trades", O.with_ctes(O.TRADES_CTE, body="""
+SELECT symbol, trade_id, round(price, 6) AS price, round(quantity, 6) AS quantity, trade_time,
+       is_buyer_maker, epoch_ms(trade_time) AS event_ts
+FROM trades"""))
+def q_decode_trades(spark, sf):
+    """Bus records (bytes) -> typed trades with event time from epoch ms."""
+    records = norm.encode_trades(trades(spark, sf)).select(F.col("value").cast("binary").alias("value"))
+    return norm.decode_trades(records).drop("ingest_time")
+
+
+# ---------------------------------------------------------------- lake
+from barlake.sources import lake  # noqa: E402
+from barlake.session import scratch_path  # noqa: E402
+
+BARS_SQL = O.with_ctes(*O.CHAIN_BARS, body="SELECT * FROM bars", doubles=BAR_DOUBLES)
+
+
+@register("lake_roundtrip", BARS_SQL)
+def q_lake_roundtrip(spark, sf):
+    """Bars written partitioned by symbol and scanned back (symbol from the path)."""
+    path = scratch_path(spark, "lake")
+    lake.write_bars(bars(spark, sf), path)
+    return lake.scan_lake(spark, path)
+
+
+@register("raw_table_refresh", BARS_SQL)
+def q_raw_table_refresh(spark, sf):
+    """Full refresh of raw.ohlcv_10s, read back as a table."""
+    return lake.refresh_raw_table(spark, bars(spark, sf))
+
+
+@register("load_audit", O.with_ctes(*O.CHAIN_BARS, body="""
+SELECT count(*) AS rows, count(DISTINCT symbol) AS symbols FROM bars"""))
+def q_load_audit(spark, sf):
+    """Row and symbol count of the loaded bars."""
+    return lake.load_audit(bars(spark, sf))
+
+
+# ---------------------------------------------------------------- serving
+from barlake.operators import serving  # noqa: E402
+
+SERIES_COLS = ", ".join(serving.BAR_SERIES)
+SERIES_DOUBLES = tuple(c for c in serving.BAR_SERIES if c != "window_start")
+
+
+@register("symbol_bars", O.with_ctes(*O.CHAIN_FEATS, body=f"""
+SELECT * FROM (SELECT {SERIES_COLS} FROM feats WHERE symbol = lower('VIEW')
+               ORDER BY window_start DESC LIMIT 300) ORDER BY window_start""",
+                                     doubles=SERIES_DOUBLES))
+def q_symbol_bars(spark, sf):
+    """Last 300 bars of one symbol (upper-case input), ascending."""
+    return serving.symbol_bars(feats(spark, sf), "VIEW", 300)
+
+
+@register("symbols", O.with_ctes(*O.CHAIN_FEATS, body="SELECT DISTINCT symbol FROM feats ORDER BY symbol"))
+def q_symbols(spark, sf):
+    """Distinct symbols, sorted."""
+    return serving.symbols(feats(spark, sf))
+
+
+@register("kpi_tiles", O.with_ctes(*O.CHAIN_SNAPSHOT, body="""
+SELECT symbol, close, px_vs_sma30, volatility_30, order_flow_imbalance,
+       '$' || format('{:,.2f}', close) AS last_price_text,
+       printf('%+.2f', px_vs_sma30 * 100) || '%' AS vs_sma30_text,
+       printf('%.3f', volatility_30 * 100) || '%' AS volatility_text,
+       printf('%+.2f', order_flow_imbalance) AS ofi_text
+FROM ranked WHERE rn = 1""", doubles=("close", "px_vs_sma30", "volatility_30", "order_flow_imbalance")))
+def q_kpi_tiles(spark, sf):
+    """KPI texts of the latest bar per symbol."""
+    return serving.kpi_tiles(feats(spark, sf))
+
+
+REQ_DEFAULTS_SQL = ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), {serving.REQUEST_DEFAULTS[c]}) AS {c}" for c in serving.FEATURE_COLUMNS)
+
+
+@register("validate_requests", O.with_ctes(*O.CHAIN_FEATS, f"""
+req AS (SELECT symbol, window_start, {REQ_DEFAULTS_SQL} FROM feats)""", body="""
+SELECT *, (volatility_30 >= 0 AND rel_volume >= 0 AND trade_count >= 0) AS accepted FROM req""",
+                                           doubles=tuple(serving.FEATURE_COLUMNS)))
+def q_validate_requests(spark, sf):
+    """Scoring requests (every indicator row) with defaults and constraints."""
+    req = feats(spark, sf).select("symbol", "window_start", *serving.FEATURE_COLUMNS)
+    return serving.validate_requests(req)
+
+
+FIXED_SCORE = "1.0 / (1.0 + exp(-50.0 * px_vs_sma30))"
+
+
+@register("decide", O.with_ctes(*O.CHAIN_MART, body=f"""
+SELECT symbol, window_start, round({FIXED_SCORE}, 4) AS prob_up,
+       CASE WHEN {FIXED_SCORE} >= 0.5 THEN 'up' ELSE 'down' END AS direction,
+       round(abs({FIXED_SCORE} - 0.5) * 2, 4) AS confidence
+FROM mart""", doubles=("prob_up", "confidence")))
+def q_decide(spark, sf):
+    """K8: direction and confidence over a fixed logistic score of px_vs_sma30."""
+    scored = mart(spark, sf).select("symbol", "window_start", F.expr(FIXED_SCORE).alias("prob_up"))
+    return serving.decide(scored).select("symbol", "window_start", "prob_up", "direction", "confidence")
+
+
+# ---------------------------------------------------------------- quality
+from barlake.operators import quality  # noqa: E402
+
+
+def _nn(table, rel, c):
+    return (f"SELECT '{table}.not_null.{c}' AS check_name, "
+            f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {rel}")
+
+
+QUALITY_SQL = O.with_ctes(*O.CHAIN_MART, O.SNAPSHOT_CTE, body="\nUNION ALL\n".join([
+    _nn("raw.ohlcv_10s", "bars", "symbol"), _nn("raw.ohlcv_10s", "bars", "window_start"),
+    _nn("raw.ohlcv_10s", "bars", "close"),
+    _nn("marts.mart_ml_features", "mart", "symbol"), _nn("marts.mart_ml_features", "mart", "label_up_3"),
+    _nn("marts.mart_ml_features", "mart", "volatility_30"),
+    "SELECT 'marts.mart_ml_features.accepted_values.label_up_3', CAST(count(*) FILTER "
+    "(WHERE label_up_3 IS NOT NULL AND label_up_3 NOT IN (0, 1)) AS BIGINT) FROM mart",
+    "SELECT 'marts.mart_ml_features.positive_prices', CAST(count(*) FILTER (WHERE close <= 0) AS BIGINT) "
+    "FROM mart",
+    _nn("marts.mart_symbol_snapshot", "snapshot", "symbol"),
+    _nn("marts.mart_symbol_snapshot", "snapshot", "last_price"),
+    "SELECT 'marts.mart_symbol_snapshot.unique.symbol', CAST(count(*) AS BIGINT) FROM "
+    "(SELECT symbol FROM snapshot WHERE symbol IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+]))
+
+
+@register("quality_report", QUALITY_SQL)
+def q_quality_report(spark, sf):
+    """Failing-row count of every declared check."""
+    f = feats(spark, sf)
+    return quality.quality_report(bars(spark, sf), marts.ml_features(f), marts.symbol_snapshot(f))
+
+
+@register("nonpositive_prices", O.with_ctes(*O.CHAIN_MART, body="SELECT * FROM mart WHERE close <= 0",
+                                            doubles=MART_DOUBLES))
+def q_nonpositive_prices(spark, sf):
+    """Singular test rows (expected empty)."""
+    return quality.nonpositive_prices(mart(spark, sf))
+
+
+# ---------------------------------------------------------------- reports
+from barlake.operators import report  # noqa: E402
+
+
+def snapshot(spark, sf):
+    return marts.symbol_snapshot(feats(spark, sf))
+
+
+def _z(c):
+    return f"coalesce(CASE WHEN isnan({c}) THEN 0 ELSE {c} END, 0)"
+
+
+LINE_SQL = (
+    "replace(upper(symbol), 'USDT', '') || ': last move ' || printf('%+.2f', " + _z("last_return") + " * 100)"
+    " || '%, trading ' || CASE WHEN " + _z("px_vs_sma30") + " > 0 THEN 'above' ELSE 'below' END"
+    " || ' its 30-bar average (' || CASE WHEN " + _z("px_vs_sma30") + " > 0 THEN 'bullish' ELSE 'bearish' END"
+    " || ' momentum), ' || CASE WHEN " + _z("volatility_30") + " > 0.004 THEN 'elevated' ELSE 'subdued' END"
+    " || ' volatility, order flow shows ' || CASE WHEN " + _z("order_flow_imbalance") + " > 0.05 THEN "
+    "'net buying' WHEN " + _z("order_flow_imbalance") + " < -0.05 THEN 'net selling' ELSE 'balanced flow' "
+    "END || '.'")
+FACTS_SQL = "SELECT " + ", ".join(report.FACT_COLUMNS) + " FROM snapshot"
+
+
+@register("summary_facts", O.with_ctes(*O.CHAIN_SNAPSHOT, body=FACTS_SQL + " ORDER BY symbol",
+                                       doubles=tuple(report.FACT_COLUMNS[1:])))
+def q_summary_facts(spark, sf):
+    """Snapshot facts of the summary, ordered by symbol."""
+    return report.summary_facts(snapshot(spark, sf))
+
+
+@register("symbol_descriptions", O.with_ctes(*O.CHAIN_SNAPSHOT, body=f"""
+SELECT symbol, {LINE_SQL} AS line FROM snapshot"""))
+def q_symbol_descriptions(spark, sf):
+    """L1: one templated sentence per symbol."""
+    return report.symbol_descriptions(report.summary_facts(snapshot(spark, sf)))
+
+
+TONE = "CASE WHEN above > assets / 2 THEN 'broadly constructive' ELSE 'cautious' END"
+
+
+@register("market_tone", O.with_ctes(*O.CHAIN_SNAPSHOT, body=f"""
+SELECT above, assets, {TONE} AS tone FROM (
+  SELECT CAST(count(*) FILTER (WHERE {_z('px_vs_sma30')} > 0) AS BIGINT) AS above,
+         CAST(count(*) AS BIGINT) AS assets FROM snapshot)"""))
+def q_market_tone(spark, sf):
+    """Conditional count of symbols above their average, and the tone."""
+    return report.market_tone(report.summary_facts(snapshot(spark, sf)))
+
+
+@register("market_summary", O.with_ctes(*O.CHAIN_SNAPSHOT, body=f"""
+SELECT assets, CASE WHEN assets = 0 THEN '{report.EMPTY_SUMMARY}'
+  ELSE 'Market read (' || assets || ' assets) — tone is ' || {TONE} || '.' || chr(10) || chr(10) ||
+       lines END AS summary
+FROM (SELECT CAST(count(*) AS BIGINT) AS assets,
+             count(*) FILTER (WHERE {_z('px_vs_sma30')} > 0) AS above,
+             string_agg('- ' || line, chr(10) ORDER BY symbol) AS lines
+      FROM (SELECT symbol, px_vs_sma30, {LINE_SQL} AS line FROM snapshot))"""))
+def q_market_summary(spark, sf):
+    """L3: the assembled market summary text."""
+    return report.market_summary(report.summary_facts(snapshot(spark, sf)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
