@@ -434,6 +434,49 @@ def q_market_summary(spark, sf):
     return report.market_summary(report.summary_facts(snapshot(spark, sf)))
 
 
+# ---------------------------------------------------------------- streaming
+from barlake.operators.normalize import decode_trades  # noqa: E402
+from barlake.streaming import bars_stream, files as sfiles  # noqa: E402
+
+STREAM_FILES = 8
+
+
+def run_stream(spark, sf) -> str:
+    """Replays the trades as time-ordered record files through the two
+    streaming queries (raw trades, bars) to completion; returns the lake root."""
+    base = scratch_path(spark, "stream")
+    sfiles.write_record_files(trades(spark, sf), f"{base}/in", STREAM_FILES)
+    src = decode_trades(sfiles.record_stream(spark, f"{base}/in"))
+    qs = bars_stream.start_pipeline(src, f"{base}/lake", f"{base}/chk", width=WIDTH, available_now=True)
+    for q in qs:
+        q.awaitTermination()
+    return f"{base}/lake"
+
+
+STREAM_BARS_SQL = O.with_ctes(O.TRADES_MS_CTE, O.BARS_CTE, body="""
+SELECT * FROM bars
+WHERE window_end <= (SELECT max(event_ts) FROM trades) - INTERVAL 30 SECOND""", doubles=BAR_DOUBLES)
+
+
+@register("stream_bars", STREAM_BARS_SQL)
+def q_stream_bars(spark, sf):
+    """Watermarked bars streamed to a partitioned Parquet sink
+    (windows still open at the end of the input are not emitted)."""
+    root = run_stream(spark, sf)
+    return sfiles.ntz_bars(spark.read.parquet(f"{root}/features/bars"))
+
+
+@register("stream_raw_trades", O.with_ctes(O.TRADES_MS_CTE, body="""
+SELECT symbol, trade_id, round(price, 6) AS price, round(quantity, 6) AS quantity, trade_time,
+       is_buyer_maker, event_ts FROM trades"""))
+def q_stream_raw_trades(spark, sf):
+    """A3: decoded trades streamed to a Parquet lake partitioned by symbol."""
+    root = run_stream(spark, sf)
+    raw = spark.read.parquet(f"{root}/raw/trades")
+    return raw.select("symbol", "trade_id", "price", "quantity", "trade_time", "is_buyer_maker",
+                      F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -91,3 +91,13 @@ CHAIN_STG = CHAIN_BARS + (STG_CTE,)
 CHAIN_FEATS = CHAIN_STG + (FEATS_CTE,)
 CHAIN_MART = CHAIN_FEATS + (MART_CTE,)
 CHAIN_SNAPSHOT = CHAIN_FEATS + (SNAPSHOT_CTE,)
+
+# Streamed trades carry event time at millisecond grain (epoch ms on the bus).
+TRADES_MS_CTE = """
+trades AS (
+  SELECT event_type AS symbol, event_id AS trade_id, value AS price,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
+         CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS trade_time,
+         (user_id % 2 = 0) AS is_buyer_maker,
+         epoch_ms(CAST(floor(epoch_us(ts) / 1000) AS BIGINT)) AS event_ts
+  FROM events)"""
