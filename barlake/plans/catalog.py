@@ -477,6 +477,183 @@ def q_stream_raw_trades(spark, sf):
                       F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
 
 
+# ---------------------------------------------------------------- dataset
+from barlake.operators import dataset as ds  # noqa: E402
+from barlake.operators import metrics as mx  # noqa: E402
+from barlake.schemas import FEATURE_COLUMNS  # noqa: E402
+
+CLEAN_CTE = """
+clean AS (
+  SELECT * FROM mart
+  WHERE label_up_3 IS NOT NULL
+    AND """ + " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)) AND NOT isinf(CAST({c} AS DOUBLE))"
+                        for c in FEATURE_COLUMNS) + """),
+indexed AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY window_start, symbol) - 1 AS BIGINT) AS row_idx FROM clean),
+sized AS (SELECT *, count(*) OVER () AS n_rows FROM indexed)"""
+CHAIN_INDEXED = O.CHAIN_MART + (CLEAN_CTE,)
+
+
+def frame(spark, sf):
+    return ds.training_frame_from(mart(spark, sf))
+
+
+@register("time_index", O.with_ctes(*CHAIN_INDEXED, body="SELECT symbol, window_start, row_idx FROM indexed"))
+def q_time_index(spark, sf):
+    """Global position in (window_start, symbol) order, computed distributed."""
+    return frame(spark, sf).select("symbol", "window_start", "row_idx")
+
+
+@register("training_frame", O.with_ctes(*CHAIN_INDEXED, body="SELECT * FROM indexed", doubles=MART_DOUBLES))
+def q_training_frame(spark, sf):
+    """Cleaned, time-ordered training frame."""
+    return frame(spark, sf)
+
+
+@register("feature_matrix", O.with_ctes(*CHAIN_INDEXED, body="SELECT symbol, window_start, " + ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS) + ", label_up_3 FROM indexed",
+                                        doubles=tuple(FEATURE_COLUMNS)))
+def q_feature_matrix(spark, sf):
+    """Features as DOUBLE in fixed order, label as INT."""
+    return ds.feature_matrix(frame(spark, sf))
+
+
+@register("walk_forward_folds", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT symbol, window_start, row_idx,
+       CAST(CASE WHEN n_rows // 6 > 0 AND row_idx >= n_rows - 5 * (n_rows // 6)
+                 THEN (row_idx - (n_rows - 5 * (n_rows // 6))) // (n_rows // 6) END AS INTEGER) AS test_fold
+FROM sized"""))
+def q_walk_forward_folds(spark, sf):
+    """K3: the fold that tests each row (5 expanding folds)."""
+    return ds.walk_forward_folds(frame(spark, sf)).select("symbol", "window_start", "row_idx", "test_fold")
+
+
+@register("holdout_split", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT symbol, window_start, row_idx,
+       CASE WHEN row_idx < floor(n_rows * 0.8) THEN 'train' ELSE 'test' END AS split
+FROM sized"""))
+def q_holdout_split(spark, sf):
+    """K4: time-ordered 80/20 hold-out."""
+    return ds.holdout_split(frame(spark, sf)).select("symbol", "window_start", "row_idx", "split")
+
+
+@register("split_stats", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT count(*) FILTER (WHERE row_idx < floor(n_rows * 0.8)) AS n_train,
+       count(*) FILTER (WHERE row_idx >= floor(n_rows * 0.8)) AS n_test,
+       avg(CAST(label_up_3 AS DOUBLE)) AS base_rate
+FROM sized""", doubles=("base_rate",)))
+def q_split_stats(spark, sf):
+    """Train / test sizes and base rate."""
+    return ds.split_stats(ds.holdout_split(frame(spark, sf)))
+
+
+TEST_SCORED_CTE = f"""
+test_scored AS (
+  SELECT label_up_3, {FIXED_SCORE} AS prob_up FROM sized WHERE row_idx >= floor(n_rows * 0.8))"""
+
+
+def test_scored(spark, sf):
+    split = ds.holdout_split(frame(spark, sf))
+    return split.where("split = 'test'").withColumn("prob_up", F.expr(FIXED_SCORE))
+
+
+@register("classification_metrics", O.with_ctes(*CHAIN_INDEXED, TEST_SCORED_CTE, """
+c AS (SELECT count(*) FILTER (WHERE prob_up >= 0.5 AND label_up_3 = 1) AS tp,
+             count(*) FILTER (WHERE prob_up >= 0.5 AND label_up_3 <> 1) AS fp,
+             count(*) FILTER (WHERE prob_up < 0.5 AND label_up_3 <> 1) AS tn,
+             count(*) FILTER (WHERE prob_up < 0.5 AND label_up_3 = 1) AS fn FROM test_scored)""", body="""
+SELECT tp, fp, tn, fn,
+       CASE WHEN tp + fp + tn + fn = 0 THEN 0.0 ELSE (tp + tn) / (tp + fp + tn + fn) END AS accuracy,
+       CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1,
+       CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+       CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall
+FROM c""", doubles=("accuracy", "f1", "precision", "recall")))
+def q_classification_metrics(spark, sf):
+    """Threshold metrics on the hold-out rows for a fixed score."""
+    return mx.classification_metrics(test_scored(spark, sf))
+
+
+@register("roc_auc", O.with_ctes(*CHAIN_INDEXED, TEST_SCORED_CTE, """
+g AS (SELECT prob_up, count(*) FILTER (WHERE label_up_3 = 1) AS pos,
+             count(*) FILTER (WHERE label_up_3 <> 1) AS neg FROM test_scored GROUP BY prob_up),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY prob_up ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS nb FROM g)""", body="""
+SELECT CAST(sum(pos) AS BIGINT) AS pos, CAST(sum(neg) AS BIGINT) AS neg,
+       CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (nb + neg * 0.5)) / (sum(pos) * sum(neg))
+            ELSE 'NaN'::DOUBLE END AS auc
+FROM r""", doubles=("auc",)))
+def q_roc_auc(spark, sf):
+    """Exact ROC-AUC (ties half) on the hold-out rows for a fixed score."""
+    return mx.roc_auc(test_scored(spark, sf))
+
+
+# ---------------------------------------------------------------- model (rows-only checks)
+from barlake.operators import model as ml  # noqa: E402
+
+# Boosting rounds of the registered model queries; the library default is
+# the reference's 400 (about 25 min per training on one machine).
+QUERY_ROUNDS = 20
+_TRAINED: dict = {}
+
+
+def trained(spark, sf):
+    key = (sf, QUERY_ROUNDS)
+    if key not in _TRAINED:
+        _TRAINED[key] = ml.train_direction(frame(spark, sf), QUERY_ROUNDS)
+    return _TRAINED[key]
+
+
+@register("train_direction")
+def q_train_direction(spark, sf):
+    """Walk-forward CV + hold-out training; the metrics document."""
+    return trained(spark, sf).metrics
+
+
+@register("walk_forward_cv")
+def q_walk_forward_cv(spark, sf):
+    """AUC per expanding fold."""
+    return trained(spark, sf).fold_auc
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    """Importance per named feature."""
+    return trained(spark, sf).importance
+
+
+@register("score_features")
+def q_score_features(spark, sf):
+    """K7, K8: every row of the training frame scored."""
+    return ml.predict(trained(spark, sf).model, frame(spark, sf)).select(
+        "symbol", "window_start", "prob_up", "direction", "confidence")
+
+
+@register("score_latest")
+def q_score_latest(spark, sf):
+    """K9: newest training row of every symbol scored."""
+    return ml.score_latest(trained(spark, sf).model, frame(spark, sf))
+
+
+@register("score_requests")
+def q_score_requests(spark, sf):
+    """Scoring requests (indicator rows, defaults filled) scored."""
+    req = feats(spark, sf).select("symbol", "window_start", *FEATURE_COLUMNS)
+    return ml.score_requests(trained(spark, sf).model, req).select(
+        "symbol", "window_start", "prob_up", "direction", "confidence")
+
+
+@register("model_info")
+def q_model_info(spark, sf):
+    """Metrics written as JSON with the saved model, read back."""
+    from barlake.sources.metadata import read_metadata, write_metadata
+    t = trained(spark, sf)
+    path = scratch_path(spark, "model")
+    ml.save_model(t.model, f"{path}/model")
+    write_metadata(t.metrics, t.importance, path)
+    metrics, _ = read_metadata(spark, path)
+    return metrics
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
