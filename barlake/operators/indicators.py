@@ -44,9 +44,10 @@ def with_rolling(rets: DataFrame, w: WindowSpec | None = None) -> DataFrame:
     )
 
 
-def technical_features(stg: DataFrame, w: WindowSpec | None = None) -> DataFrame:
+def technical_features(stg: DataFrame, w: WindowSpec | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     rolled = with_rolling(with_returns(stg, w), w)
     return rolled.select(
+        *carry,
         *TECHNICAL_COLUMNS[:TECHNICAL_COLUMNS.index("sma_6") + 2],
         (safe_div("close", "sma_30") - 1).alias("px_vs_sma30"),
         "volatility_30", "ofi_6",

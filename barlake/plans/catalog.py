@@ -146,6 +146,20 @@ def q_technical_features(spark, sf):
     return feats(spark, sf)
 
 
+from barlake.operators import blocked  # noqa: E402
+
+# Small blocks on the small fixture so that every symbol spans many blocks
+# and the halo logic is exercised; the library default is 200,000 rows.
+QUERY_BLOCK_ROWS = 97
+
+
+@register("technical_features_blocked", O.with_ctes(*O.CHAIN_FEATS, body="SELECT * FROM feats",
+                                                    doubles=FEAT_DOUBLES))
+def q_technical_features_blocked(spark, sf):
+    """Section 4 scale design: indicators over bounded blocks with halos."""
+    return blocked.blocked_technical_features(stg(spark, sf), QUERY_BLOCK_ROWS)
+
+
 # ---------------------------------------------------------------- marts
 MART_DOUBLES = ("close", "ret_1", "log_ret_1", "px_vs_sma30", "volatility_30", "order_flow_imbalance",
                 "ofi_6", "rel_volume", "future_close_3")
@@ -157,6 +171,12 @@ def q_ml_features(spark, sf):
     return mart(spark, sf)
 
 
+@register("ml_features_blocked", O.with_ctes(*O.CHAIN_MART, body="SELECT * FROM mart", doubles=MART_DOUBLES))
+def q_ml_features_blocked(spark, sf):
+    """The labelled mart from the blocked pass (indicators + look-ahead together)."""
+    return blocked.blocked_ml_features(stg(spark, sf), QUERY_BLOCK_ROWS)
+
+
 @register("ml_features_from_raw", O.with_ctes(*O.CHAIN_MART, body="""
 SELECT * EXCLUDE (future_close_3) FROM mart""", doubles=MART_DOUBLES[:-1]))
 def q_ml_features_from_raw(spark, sf):
