@@ -674,6 +674,16 @@ def q_model_info(spark, sf):
     return metrics
 
 
+# ---------------------------------------------------------------- refresh job
+@register("refresh_report")
+def q_refresh_report(spark, sf):
+    """Lake -> raw -> warehouse + checks -> training -> summary."""
+    from barlake.plans.warehouse import refresh
+    path = scratch_path(spark, "refresh-lake")
+    lake.write_bars(bars(spark, sf), path)
+    return refresh(spark, path, rounds=QUERY_ROUNDS).select("step", "rows")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

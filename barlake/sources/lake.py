@@ -46,18 +46,33 @@ def layer_table(layer: str | None, name: str) -> str:
 
 def ensure_layers(spark: SparkSession, root: str | None = None) -> str:
     """One database per layer, located in the shared warehouse folder."""
-    root = (root or f"{checkpoint_dir(spark).rstrip('/')}/warehouse").rstrip("/")
+    root = warehouse_root(spark, root)
     for layer in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}.db'")
     return root
 
 
+def warehouse_root(spark: SparkSession, root: str | None = None) -> str:
+    return (root or f"{checkpoint_dir(spark).rstrip('/')}/warehouse").rstrip("/")
+
+
+def save_table(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
+    """Full refresh of a layer table (drop + create as select). Tables live
+    at explicit paths in the shared warehouse folder, so a new session (or
+    a restarted driver) overwrites them in place instead of tripping over a
+    folder its catalog does not know."""
+    spark = df.sparkSession
+    root = ensure_layers(spark, root)
+    table = layer_table(layer, name)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    df.write.mode("overwrite").format("parquet").option("path", f"{root}/{layer}.db/{name}") \
+        .saveAsTable(table)
+    return spark.table(table)
+
+
 def refresh_raw_table(spark: SparkSession, bars: DataFrame, root: str | None = None) -> DataFrame:
-    """Full refresh of ``raw.ohlcv_10s`` (drop + create as select)."""
-    ensure_layers(spark, root)
-    name = layer_table(*RAW_TABLE)
-    bars.select(*BAR_COLUMNS).write.mode("overwrite").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    """Full refresh of ``raw.ohlcv_10s``."""
+    return save_table(bars.select(*BAR_COLUMNS), *RAW_TABLE, root=root)
 
 
 def load_audit(table: DataFrame) -> DataFrame:
