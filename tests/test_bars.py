@@ -37,7 +37,7 @@ def test_ties_broken_by_trade_id(spark):
     assert (r.open, r.close) == (2.0, 1.0)
 
 
-trade = st.tuples(st.sampled_from(["x", "y"]), st.floats(0.5, 1000), st.floats(0.0, 50),
+trade = st.tuples(st.sampled_from(["x", "y"]), st.floats(0.5, 1000), st.one_of(st.just(0.0), st.floats(1e-3, 50)),
                   st.booleans(), st.integers(0, 119))
 
 
