@@ -53,12 +53,21 @@ def blocked_technical_features(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_R
     return out.where("_core").drop("_core")
 
 
-def blocked_ml_features(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Same rows and values as ``ml_features(technical_features(stg))``:
-    indicators and the 3-bar look-ahead in one blocked pass."""
+def blocked_indicators(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Indicator table plus ``future_close_3`` for every bar, in one blocked pass."""
     halo = _with_halo(stg, block_rows)
     w = _window()
     feats = with_future_close(technical_features(halo, w, carry=("_core", "_blk")), w)
-    return (feats.where(F.col("_core") & F.col("future_close_3").isNotNull()
-                        & F.col("volatility_30").isNotNull())
+    return feats.where("_core").drop("_core", "_blk")
+
+
+def mart_from_indicators(ind: DataFrame) -> DataFrame:
+    """The labelled mart from :func:`blocked_indicators` output (a filter)."""
+    return (ind.where(F.col("future_close_3").isNotNull() & F.col("volatility_30").isNotNull())
             .select(*ML_MART_COLUMNS[:-1], label_up().alias("label_up_3")))
+
+
+def blocked_ml_features(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Same rows and values as ``ml_features(technical_features(stg))``:
+    indicators and the 3-bar look-ahead in one blocked pass."""
+    return mart_from_indicators(blocked_indicators(stg, block_rows))

@@ -57,12 +57,19 @@ def stg(spark, sf):
     return stg_ohlcv(bars(spark, sf))
 
 
+def indicators_all(spark, sf):
+    """Indicators + 3-bar look-ahead over bounded blocks (skew-safe default)."""
+    from barlake.operators import blocked as _blk
+    return _blk.blocked_indicators(stg(spark, sf))
+
+
 def feats(spark, sf):
-    return ind.technical_features(stg(spark, sf))
+    return indicators_all(spark, sf).drop("future_close_3")
 
 
 def mart(spark, sf):
-    return marts.ml_features(feats(spark, sf))
+    from barlake.operators import blocked as _blk
+    return _blk.mart_from_indicators(indicators_all(spark, sf))
 
 
 # ---------------------------------------------------------------- bars
@@ -102,7 +109,7 @@ SELECT symbol, window_start, close, ret_1, log_ret_1 FROM feats""",
                                  doubles=("close", "ret_1", "log_ret_1")))
 def q_returns(spark, sf):
     """Simple and log return against the previous bar."""
-    return ind.returns(stg(spark, sf))
+    return feats(spark, sf).select("symbol", "window_start", "close", "ret_1", "log_ret_1")
 
 
 @register("moving_averages", O.with_ctes(*O.CHAIN_FEATS, body="""
@@ -110,7 +117,7 @@ SELECT symbol, window_start, close, sma_6, sma_30, px_vs_sma30 FROM feats""",
                                          doubles=("close", "sma_6", "sma_30", "px_vs_sma30")))
 def q_moving_averages(spark, sf):
     """6- and 30-bar moving averages, distance to the 30-bar one."""
-    return ind.moving_averages(stg(spark, sf))
+    return feats(spark, sf).select("symbol", "window_start", "close", "sma_6", "sma_30", "px_vs_sma30")
 
 
 @register("volatility", O.with_ctes(*O.CHAIN_FEATS, body="""
@@ -118,7 +125,7 @@ SELECT symbol, window_start, log_ret_1, volatility_30 FROM feats""",
                                     doubles=("log_ret_1", "volatility_30")))
 def q_volatility(spark, sf):
     """30-bar sample standard deviation of log returns."""
-    return ind.volatility(stg(spark, sf))
+    return feats(spark, sf).select("symbol", "window_start", "log_ret_1", "volatility_30")
 
 
 @register("flow_and_volume", O.with_ctes(*O.CHAIN_FEATS, body="""
@@ -127,7 +134,8 @@ SELECT symbol, window_start, order_flow_imbalance, ofi_6, volume, rel_volume FRO
                                                   "rel_volume")))
 def q_flow_and_volume(spark, sf):
     """6-bar mean order-flow imbalance, volume relative to its 30-bar mean."""
-    return ind.flow_and_volume(stg(spark, sf))
+    return feats(spark, sf).select("symbol", "window_start", "order_flow_imbalance", "ofi_6", "volume",
+                                   "rel_volume")
 
 
 @register("future_close", O.with_ctes(*O.CHAIN_STG, body="""
@@ -136,14 +144,15 @@ SELECT symbol, window_start, close,
 FROM stg""", doubles=("close", "future_close_3")))
 def q_future_close(spark, sf):
     """Close three bars ahead."""
-    return ind.future_close(stg(spark, sf))
+    return indicators_all(spark, sf).select("symbol", "window_start", "close", "future_close_3")
 
 
 @register("technical_features", O.with_ctes(*O.CHAIN_FEATS, body="SELECT * FROM feats",
                                             doubles=FEAT_DOUBLES))
 def q_technical_features(spark, sf):
-    """The 20-column indicator table."""
-    return feats(spark, sf)
+    """The 20-column indicator table, plain per-symbol windows (the
+    reference's plan; one task per symbol)."""
+    return ind.technical_features(stg(spark, sf))
 
 
 from barlake.operators import blocked  # noqa: E402
@@ -180,7 +189,7 @@ def q_ml_features_blocked(spark, sf):
 @register("ml_features_from_raw", O.with_ctes(*O.CHAIN_MART, body="""
 SELECT * EXCLUDE (future_close_3) FROM mart""", doubles=MART_DOUBLES[:-1]))
 def q_ml_features_from_raw(spark, sf):
-    """K2: the mart rebuilt in one plan from raw bars."""
+    """K2: the mart rebuilt in one plan from raw bars (plain per-symbol windows)."""
     return marts.ml_features_from_raw(stg(spark, sf))
 
 

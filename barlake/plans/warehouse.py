@@ -37,17 +37,19 @@ class Warehouse:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str | None = None,
-                    block_rows: int | None = None, enforce_checks: bool = True) -> Warehouse:
+                    block_rows: int | None = blk.DEFAULT_BLOCK_ROWS, enforce_checks: bool = True) -> Warehouse:
     """Views for staging / intermediate, saved tables for marts (A8); checks
     fail the build (J6). ``block_rows`` switches the indicators to the
-    blocked plan (few symbols, long histories)."""
+    blocked plan (the default: no task holds more than about ``block_rows``
+    bars however few symbols there are); ``None`` uses plain per-symbol windows."""
     lake.ensure_layers(spark, root)
     raw = spark.table(lake.layer_table(*lake.RAW_TABLE)) if raw is None else raw
     stg = stg_ohlcv(raw)
     stg.createOrReplaceTempView(STG_VIEW)
     if block_rows:
-        feats = blk.blocked_technical_features(stg, block_rows)
-        mart_df = blk.blocked_ml_features(stg, block_rows)
+        ind = blk.blocked_indicators(stg, block_rows)
+        feats = ind.drop("future_close_3")
+        mart_df = blk.mart_from_indicators(ind)
     else:
         feats = technical_features(stg)
         mart_df = marts.ml_features(feats)
@@ -69,7 +71,7 @@ class StepLog:
 
 
 def refresh(spark: SparkSession, lake_path: str, root: str | None = None, rounds: int = ml.ROUNDS,
-            model_dir: str | None = None, block_rows: int | None = None) -> DataFrame:
+            model_dir: str | None = None, block_rows: int | None = blk.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Load the lake into raw, build models + checks, train, summarise; each
     step runs only when the one before succeeded (M1). Returns the step log
     (step, rows, seconds)."""
