@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,13 @@ def _ranges(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataF
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # The range boundaries are sampled by one job and the checkpoint written
+    # by another; keep the input between the two so it is computed once.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    finally:
+        src.unpersist()
     return ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
 
 
