@@ -435,7 +435,7 @@ def q_summary_facts(spark, sf):
 SELECT symbol, {LINE_SQL} AS line FROM snapshot"""))
 def q_symbol_descriptions(spark, sf):
     """L1: one templated sentence per symbol."""
-    return report.symbol_descriptions(report.summary_facts(snapshot(spark, sf)))
+    return report.symbol_descriptions(snapshot(spark, sf).select(*report.FACT_COLUMNS))
 
 
 TONE = "CASE WHEN above > assets / 2 THEN 'broadly constructive' ELSE 'cautious' END"
@@ -447,7 +447,7 @@ SELECT above, assets, {TONE} AS tone FROM (
          CAST(count(*) AS BIGINT) AS assets FROM snapshot)"""))
 def q_market_tone(spark, sf):
     """Conditional count of symbols above their average, and the tone."""
-    return report.market_tone(report.summary_facts(snapshot(spark, sf)))
+    return report.market_tone(snapshot(spark, sf).select(*report.FACT_COLUMNS))
 
 
 @register("market_summary", O.with_ctes(*O.CHAIN_SNAPSHOT, body=f"""
@@ -460,7 +460,7 @@ FROM (SELECT CAST(count(*) AS BIGINT) AS assets,
       FROM (SELECT symbol, px_vs_sma30, {LINE_SQL} AS line FROM snapshot))"""))
 def q_market_summary(spark, sf):
     """L3: the assembled market summary text."""
-    return report.market_summary(report.summary_facts(snapshot(spark, sf)))
+    return report.market_summary(snapshot(spark, sf).select(*report.FACT_COLUMNS))
 
 
 # ---------------------------------------------------------------- streaming

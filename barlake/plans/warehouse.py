@@ -93,6 +93,6 @@ def refresh(spark: SparkSession, lake_path: str, root: str | None = None, rounds
     log.add("train", ds.row_count(frame), t0)
 
     t0 = time.time()
-    summary = report.market_summary(report.summary_facts(wh.snapshot))
+    summary = report.market_summary(wh.snapshot.select(*report.FACT_COLUMNS))
     log.add("summary", summary.count(), t0)
     return spark.createDataFrame(log.rows, "step string, rows bigint, seconds double")
