@@ -43,12 +43,23 @@ def notional(price="price", qty="quantity") -> Column:
 
 
 def epoch_micros(ts: Column, dtype: T.DataType) -> Column:
-    """Microseconds since the epoch for TIMESTAMP and TIMESTAMP_NTZ alike."""
+    """Microseconds since the epoch for TIMESTAMP and TIMESTAMP_NTZ alike; a
+    wall-clock (NTZ) value is read as UTC whatever the session time zone."""
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+        day = F.unix_date(F.to_date(ts)).cast("bigint")
+        secs = F.date_part(F.lit("SECOND"), ts)                  # seconds with fraction
+        return (day * 86_400_000_000 + F.hour(ts).cast("bigint") * 3_600_000_000
+                + F.minute(ts).cast("bigint") * 60_000_000 + (secs * 1_000_000).cast("bigint"))
     return F.unix_micros(ts)
 
 
+def utc_wall_clock(ts) -> Column:
+    """An instant (TIMESTAMP) as its UTC wall-clock TIMESTAMP_NTZ, independent
+    of the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), epoch)
+
+
 def _dec(literal: str) -> Column:
     return F.expr(f"CAST({literal} AS DECIMAL(38,0))")
 

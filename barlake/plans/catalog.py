@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake import fixtures as fx
-from barlake.functions.exprs import round_doubles
+from barlake.functions.exprs import round_doubles, utc_wall_clock
 from barlake.operators import bars as bars_op
 from barlake.operators import indicators as ind
 from barlake.operators import marts
@@ -269,7 +269,7 @@ FROM trades"""))
 def q_decode_trades(spark, sf):
     """Bus records (bytes) -> typed trades with event time from epoch ms."""
     records = norm.encode_trades(trades(spark, sf)).select(F.col("value").cast("binary").alias("value"))
-    return norm.decode_trades(records).drop("ingest_time")
+    return norm.decode_trades(records).drop("ingest_time").withColumn("event_ts", utc_wall_clock("event_ts"))
 
 
 # ---------------------------------------------------------------- lake
@@ -503,7 +503,7 @@ def q_stream_raw_trades(spark, sf):
     root = run_stream(spark, sf)
     raw = spark.read.parquet(f"{root}/raw/trades")
     return raw.select("symbol", "trade_id", "price", "quantity", "trade_time", "is_buyer_maker",
-                      F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+                      utc_wall_clock("event_ts").alias("event_ts"))
 
 
 # ---------------------------------------------------------------- dataset

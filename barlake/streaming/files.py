@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.exprs import utc_wall_clock
 from barlake.operators.normalize import encode_trades
 
 
@@ -39,5 +40,5 @@ def record_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1
 
 def ntz_bars(bars: DataFrame) -> DataFrame:
     """Streamed bars with wall-clock (NTZ) window bounds, for comparison with batch."""
-    return bars.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
-        .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    return bars.withColumn("window_start", utc_wall_clock("window_start")) \
+        .withColumn("window_end", utc_wall_clock("window_end"))
