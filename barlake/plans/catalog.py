@@ -390,8 +390,10 @@ QUALITY_SQL = O.with_ctes(*O.CHAIN_MART, O.SNAPSHOT_CTE, body="\nUNION ALL\n".jo
 @register("quality_report", QUALITY_SQL)
 def q_quality_report(spark, sf):
     """Failing-row count of every declared check."""
-    f = feats(spark, sf)
-    return quality.quality_report(bars(spark, sf), marts.ml_features(f), marts.symbol_snapshot(f))
+    from barlake.operators import blocked as _blk
+    ind_all = indicators_all(spark, sf)
+    f = ind_all.drop("future_close_3")
+    return quality.quality_report(bars(spark, sf), _blk.mart_from_indicators(ind_all), marts.symbol_snapshot(f))
 
 
 @register("nonpositive_prices", O.with_ctes(*O.CHAIN_MART, body="SELECT * FROM mart WHERE close <= 0",

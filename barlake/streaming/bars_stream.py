@@ -15,6 +15,20 @@ from barlake.operators.bars import DEFAULT_WIDTH, ohlcv_bars
 
 WATERMARK = "30 seconds"
 TRIGGER = "10 seconds"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk, with
+    changelog checkpointing) instead of executor heap maps - for many
+    symbols x open windows. Must be set before a query's first run; an
+    existing checkpoint keeps the provider it was started with. Does not
+    override a provider the cluster already configured."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def watermarked(trades: DataFrame, delay: str = WATERMARK, time_col: str = "event_ts") -> DataFrame:

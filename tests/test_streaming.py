@@ -77,3 +77,21 @@ def test_two_queries_share_one_source(spark, tmp_dir):
     bars.awaitTermination()
     assert spark.read.parquet(f"{tmp_dir}/lake/raw/trades").count() == trades.count()
     assert spark.read.parquet(f"{tmp_dir}/lake/features/bars").count() > 0
+
+
+def test_rocksdb_state_store(spark, tmp_dir):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    try:
+        bars_stream.use_rocksdb_state(spark)
+        assert spark.conf.get(key) == bars_stream.ROCKSDB_PROVIDER
+        trades = catalog.trades(spark, SF_SMALL)
+        sfiles.write_record_files(trades, f"{tmp_dir}/in", 2)
+        _run(spark, f"{tmp_dir}/in", tmp_dir)
+        ref = f"{tmp_dir}/ref"
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        sfiles.write_record_files(trades, f"{ref}/in", 2)
+        _run(spark, f"{ref}/in", ref)
+        assert _bars(spark, f"{tmp_dir}/bars") == _bars(spark, f"{ref}/bars")
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
