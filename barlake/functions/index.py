@@ -24,12 +24,14 @@ _PID, _MID = "_pid", "_mid"
 def _ranges(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The range boundaries are sampled by one job and the checkpoint written
     # by another; keep the input between the two so it is computed once.
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (it merges adjacent ranges only, so the global order is kept).
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+        ex = src.repartitionByRange(partitions, *keys) if partitions else src.repartitionByRange(*keys)
+        ranged = ex.sortWithinPartitions(*keys).checkpoint(eager=True)
     finally:
         src.unpersist()
     return ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())

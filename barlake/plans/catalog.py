@@ -628,7 +628,7 @@ _TRAINED: dict = {}
 
 
 def trained(spark, sf):
-    key = (sf, QUERY_ROUNDS)
+    key = (spark.sparkContext.applicationId, sf, QUERY_ROUNDS)
     if key not in _TRAINED:
         _TRAINED[key] = ml.train_direction(frame(spark, sf), QUERY_ROUNDS)
     return _TRAINED[key]

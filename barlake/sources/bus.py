@@ -40,17 +40,6 @@ def read_trades(spark: SparkSession, topic: str = "trades", **kw) -> DataFrame:
     return decode_trades(raw)
 
 
-def read_trade_files(spark: SparkSession, path: str, fmt: str = "json",
-                     max_files_per_trigger: int = 1) -> DataFrame:
-    """The same decode over a folder of JSON-lines records (one record per
-    line, field ``value``) - the file-stream stand-in for the bus."""
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
-    raw = (spark.readStream.format(fmt).schema(schema)
-           .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
-    return decode_trades(raw)
-
-
 def write_trades(trades: DataFrame, topic: str = "trades", **kw):
     """Batch publish of normalised trades as keyed JSON (at-least-once)."""
     encode_trades(trades).write.format("kafka").options(**sink_options(topic, **kw)).save()

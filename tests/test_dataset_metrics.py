@@ -66,3 +66,16 @@ def test_auc_edge_cases(spark):
 def test_metrics_zero_when_undefined(spark):
     m = mx.classification_metrics(_scored(spark, [(0, 0.1), (0, 0.2)])).first()
     assert (m.precision, m.recall, m.f1, m.accuracy) == (0.0, 0.0, 0.0, 1.0)
+
+
+def test_index_and_prefix_sums_over_many_partitions(spark):
+    from barlake.functions.index import with_global_index, with_prefix_sums
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("v"))
+    g = with_global_index(df, ["k"], "g", partitions=7)
+    got = sorted((r.k, r.g) for r in g.collect())
+    assert all(k == i for k, i in got)                # k is a permutation of 0..4999
+    p = with_prefix_sums(df, ["k"], {"run": "v"}, exclusive=True, partitions=7).orderBy("k").collect()
+    total = 0
+    for r in p:
+        assert r.run == total
+        total += r.v
