@@ -28,6 +28,23 @@ def symbol_bars(features: DataFrame, symbol: str, limit: int = 300) -> DataFrame
     return last.orderBy("window_start")
 
 
+def recent_symbol_bars(stg: DataFrame, symbol: str, limit: int = 300) -> DataFrame:
+    """The last ``limit`` indicator rows of one symbol computed from staged
+    bars without touching older history: the cut-off time of the newest
+    ``limit + LOOKBACK`` bars is found by a top-k over the symbol's
+    (partition-pruned) bars, then passed as a literal so it reaches the scan
+    as a pushed filter; indicators run on that slice, the first LOOKBACK rows
+    serve only as look-back and are cut. One timestamp reaches the driver."""
+    from barlake.operators.indicators import LOOKBACK, technical_features
+    sym = stg.where(F.col("symbol") == F.lower(F.lit(symbol)))
+    cut = (sym.select("window_start").orderBy(F.col("window_start").desc()).limit(limit + LOOKBACK)
+           .agg(F.min("window_start").alias("c")).first()["c"])
+    if cut is None:
+        return symbol_bars(technical_features(sym), symbol, limit)
+    recent = sym.where(F.col("window_start") >= F.lit(cut))
+    return symbol_bars(technical_features(recent), symbol, limit)
+
+
 def kpi_tiles(features: DataFrame) -> DataFrame:
     """Latest bar of every symbol as KPI texts."""
     last = latest_bar(features).drop("rn")

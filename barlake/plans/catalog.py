@@ -316,6 +316,13 @@ def q_symbol_bars(spark, sf):
     return serving.symbol_bars(feats(spark, sf), "VIEW", 300)
 
 
+@register("symbol_bars_padded", ORACLES["symbol_bars"])
+def q_symbol_bars_padded(spark, sf):
+    """F1 from staged bars with a padded read: only the newest 300 + 30 bars
+    of the symbol are read and windowed."""
+    return serving.recent_symbol_bars(stg(spark, sf), "VIEW", 300)
+
+
 @register("symbols", O.with_ctes(*O.CHAIN_FEATS, body="SELECT DISTINCT symbol FROM feats ORDER BY symbol"))
 def q_symbols(spark, sf):
     """Distinct symbols, sorted."""
@@ -665,6 +672,13 @@ def q_score_latest(spark, sf):
     return ml.score_latest(trained(spark, sf).model, frame(spark, sf))
 
 
+@register("score_latest_live")
+def q_score_latest_live(spark, sf):
+    """K9 with source = live: the newest indicator row of every symbol (no
+    known future needed) scored."""
+    return ml.score_latest(trained(spark, sf).model, feats(spark, sf))
+
+
 @register("score_requests")
 def q_score_requests(spark, sf):
     """Scoring requests (indicator rows, defaults filled) scored."""

@@ -64,3 +64,18 @@ def test_bus_options():
                    "startingOffsets": "latest", "maxOffsetsPerTrigger": "20000"}
     sink = bus.sink_options("trades", servers="broker:9092")
     assert sink["kafka.compression.type"] == "lz4" and sink["topic"] == "trades"
+
+
+def test_padded_read_prunes_and_pushes(spark, tmp_dir):
+    from barlake.operators import serving
+    from barlake.operators.indicators import technical_features
+    from barlake.operators.staging import stg_ohlcv
+    lake.write_bars(catalog.bars(spark, SF_SMALL), f"{tmp_dir}/lake")
+    stg = stg_ohlcv(lake.scan_lake(spark, f"{tmp_dir}/lake"))
+    padded = serving.recent_symbol_bars(stg, "VIEW", 20)
+    full = serving.symbol_bars(technical_features(stg), "VIEW", 20)
+    assert padded.collect() == full.collect()
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = padded._jdf.queryExecution().explainString(mode)
+    assert "PartitionFilters: [isnotnull(symbol" in plan
+    assert "GreaterThanOrEqual(window_start," in plan
