@@ -43,3 +43,11 @@ def read_trades(spark: SparkSession, topic: str = "trades", **kw) -> DataFrame:
 def write_trades(trades: DataFrame, topic: str = "trades", **kw):
     """Batch publish of normalised trades as keyed JSON (at-least-once)."""
     encode_trades(trades).write.format("kafka").options(**sink_options(topic, **kw)).save()
+
+
+def publish_stream(trades: DataFrame, checkpoint: str, topic: str = "trades", **kw):
+    """Continuous publish of normalised trades (e.g. the output of
+    ``normalize_trades`` over a raw-message stream) as keyed JSON records.
+    Spark's Kafka sink is at-least-once; the checkpoint tracks progress."""
+    return (encode_trades(trades).writeStream.format("kafka").options(**sink_options(topic, **kw))
+            .option("checkpointLocation", checkpoint).outputMode("append").start())
