@@ -7,6 +7,7 @@ validation protocol (5 expanding walk-forward folds, then a time-ordered
 the driver only loops over the five folds."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -67,13 +68,25 @@ def _fit(train: DataFrame, rounds: int) -> PipelineModel:
     return pipeline(rounds).fit(ds.feature_matrix(train, keep=()))
 
 
-def walk_forward_cv(frame: DataFrame, rounds: int = ROUNDS, n: int | None = None) -> DataFrame:
+def fit_many(trains: list[DataFrame], rounds: int = ROUNDS, parallelism: int = 1) -> list[PipelineModel]:
+    """Independent fits, up to ``parallelism`` at a time: each fit is a chain
+    of Spark jobs submitted from its own driver thread (the scheme of MLlib's
+    CrossValidator ``parallelism``); seeded, so the models do not depend on it."""
+    if parallelism <= 1 or len(trains) <= 1:
+        return [_fit(t, rounds) for t in trains]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda t: _fit(t, rounds), trains))
+
+
+def walk_forward_cv(frame: DataFrame, rounds: int = ROUNDS, n: int | None = None,
+                    parallelism: int = 1, models: list[PipelineModel] | None = None) -> DataFrame:
     """AUC of each expanding fold (K6); one fit per fold."""
     n = ds.row_count(frame) if n is None else n
+    splits = [ds.fold_rows(frame, k, n) for k in range(len(ds.fold_bounds(n)))]
+    models = models or fit_many([tr for tr, _ in splits], rounds, parallelism)
     out = None
-    for k in range(len(ds.fold_bounds(n))):
-        train, test = ds.fold_rows(frame, k, n)
-        auc = roc_auc(score(_fit(train, rounds), test)).select(F.lit(k).alias("fold"), "*")
+    for k, ((_, test), model) in enumerate(zip(splits, models)):
+        auc = roc_auc(score(model, test)).select(F.lit(k).alias("fold"), "*")
         out = auc if out is None else out.unionByName(auc)
     return out
 
@@ -93,16 +106,20 @@ def _metric_rows(df: DataFrame, cols: list[str], prefix: str = "") -> DataFrame:
     return df.selectExpr(f"stack({len(cols)}, {stack}) AS (metric, value)")
 
 
-def train_direction(frame: DataFrame, rounds: int = ROUNDS) -> TrainResult:
-    """Walk-forward CV, then fit on the first 80 % and evaluate on the rest."""
+def train_direction(frame: DataFrame, rounds: int = ROUNDS, parallelism: int = 1) -> TrainResult:
+    """Walk-forward CV, then fit on the first 80 % and evaluate on the rest
+    (K5, K12). The five fold fits and the hold-out fit are independent and
+    run ``parallelism`` at a time."""
     ds.require_rows(frame)
     n = ds.row_count(frame)
-    folds = walk_forward_cv(frame, rounds, n)
-    cv = folds.where(~F.isnan("auc")).agg(F.avg("auc").alias("cv_auc")) \
-        .select(F.coalesce("cv_auc", F.lit(float("nan"))).alias("cv_auc"))
     split = ds.holdout_split(frame, n=n)
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    model = _fit(train, rounds)
+    fold_trains = [ds.fold_rows(frame, k, n)[0] for k in range(len(ds.fold_bounds(n)))]
+    fitted = fit_many(fold_trains + [train], rounds, parallelism)
+    folds = walk_forward_cv(frame, rounds, n, models=fitted[:-1])
+    cv = folds.where(~F.isnan("auc")).agg(F.avg("auc").alias("cv_auc")) \
+        .select(F.coalesce("cv_auc", F.lit(float("nan"))).alias("cv_auc"))
+    model = fitted[-1]
     scored = score(model, test)
     cls = classification_metrics(scored)
     auc = roc_auc(scored)

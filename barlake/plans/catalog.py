@@ -631,13 +631,14 @@ from barlake.operators import model as ml  # noqa: E402
 # Boosting rounds of the registered model queries; the library default is
 # the reference's 400 (about 25 min per training on one machine).
 QUERY_ROUNDS = 20
+QUERY_FIT_PARALLELISM = 6
 _TRAINED: dict = {}
 
 
 def trained(spark, sf):
     key = (spark.sparkContext.applicationId, sf, QUERY_ROUNDS)
     if key not in _TRAINED:
-        _TRAINED[key] = ml.train_direction(frame(spark, sf), QUERY_ROUNDS)
+        _TRAINED[key] = ml.train_direction(frame(spark, sf), QUERY_ROUNDS, QUERY_FIT_PARALLELISM)
     return _TRAINED[key]
 
 
@@ -706,7 +707,7 @@ def q_refresh_report(spark, sf):
     from barlake.plans.warehouse import refresh
     path = scratch_path(spark, "refresh-lake")
     lake.write_bars(bars(spark, sf), path)
-    return refresh(spark, path, rounds=QUERY_ROUNDS).select("step", "rows")
+    return refresh(spark, path, rounds=QUERY_ROUNDS, parallelism=QUERY_FIT_PARALLELISM).select("step", "rows")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

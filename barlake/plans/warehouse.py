@@ -71,7 +71,8 @@ class StepLog:
 
 
 def refresh(spark: SparkSession, lake_path: str, root: str | None = None, rounds: int = ml.ROUNDS,
-            model_dir: str | None = None, block_rows: int | None = blk.DEFAULT_BLOCK_ROWS) -> DataFrame:
+            model_dir: str | None = None, block_rows: int | None = blk.DEFAULT_BLOCK_ROWS,
+            parallelism: int = 1) -> DataFrame:
     """Load the lake into raw, build models + checks, train, summarise; each
     step runs only when the one before succeeded (M1). Returns the step log
     (step, rows, seconds)."""
@@ -86,7 +87,7 @@ def refresh(spark: SparkSession, lake_path: str, root: str | None = None, rounds
 
     t0 = time.time()
     frame = ds.training_frame(spark, ML_MART)
-    result = ml.train_direction(frame, rounds)
+    result = ml.train_direction(frame, rounds, parallelism)
     model_dir = model_dir or f"{checkpoint_dir(spark).rstrip('/')}/models/direction"
     ml.save_model(result.model, f"{model_dir}/model")
     write_metadata(result.metrics, result.importance, model_dir)
