@@ -48,3 +48,12 @@ def test_object_store_conf_from_env():
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert object_store_conf({}) == {}
+
+
+def test_fit_parallelism_does_not_change_results(spark):
+    frame = ds.training_frame_from(catalog.mart(spark, SF_SMALL))
+    a = {r.metric: r.value for r in ml.train_direction(frame, rounds=2, parallelism=1).metrics.collect()}
+    b = {r.metric: r.value for r in ml.train_direction(frame, rounds=2, parallelism=3).metrics.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == b[k] or (a[k] != a[k] and b[k] != b[k])      # NaN == NaN
