@@ -46,12 +46,15 @@ def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str
     raw = spark.table(lake.layer_table(*lake.RAW_TABLE)) if raw is None else raw
     stg = stg_ohlcv(raw)
     stg.createOrReplaceTempView(STG_VIEW)
+    checkpoint_dir(spark)
     if block_rows:
-        ind = blk.blocked_indicators(stg, block_rows)
+        # computed once, written to the shared checkpoint folder, then read by
+        # the intermediate view and both marts
+        ind = blk.blocked_indicators(stg, block_rows).checkpoint(eager=True)
         feats = ind.drop("future_close_3")
         mart_df = blk.mart_from_indicators(ind)
     else:
-        feats = technical_features(stg)
+        feats = technical_features(stg).checkpoint(eager=True)
         mart_df = marts.ml_features(feats)
     feats.createOrReplaceTempView(INT_VIEW)
     ml_mart = lake.save_table(mart_df, "marts", "mart_ml_features", root)

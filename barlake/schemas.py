@@ -11,22 +11,10 @@ TRADE_SCHEMA = T.StructType([
     T.StructField("ingest_time", T.LongType()),
 ])
 
-# Exchange trade payload; price and quantity arrive as decimal text.
-PAYLOAD_FIELDS = [
-    T.StructField("e", T.StringType()),
-    T.StructField("E", T.LongType()),
-    T.StructField("s", T.StringType()),
-    T.StructField("t", T.StringType()),
-    T.StructField("p", T.StringType()),
-    T.StructField("q", T.StringType()),
-    T.StructField("T", T.StringType()),
-    T.StructField("m", T.StringType()),
-]
-PAYLOAD_SCHEMA = T.StructType(PAYLOAD_FIELDS)
-# Envelope {stream, data:{...}}; the bare payload parses into the same
-# struct's top-level fields, so one schema covers both shapes.
-MESSAGE_SCHEMA = T.StructType(
-    [T.StructField("stream", T.StringType()), T.StructField("data", PAYLOAD_SCHEMA)] + PAYLOAD_FIELDS)
+# Exchange messages are JSON text {stream, data:{e,E,s,t,p,q,T,m}} or the bare
+# payload; price and quantity arrive as decimal text. They are read with
+# json_tuple (see barlake.operators.normalize), not a struct schema, because
+# the payload keys differ only in case.
 
 BAR_COLUMNS = [
     "window_start", "window_end", "symbol", "open", "high", "low", "close", "volume", "vwap",
