@@ -100,8 +100,3 @@ def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
-
-
-def signed_pct(x, scale: float = 100.0, places: int = 2) -> Column:
-    """Signed fixed-point text, e.g. '+1.23'."""
-    return F.format_string(f"%+.{places}f", _c(x) * F.lit(scale))

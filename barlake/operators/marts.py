@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.operators.indicators import symbol_window, technical_features, with_future_close
+from barlake.operators.indicators import technical_features, with_future_close
 from barlake.schemas import ML_MART_COLUMNS
 
 
@@ -89,4 +89,4 @@ def latest_features(features_or_mart: DataFrame, symbol: str | None = None) -> D
 
 
 __all__ = ["ml_features", "ml_features_from_raw", "latest_bar", "symbol_totals", "symbol_snapshot",
-           "symbol_snapshot_onepass", "latest_features", "label_up", "symbol_window"]
+           "symbol_snapshot_onepass", "latest_features", "label_up"]

@@ -11,15 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barlake import fixtures as fx
 from barlake.functions.exprs import round_doubles, utc_wall_clock
 from barlake.operators import bars as bars_op
+from barlake.operators import blocked
+from barlake.operators import dataset as ds
 from barlake.operators import indicators as ind
 from barlake.operators import marts
+from barlake.operators import metrics as mx
+from barlake.operators import model as ml
+from barlake.operators import normalize as norm
+from barlake.operators import quality, report, serving
+from barlake.operators.normalize import decode_trades
 from barlake.operators.staging import stg_ohlcv
 from barlake.plans import oracle as O
+from barlake.plans.warehouse import refresh
+from barlake.schemas import FEATURE_COLUMNS
+from barlake.session import scratch_path
+from barlake.sources import lake
+from barlake.sources.metadata import read_metadata, write_metadata
+from barlake.streaming import bars_stream
+from barlake.streaming import files as sfiles
 
 WIDTH = O.BAR_WIDTH
 
@@ -40,10 +53,6 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def _doubles(df: DataFrame) -> tuple[str, ...]:
-    return tuple(f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType))
-
-
 # ---------------------------------------------------------------- inputs
 def trades(spark, sf):
     return fx.trades_from_events(fx.table(spark, sf, "events"))
@@ -59,8 +68,7 @@ def stg(spark, sf):
 
 def indicators_all(spark, sf):
     """Indicators + 3-bar look-ahead over bounded blocks (skew-safe default)."""
-    from barlake.operators import blocked as _blk
-    return _blk.blocked_indicators(stg(spark, sf))
+    return blocked.blocked_indicators(stg(spark, sf))
 
 
 def feats(spark, sf):
@@ -68,8 +76,7 @@ def feats(spark, sf):
 
 
 def mart(spark, sf):
-    from barlake.operators import blocked as _blk
-    return _blk.mart_from_indicators(indicators_all(spark, sf))
+    return blocked.mart_from_indicators(indicators_all(spark, sf))
 
 
 # ---------------------------------------------------------------- bars
@@ -155,7 +162,6 @@ def q_technical_features(spark, sf):
     return ind.technical_features(stg(spark, sf))
 
 
-from barlake.operators import blocked  # noqa: E402
 
 # Small blocks on the small fixture so that every symbol spans many blocks
 # and the halo logic is exercised; the library default is 200,000 rows.
@@ -225,7 +231,6 @@ def q_symbol_snapshot_onepass(spark, sf):
 
 
 # ---------------------------------------------------------------- messages
-from barlake.operators import normalize as norm  # noqa: E402
 
 CANON_SQL = """
 SELECT event_id AS msg_id, lower(upper(event_type)) AS symbol, event_id AS trade_id, value AS price,
@@ -273,8 +278,6 @@ def q_decode_trades(spark, sf):
 
 
 # ---------------------------------------------------------------- lake
-from barlake.sources import lake  # noqa: E402
-from barlake.session import scratch_path  # noqa: E402
 
 BARS_SQL = O.with_ctes(*O.CHAIN_BARS, body="SELECT * FROM bars", doubles=BAR_DOUBLES)
 
@@ -301,7 +304,6 @@ def q_load_audit(spark, sf):
 
 
 # ---------------------------------------------------------------- serving
-from barlake.operators import serving  # noqa: E402
 
 SERIES_COLS = ", ".join(serving.BAR_SERIES)
 SERIES_DOUBLES = tuple(c for c in serving.BAR_SERIES if c != "window_start")
@@ -370,7 +372,6 @@ def q_decide(spark, sf):
 
 
 # ---------------------------------------------------------------- quality
-from barlake.operators import quality  # noqa: E402
 
 
 def _nn(table, rel, c):
@@ -397,10 +398,9 @@ QUALITY_SQL = O.with_ctes(*O.CHAIN_MART, O.SNAPSHOT_CTE, body="\nUNION ALL\n".jo
 @register("quality_report", QUALITY_SQL)
 def q_quality_report(spark, sf):
     """Failing-row count of every declared check."""
-    from barlake.operators import blocked as _blk
     ind_all = indicators_all(spark, sf)
     f = ind_all.drop("future_close_3")
-    return quality.quality_report(bars(spark, sf), _blk.mart_from_indicators(ind_all), marts.symbol_snapshot(f))
+    return quality.quality_report(bars(spark, sf), blocked.mart_from_indicators(ind_all), marts.symbol_snapshot(f))
 
 
 @register("nonpositive_prices", O.with_ctes(*O.CHAIN_MART, body="SELECT * FROM mart WHERE close <= 0",
@@ -411,7 +411,6 @@ def q_nonpositive_prices(spark, sf):
 
 
 # ---------------------------------------------------------------- reports
-from barlake.operators import report  # noqa: E402
 
 
 def snapshot(spark, sf):
@@ -473,8 +472,6 @@ def q_market_summary(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-from barlake.operators.normalize import decode_trades  # noqa: E402
-from barlake.streaming import bars_stream, files as sfiles  # noqa: E402
 
 STREAM_FILES = 8
 
@@ -516,9 +513,6 @@ def q_stream_raw_trades(spark, sf):
 
 
 # ---------------------------------------------------------------- dataset
-from barlake.operators import dataset as ds  # noqa: E402
-from barlake.operators import metrics as mx  # noqa: E402
-from barlake.schemas import FEATURE_COLUMNS  # noqa: E402
 
 CLEAN_CTE = """
 clean AS (
@@ -626,7 +620,6 @@ def q_roc_auc(spark, sf):
 
 
 # ---------------------------------------------------------------- model (rows-only checks)
-from barlake.operators import model as ml  # noqa: E402
 
 # Boosting rounds of the registered model queries; the library default is
 # the reference's 400 (about 25 min per training on one machine).
@@ -691,7 +684,6 @@ def q_score_requests(spark, sf):
 @register("model_info")
 def q_model_info(spark, sf):
     """Metrics written as JSON with the saved model, read back."""
-    from barlake.sources.metadata import read_metadata, write_metadata
     t = trained(spark, sf)
     path = scratch_path(spark, "model")
     ml.save_model(t.model, f"{path}/model")
@@ -704,7 +696,6 @@ def q_model_info(spark, sf):
 @register("refresh_report")
 def q_refresh_report(spark, sf):
     """Lake -> raw -> warehouse + checks -> training -> summary."""
-    from barlake.plans.warehouse import refresh
     path = scratch_path(spark, "refresh-lake")
     lake.write_bars(bars(spark, sf), path)
     return refresh(spark, path, rounds=QUERY_ROUNDS, parallelism=QUERY_FIT_PARALLELISM).select("step", "rows")

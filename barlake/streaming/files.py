@@ -3,7 +3,6 @@ time-ordered JSON-lines files, replayed by a file stream (FIXTURES §2.4)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from barlake.functions.exprs import utc_wall_clock
 from barlake.operators.normalize import encode_trades

@@ -1,7 +1,6 @@
 import datetime as dt
 
 from hypothesis import given, settings, strategies as st, HealthCheck
-from pyspark.sql import Row
 
 from barlake.operators.bars import ohlcv_bars
 

@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from pyspark.sql import Row, Window, functions as F
+from pyspark.sql import Row, functions as F
 
 from barlake.operators import dataset as ds
 from barlake.operators import metrics as mx
