@@ -16,13 +16,13 @@ from barlake.operators import dataset as ds
 from barlake.operators import marts, quality, report
 from barlake.operators import model as ml
 from barlake.operators.indicators import technical_features
-from barlake.operators.staging import stg_ohlcv
+from barlake.operators.staging import stg_ohlcv, stg_view_sql
 from barlake.session import checkpoint_dir
 from barlake.sources import lake
 from barlake.sources.metadata import write_metadata
 
-STG_VIEW = "staging_stg_ohlcv"
-INT_VIEW = "intermediate_int_technical_features"
+STG_VIEW = lake.layer_table("staging", "stg_ohlcv")
+INT_TABLE = lake.layer_table("intermediate", "int_technical_features")
 ML_MART = lake.layer_table("marts", "mart_ml_features")
 SNAPSHOT_MART = lake.layer_table("marts", "mart_symbol_snapshot")
 
@@ -38,14 +38,21 @@ class Warehouse:
 
 def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str | None = None,
                     block_rows: int | None = blk.DEFAULT_BLOCK_ROWS, enforce_checks: bool = True) -> Warehouse:
-    """Views for staging / intermediate, saved tables for marts (A8); checks
-    fail the build (J6). ``block_rows`` switches the indicators to the
+    """Staging is a catalog view over ``raw.ohlcv_10s`` (A8, A9); the
+    intermediate indicator table and the marts are saved tables (the
+    intermediate is read by the serving queries, so it is materialised once
+    instead of re-windowed per read); checks fail the build (J6). ``block_rows`` switches the indicators to the
     blocked plan (the default: no task holds more than about ``block_rows``
     bars however few symbols there are); ``None`` uses plain per-symbol windows."""
     lake.ensure_layers(spark, root)
-    raw = spark.table(lake.layer_table(*lake.RAW_TABLE)) if raw is None else raw
-    stg = stg_ohlcv(raw)
-    stg.createOrReplaceTempView(STG_VIEW)
+    raw_name = lake.layer_table(*lake.RAW_TABLE)
+    if raw is None:
+        raw = spark.table(raw_name)
+    if spark.catalog.tableExists(raw_name) and _same_table(spark, raw, raw_name):
+        spark.sql(f"CREATE OR REPLACE VIEW {STG_VIEW} AS {stg_view_sql(raw, raw_name)}")
+        stg = spark.table(STG_VIEW)
+    else:                                   # a DataFrame that is not the raw table
+        stg = stg_ohlcv(raw)
     checkpoint_dir(spark)
     if block_rows:
         # computed once, written to the shared checkpoint folder, then read by
@@ -56,7 +63,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str
     else:
         feats = technical_features(stg).checkpoint(eager=True)
         mart_df = marts.ml_features(feats)
-    feats.createOrReplaceTempView(INT_VIEW)
+    feats = lake.save_table(feats, "intermediate", "int_technical_features", root)
     ml_mart = lake.save_table(mart_df, "marts", "mart_ml_features", root)
     snapshot = lake.save_table(marts.symbol_snapshot_onepass(feats), "marts", "mart_symbol_snapshot", root)
     checks = quality.quality_report(raw, ml_mart, snapshot)
@@ -65,6 +72,14 @@ def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str
     return Warehouse(stg, feats, ml_mart, snapshot, checks)
 
 
+def _same_table(spark: SparkSession, df: DataFrame, name: str) -> bool:
+    """Whether ``df`` reads exactly the files of table ``name``."""
+    try:
+        return sorted(df.inputFiles()) == sorted(spark.table(name).inputFiles())
+    except Exception:  # noqa: BLE001 - a plan without input files
+        return False
+
+
 @dataclass
 class StepLog:
     rows: list = field(default_factory=list)

@@ -42,7 +42,9 @@ def test_build_warehouse_tables_views_and_gate(spark, tmp_dir):
     assert spark.catalog.tableExists("marts.mart_ml_features")
     assert spark.catalog.tableExists("marts.mart_symbol_snapshot")
     assert spark.table(wh.STG_VIEW).count() == built.stg.count()
-    assert spark.table(wh.INT_VIEW).count() == built.stg.count()
+    assert spark.table(wh.INT_TABLE).count() == built.stg.count()
+    views = {t.name for t in spark.catalog.listTables("staging")}
+    assert "stg_ohlcv" in views
     assert built.checks.where("failures > 0").count() == 0
     # the same build with plain windows gives the same mart
     cols = built.ml_mart.columns
