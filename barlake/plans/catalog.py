@@ -501,6 +501,14 @@ def q_stream_bars(spark, sf):
     return sfiles.ntz_bars(spark.read.parquet(f"{root}/features/bars"))
 
 
+@register("lake_scan", STREAM_BARS_SQL)
+def q_lake_scan(spark, sf):
+    """A5: the batch loader's scan of the bar lake written by the streaming job
+    (recursive, symbol recovered from the folder names)."""
+    root = run_stream(spark, sf)
+    return sfiles.ntz_bars(lake.scan_lake(spark, f"{root}/features/bars"))
+
+
 @register("stream_raw_trades", O.with_ctes(O.TRADES_MS_CTE, body="""
 SELECT symbol, trade_id, round(price, 6) AS price, round(quantity, 6) AS quantity, trade_time,
        is_buyer_maker, event_ts FROM trades"""))
@@ -542,6 +550,15 @@ def q_training_frame(spark, sf):
     return frame(spark, sf)
 
 
+@register("latest_features", O.with_ctes(*CHAIN_INDEXED, body="SELECT symbol, window_start, " + ", ".join(
+    FEATURE_COLUMNS) + """ FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM indexed) WHERE rn = 1""",
+                                         doubles=tuple(c for c in FEATURE_COLUMNS if c != "trade_count")))
+def q_latest_features(spark, sf):
+    """the last feature row of every symbol of the training frame."""
+    return marts.latest_features(frame(spark, sf)).select("symbol", "window_start", *FEATURE_COLUMNS)
+
+
 @register("feature_matrix", O.with_ctes(*CHAIN_INDEXED, body="SELECT symbol, window_start, " + ", ".join(
     f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS) + ", label_up_3 FROM indexed",
                                         doubles=tuple(FEATURE_COLUMNS)))
