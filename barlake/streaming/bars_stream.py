@@ -72,6 +72,23 @@ def start_pipeline(trades: DataFrame, lake_root: str, checkpoint_root: str, widt
     return raw, bars
 
 
+def start_message_pipeline(messages: DataFrame, lake_root: str, checkpoint_root: str,
+                           width: str = DEFAULT_WIDTH, delay: str = WATERMARK, trigger: str | None = TRIGGER,
+                           available_now: bool = False, value_col: str = "value"):
+    """Raw exchange messages in, normalised as a column stage (no separate
+    producer process): raw trades, bars and rejected messages, three queries
+    with their own checkpoints."""
+    from barlake.operators.normalize import normalize_rejects, normalize_trades
+    lake_root, checkpoint_root = lake_root.rstrip("/"), checkpoint_root.rstrip("/")
+    trades = normalize_trades(messages, value_col).withColumn("event_ts", F.timestamp_millis("trade_time"))
+    raw, bars = start_pipeline(trades, lake_root, checkpoint_root, width, delay, trigger, available_now)
+    w = (normalize_rejects(messages, value_col).writeStream.format("json")
+         .option("path", f"{lake_root}/rejects/messages")
+         .option("checkpointLocation", f"{checkpoint_root}/rejects").outputMode("append"))
+    rejects = _trigger(w, trigger, available_now).start()
+    return raw, bars, rejects
+
+
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
     """Block until any of the session's queries ends (I8)."""
     return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()

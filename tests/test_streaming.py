@@ -95,3 +95,23 @@ def test_rocksdb_state_store(spark, tmp_dir):
         assert _bars(spark, f"{tmp_dir}/bars") == _bars(spark, f"{ref}/bars")
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_raw_messages_stream(spark, tmp_dir):
+    from barlake import fixtures as fx
+    from barlake.operators.normalize import normalize_trades
+    events = fx.table(spark, SF_SMALL, "events")
+    msgs = fx.messages_from_events(events)
+    (msgs.join(events.select(F.col("event_id").alias("msg_id"), "ts"), "msg_id")
+     .repartitionByRange(3, "ts").sortWithinPartitions("ts").select("value")
+     .write.mode("overwrite").text(f"{tmp_dir}/msgs"))
+    sfiles.order_files(spark, f"{tmp_dir}/msgs")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{tmp_dir}/msgs")
+    qs = bars_stream.start_message_pipeline(stream, f"{tmp_dir}/lake", f"{tmp_dir}/chk", width=WIDTH,
+                                            available_now=True)
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.json(f"{tmp_dir}/lake/rejects/messages").count() == events.where("event_id % 101 = 0").count()
+    batch = normalize_trades(msgs, with_ingest_time=False)
+    assert spark.read.parquet(f"{tmp_dir}/lake/raw/trades").count() == batch.count()
+    assert spark.read.parquet(f"{tmp_dir}/lake/features/bars").count() > 0
