@@ -482,7 +482,8 @@ def run_stream(spark, sf) -> str:
     base = scratch_path(spark, "stream")
     sfiles.write_record_files(trades(spark, sf), f"{base}/in", STREAM_FILES)
     src = decode_trades(sfiles.record_stream(spark, f"{base}/in"))
-    qs = bars_stream.start_pipeline(src, f"{base}/lake", f"{base}/chk", width=WIDTH, available_now=True)
+    qs = bars_stream.start_pipeline(src, f"{base}/lake", f"{base}/chk", width=WIDTH, available_now=True,
+                                    state_partitions=spark.sparkContext.defaultParallelism)
     for q in qs:
         q.awaitTermination()
     return f"{base}/lake"

@@ -48,18 +48,35 @@ def _trigger(writer, trigger: str | None, available_now: bool):
     return writer.trigger(processingTime=trigger or TRIGGER)
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a query with its own shuffle width. Streaming has no adaptive
+    coalescing and the width of a stateful query is fixed by its checkpoint
+    at the first run, so it is chosen here, not inherited by accident; the
+    query copies the session conf at start, the caller's value is restored."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
-                       trigger: str | None = TRIGGER, available_now: bool = False) -> StreamingQuery:
+                       trigger: str | None = TRIGGER, available_now: bool = False,
+                       state_partitions: int | None = None) -> StreamingQuery:
     w = (df.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).partitionBy("symbol").outputMode("append"))
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger, available_now).start()
+    return _start(_trigger(w, trigger, available_now), df.sparkSession, state_partitions)
 
 
 def start_pipeline(trades: DataFrame, lake_root: str, checkpoint_root: str, width: str = DEFAULT_WIDTH,
-                   delay: str = WATERMARK, trigger: str | None = TRIGGER,
-                   available_now: bool = False) -> tuple[StreamingQuery, StreamingQuery]:
+                   delay: str = WATERMARK, trigger: str | None = TRIGGER, available_now: bool = False,
+                   state_partitions: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Two independent queries over one source definition: raw trades and
     bars, each with its own checkpoint (I8)."""
     lake_root, checkpoint_root = lake_root.rstrip("/"), checkpoint_root.rstrip("/")
@@ -68,20 +85,22 @@ def start_pipeline(trades: DataFrame, lake_root: str, checkpoint_root: str, widt
                              trigger=trigger, available_now=available_now)
     bars = start_parquet_sink(ohlcv_bars(wm, width, ("event_ts", "trade_id")),
                               f"{lake_root}/features/bars", f"{checkpoint_root}/bars",
-                              trigger=trigger, available_now=available_now)
+                              trigger=trigger, available_now=available_now, state_partitions=state_partitions)
     return raw, bars
 
 
 def start_message_pipeline(messages: DataFrame, lake_root: str, checkpoint_root: str,
                            width: str = DEFAULT_WIDTH, delay: str = WATERMARK, trigger: str | None = TRIGGER,
-                           available_now: bool = False, value_col: str = "value"):
+                           available_now: bool = False, value_col: str = "value",
+                           state_partitions: int | None = None):
     """Raw exchange messages in, normalised as a column stage (no separate
     producer process): raw trades, bars and rejected messages, three queries
     with their own checkpoints."""
     from barlake.operators.normalize import normalize_rejects, normalize_trades
     lake_root, checkpoint_root = lake_root.rstrip("/"), checkpoint_root.rstrip("/")
     trades = normalize_trades(messages, value_col).withColumn("event_ts", F.timestamp_millis("trade_time"))
-    raw, bars = start_pipeline(trades, lake_root, checkpoint_root, width, delay, trigger, available_now)
+    raw, bars = start_pipeline(trades, lake_root, checkpoint_root, width, delay, trigger, available_now,
+                               state_partitions)
     w = (normalize_rejects(messages, value_col).writeStream.format("json")
          .option("path", f"{lake_root}/rejects/messages")
          .option("checkpointLocation", f"{checkpoint_root}/rejects").outputMode("append"))

@@ -115,3 +115,19 @@ def test_raw_messages_stream(spark, tmp_dir):
     batch = normalize_trades(msgs, with_ingest_time=False)
     assert spark.read.parquet(f"{tmp_dir}/lake/raw/trades").count() == batch.count()
     assert spark.read.parquet(f"{tmp_dir}/lake/features/bars").count() > 0
+
+
+def test_state_partitions_fixed_in_checkpoint(spark, tmp_dir):
+    import glob
+    import json as js
+    trades = catalog.trades(spark, SF_SMALL)
+    sfiles.write_record_files(trades, f"{tmp_dir}/in", 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    src = decode_trades(sfiles.record_stream(spark, f"{tmp_dir}/in"))
+    q = bars_stream.start_parquet_sink(bars_stream.stream_bars(src, WIDTH), f"{tmp_dir}/bars", f"{tmp_dir}/chk",
+                                       available_now=True, state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    offsets = sorted(glob.glob(f"{tmp_dir}/chk/offsets/[0-9]*"))
+    meta = js.loads(open(offsets[0]).read().split("\n")[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
