@@ -157,8 +157,15 @@ def q_future_close(spark, sf):
 @register("technical_features", O.with_ctes(*O.CHAIN_FEATS, body="SELECT * FROM feats",
                                             doubles=FEAT_DOUBLES))
 def q_technical_features(spark, sf):
-    """The 20-column indicator table, plain per-symbol windows (the
-    reference's plan; one task per symbol)."""
+    """The 20-column indicator table (blocked windows, the default)."""
+    return feats(spark, sf)
+
+
+@register("technical_features_window", O.with_ctes(*O.CHAIN_FEATS, body="SELECT * FROM feats",
+                                                   doubles=FEAT_DOUBLES))
+def q_technical_features_window(spark, sf):
+    """The same table with plain per-symbol windows, the reference's plan
+    (one task per symbol: fine for many small symbols, not for a hot one)."""
     return ind.technical_features(stg(spark, sf))
 
 
@@ -195,8 +202,9 @@ def q_ml_features_blocked(spark, sf):
 @register("ml_features_from_raw", O.with_ctes(*O.CHAIN_MART, body="""
 SELECT * EXCLUDE (future_close_3) FROM mart""", doubles=MART_DOUBLES[:-1]))
 def q_ml_features_from_raw(spark, sf):
-    """K2: the mart rebuilt in one plan from raw bars (plain per-symbol windows)."""
-    return marts.ml_features_from_raw(stg(spark, sf))
+    """K2: the mart rebuilt in one plan from raw bars, with the rebuild's
+    column list (no future_close_3)."""
+    return blocked.blocked_ml_features(stg(spark, sf)).drop("future_close_3")
 
 
 @register("latest_bar", O.with_ctes(*O.CHAIN_SNAPSHOT, body="""
