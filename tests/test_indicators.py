@@ -57,3 +57,32 @@ def test_snapshot_plan_has_no_join(spark, stg):
     plan = marts.symbol_snapshot_onepass(indicators.technical_features(stg))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Join" not in plan and "HashAggregate" in plan
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 400), st.floats(1, 100),
+                          st.floats(0.1, 10), st.floats(-1, 1)), min_size=1, max_size=150),
+       st.integers(31, 80))
+def test_blocked_matches_plain_on_random_bars(spark, rows, block):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    seen, data = set(), []
+    for sym, minute, close, vol, ofi in rows:           # one bar per (symbol, minute); gaps are random
+        if (sym, minute) in seen:
+            continue
+        seen.add((sym, minute))
+        ws = t0 + dt.timedelta(minutes=minute)
+        data.append((ws, ws + dt.timedelta(minutes=1), sym, close, close, close, close, vol, close, 1, ofi * vol, ofi))
+    schema = ("window_start timestamp_ntz, window_end timestamp_ntz, symbol string, open double, high double, "
+              "low double, close double, volume double, vwap double, trade_count bigint, "
+              "net_signed_volume double, order_flow_imbalance double")
+    stg = spark.createDataFrame(data, schema)
+    plain = round_doubles(marts.ml_features(indicators.technical_features(stg)))
+    blk = round_doubles(blocked.blocked_ml_features(stg, block)).select(*plain.columns)
+    assert _rows(plain) == _rows(blk)
+    pf = round_doubles(indicators.technical_features(stg))
+    bf = round_doubles(blocked.blocked_technical_features(stg, block)).select(*pf.columns)
+    assert _rows(pf) == _rows(bf)
