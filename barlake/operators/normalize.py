@@ -22,8 +22,7 @@ def parse_messages(messages: DataFrame, value_col: str = "value", keep: list[str
     root object. Two json_tuple passes parse each message twice at most."""
     keep = list(keep or [])
     text = F.col(value_col).cast("string")
-    env = messages.select(*keep, text.alias("_raw"),
-                          F.json_tuple(text, "data", "e").alias("_data", "_root_e"))
+    env = messages.select(*keep, text.alias("_raw"), F.json_tuple(text, "data").alias("_data"))
     payload_text = F.coalesce(F.col("_data"), F.col("_raw"))
     names = [f"_{k}" if k != "T" else "_tt" for k in _PAYLOAD_KEYS]
     return env.select(*keep, "_raw", F.json_tuple(payload_text, *_PAYLOAD_KEYS).alias(*names))
