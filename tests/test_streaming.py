@@ -71,8 +71,10 @@ def test_two_queries_share_one_source(spark, tmp_dir):
     trades = catalog.trades(spark, SF_SMALL)
     sfiles.write_record_files(trades, f"{tmp_dir}/in", 2)
     src = decode_trades(sfiles.record_stream(spark, f"{tmp_dir}/in"))
+    spark.streams.resetTerminated()
     raw, bars = bars_stream.start_pipeline(src, f"{tmp_dir}/lake", f"{tmp_dir}/chk", width=WIDTH,
                                            available_now=True)
+    assert bars_stream.await_any(spark, 300)          # returns once either query has ended
     raw.awaitTermination()
     bars.awaitTermination()
     assert spark.read.parquet(f"{tmp_dir}/lake/raw/trades").count() == trades.count()
