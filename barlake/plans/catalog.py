@@ -301,7 +301,8 @@ def q_lake_roundtrip(spark, sf):
 @register("raw_table_refresh", BARS_SQL)
 def q_raw_table_refresh(spark, sf):
     """Full refresh of raw.ohlcv_10s, read back as a table."""
-    return lake.refresh_raw_table(spark, bars(spark, sf))
+    # a warehouse root of its own per call: a DataFrame returned earlier keeps its files
+    return lake.refresh_raw_table(spark, bars(spark, sf), root=scratch_path(spark, "warehouse"))
 
 
 @register("load_audit", O.with_ctes(*O.CHAIN_BARS, body="""
@@ -724,7 +725,8 @@ def q_refresh_report(spark, sf):
     """Lake -> raw -> warehouse + checks -> training -> summary."""
     path = scratch_path(spark, "refresh-lake")
     lake.write_bars(bars(spark, sf), path)
-    return refresh(spark, path, rounds=QUERY_ROUNDS, parallelism=QUERY_FIT_PARALLELISM).select("step", "rows")
+    return refresh(spark, path, root=scratch_path(spark, "warehouse"), rounds=QUERY_ROUNDS,
+                   model_dir=scratch_path(spark, "model"), parallelism=QUERY_FIT_PARALLELISM).select("step", "rows")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
