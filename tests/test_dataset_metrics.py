@@ -79,3 +79,12 @@ def test_index_and_prefix_sums_over_many_partitions(spark):
     for r in p:
         assert r.run == total
         total += r.v
+
+
+def test_training_frame_table_or_rebuild(spark):
+    with pytest.raises(LookupError):
+        ds.training_frame(spark, "marts.no_such_mart")
+    rebuilt = ds.training_frame(spark, "marts.no_such_mart", rebuild=lambda: catalog.mart(spark, SF_SMALL))
+    direct = ds.training_frame_from(catalog.mart(spark, SF_SMALL))
+    assert rebuilt.count() == direct.count() > 0
+    assert rebuilt.columns == direct.columns
