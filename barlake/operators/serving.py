@@ -22,7 +22,8 @@ def symbol_bars(features: DataFrame, symbol: str, limit: int = 300) -> DataFrame
     """The last ``limit`` bars of one symbol in ascending time (F1, L6). The
     symbol filter prunes lake partitions and is pushed below the window
     operators; the top-k is a TakeOrderedAndProject, no full sort."""
-    cols = [c for c in BAR_SERIES if c in features.columns]
+    # the indicator series when the input has them, else the raw bar series
+    cols = BAR_SERIES if all(c in features.columns for c in BAR_SERIES) else RAW_SERIES
     last = (features.where(F.col("symbol") == F.lower(F.lit(symbol)))
             .orderBy(F.col("window_start").desc()).limit(limit).select(*cols))
     return last.orderBy("window_start")

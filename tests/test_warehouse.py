@@ -81,3 +81,14 @@ def test_padded_read_prunes_and_pushes(spark, tmp_dir):
     plan = padded._jdf.queryExecution().explainString(mode)
     assert "PartitionFilters: [isnotnull(symbol" in plan
     assert "GreaterThanOrEqual(window_start," in plan
+
+
+def test_symbol_bars_falls_back_to_raw_columns(spark):
+    from barlake.operators import serving
+    raw = catalog.bars(spark, SF_SMALL)
+    out = serving.symbol_bars(raw, "View", 5)
+    assert out.columns == serving.RAW_SERIES
+    ts = [r.window_start for r in out.collect()]
+    assert len(ts) == 5 and ts == sorted(ts)
+    newest = raw.where("symbol = 'view'").agg(F.max("window_start")).first()[0]
+    assert ts[-1] == newest
