@@ -88,3 +88,13 @@ def test_training_frame_table_or_rebuild(spark):
     direct = ds.training_frame_from(catalog.mart(spark, SF_SMALL))
     assert rebuilt.count() == direct.count() > 0
     assert rebuilt.columns == direct.columns
+
+
+def test_latest_feature_row_of_one_symbol(spark):
+    from barlake.operators import marts
+    frame = ds.training_frame_from(catalog.mart(spark, SF_SMALL))
+    one = marts.latest_features(frame, "VIEW").collect()
+    assert len(one) == 1 and one[0].symbol == "view"
+    newest = frame.where("symbol = 'view'").agg(F.max("window_start")).first()[0]
+    assert one[0].window_start == newest
+    assert marts.latest_features(frame, "NOPE").count() == 0
