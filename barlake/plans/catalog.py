@@ -409,7 +409,8 @@ def q_quality_report(spark, sf):
     """Failing-row count of every declared check."""
     ind_all = indicators_all(spark, sf)
     f = ind_all.drop("future_close_3")
-    return quality.quality_report(bars(spark, sf), blocked.mart_from_indicators(ind_all), marts.symbol_snapshot(f))
+    return quality.quality_report(bars(spark, sf), blocked.mart_from_indicators(ind_all),
+                                  marts.symbol_snapshot_onepass(f))      # the snapshot as the warehouse builds it
 
 
 @register("nonpositive_prices", O.with_ctes(*O.CHAIN_MART, body="SELECT * FROM mart WHERE close <= 0",
