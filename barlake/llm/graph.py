@@ -1,6 +1,8 @@
 """Connected components of an edge table."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,9 +10,13 @@ from barlake.session import checkpoint_dir
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared checkpoint folder, with its lineage cut."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and read back from a table below the shared checkpoint folder.
+
+    Cuts the lineage, survives lost executors, and later steps read only the columns they use."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -212,6 +212,7 @@ def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
 
 
 def first_of_each(df: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of their component."""
-    keep = link(df, doc_id, **how).where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return df.join(keep, doc_id, "left_semi")
+    """``df`` without the rows whose id is not the smallest of their component; rows without an id stay."""
+    gone = saved(link(df, doc_id, **how).where("doc_id <> component_id")
+                 .select(F.col("doc_id").alias(doc_id)).distinct())
+    return df.join(gone, doc_id, "left_anti").select(*df.columns)

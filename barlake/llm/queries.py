@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import parity, pieces, pii, quality
+from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, toxicity
 from barlake.llm.graph import saved
 
 
@@ -19,6 +19,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(docs).select("doc_id", *pii.digest_columns(F.col("pii_spans")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     rows = saved(quality.measure(docs).select("doc_id", "lang", "measures"))
@@ -33,6 +37,65 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_quality, op4_ngram_jaccard, op5_sentencepiece)}
-ORACLES: dict[str, str] = {}
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grace.copies(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit(labels.where(~held_out), docs)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "toxicity.score",
+        (F.col("toxicity.score") >= 0.3).cast("int").alias("predicted"), "toxicity.evidence")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *secrets.digest_columns(F.col("spans")))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), declared="lang", host="source")
+
+
+# DuckDB statements; where SQL cannot express an operator its tests compare with a plain version instead.
+ORACLES: dict[str, str] = {
+    "op7_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents),
+        g AS (SELECT *, count(*) OVER same AS group_size,
+                     first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id
+              FROM d WINDOW same AS (PARTITION BY text_sha256))
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op4_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS shingle
+              FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+                   FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+              WHERE 100 * k >= 90 * (x.n + y.n - k)),
+        both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        reach AS (SELECT doc_id AS root, doc_id FROM documents UNION
+                  SELECT root, b FROM reach JOIN both_ways ON a = doc_id WHERE b > root)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN n USING (doc_id)
+        JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)""",
+}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_pii, op2_mixing, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_html, op7_exact_dedup, op8_toxicity,
+    op9_secrets, op10_language_id)}

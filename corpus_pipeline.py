@@ -1,15 +1,53 @@
-"""Corpus preparation: language, exact copies, near copies, mix by source weights, subword ids."""
+"""Corpus preparation: language, exact copies, near copies, mix by source weights, subword ids.
+
+Each stage takes (spark, docs, sf_dir) and works on every row its predecessor kept; all but the last return the
+columns of ``documents``. The caller may write each stage's result as Parquet and read it again as the next one's
+docs; ``run`` chains them. Ids are taken to identify rows; rows of one id stay or go together in the first and third
+stage."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from barlake.llm import grace, language, mixing, parity, pieces
+from barlake.llm.graph import saved
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; the few rejected ones are what is joined."""
+    found = language.identify(docs, declared="lang", host="source")
+    rejected = saved(found.where("NOT kept").select("doc_id").distinct())
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return grace.distinct(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each group linked by shingle similarity of 0.9; rows without an id stay."""
+    return parity.first_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document and copy that the mix takes, its text the words taken."""
+    return mixing.mixed(docs)
+
+
+def subword_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.digests(docs)
+
+
+STAGES = [("language", known_language), ("exact copies", exact_copies), ("near copies", near_copies),
+          ("mix", mix_sources), ("subword ids", subword_ids)]
+# Language likelihoods, hashed permutations and subword merges are beyond SQL; tests compare with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = saved(docs)
     return docs
