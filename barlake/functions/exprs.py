@@ -68,22 +68,34 @@ def ordering_key(df: DataFrame, cols: Sequence[str]) -> Column:
     """A total-order key for min_by / max_by.
 
     (timestamp, integral id) packs into one DECIMAL(38,0) =
-    micros * 10^20 + (id + 2^63), a fixed-width value that keeps the
+    micros * 10^20 + (id + 2^63 + 1), a fixed-width value that keeps the
     aggregation in HashAggregate; longer keys fall back to a struct
-    (SortAggregate, still exact)."""
+    (SortAggregate, still exact). A NULL id sorts before every id of the same
+    instant in both forms, so its row still counts."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = list(cols)
     integral = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
     if (len(cols) == 2 and isinstance(types[cols[0]], (T.TimestampType, T.TimestampNTZType))
             and isinstance(types[cols[1]], integral)):
         micros = epoch_micros(F.col(cols[0]), types[cols[0]]).cast("decimal(38,0)")
-        shift, offset = _dec("100000000000000000000"), _dec("9223372036854775808")  # 10^20, 2^63
-        return micros * shift + (F.col(cols[1]).cast("decimal(38,0)") + offset)
+        shift, offset = _dec("100000000000000000000"), _dec("9223372036854775809")  # 10^20, 2^63 + 1
+        return micros * shift + F.coalesce(F.col(cols[1]).cast("decimal(38,0)") + offset, _dec("0"))
     if len(cols) == 1:
         return F.col(cols[0])
     return F.struct(*[F.col(c) for c in cols])
 
 
+def fixed_text(c, places: int, sign: bool = False) -> Column:
+    """A number with ``places`` decimals, rounded from its binary value with
+    ties to even, as the common ``printf`` does; NULL and NaN keep the texts
+    of ``format_string``."""
+    c = _c(c)
+    zeros = "0." + "0" * places if places else "0"
+    pattern = f"+{zeros};-{zeros}" if sign else zeros
+    return F.when(c.isNull() | F.isnan(c), F.format_string(f"%{'+' if sign else ''}.{places}f", c)).otherwise(
+        F.call_function("format_number", c, F.lit(pattern)))
+
+
 def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
     """Round every DOUBLE column (presentation / oracle comparison).
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.exprs import notional, ordering_key, safe_div, signed_quantity
+from barlake.schemas import BAR_COLUMNS
 
 DEFAULT_WIDTH = "10 seconds"
 
@@ -37,14 +38,11 @@ def ohlcv_bars(trades: DataFrame, width: str = DEFAULT_WIDTH,
             F.sum(signed_quantity()).alias("net_signed_volume"),
         )
     )
-    return agg.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        "symbol", "open", "high", "low", "close", "volume",
-        safe_div("notional", "volume").alias("vwap"),
-        "trade_count", "net_signed_volume",
-        safe_div("net_signed_volume", "volume").alias("order_flow_imbalance"),
-    )
+    return agg.withColumns({
+        "window_start": F.col("w.start"), "window_end": F.col("w.end"),
+        "vwap": safe_div("notional", "volume"),
+        "order_flow_imbalance": safe_div("net_signed_volume", "volume"),
+    }).select(*BAR_COLUMNS)
 
 
 def order_flow(trades: DataFrame) -> DataFrame:

@@ -2,34 +2,50 @@
 
 ``PARTITION BY symbol`` puts a symbol's whole history into one task; with
 few symbols and long histories that is a handful of huge, skewed tasks.
-Here bars get their position ``g`` in (symbol, window_start) order (a
-distributed index), block = g div B, and every window runs ``PARTITION BY
-symbol, block``. A row is also copied, as halo, into the next block when it
-is among the last LOOKBACK rows of its block, and into the previous block
-when among the first LOOKAHEAD rows. The deepest look-back of the indicator
-set is 30 rows (29 rows of log returns, each one row back) and the deepest
-look-ahead 3 rows, so every core row sees exactly the rows it would see in
-the per-symbol window; halo rows are dropped afterwards. Because the order
-is symbol-major, halo rows of another symbol fall into another window
-partition and are ignored. Task size is bounded by B + 33 rows whatever
-the number of symbols or the length of a history."""
+Here every bar gets its position ``g`` within its symbol, block = g div B,
+and every window runs ``PARTITION BY symbol, block``. A row is also copied,
+as halo, into the next block when it is among the last LOOKBACK rows of its
+block, and into the previous block when among the first LOOKAHEAD rows. The
+deepest look-back of the indicator set is 30 rows (29 rows of log returns,
+each one row back) and the deepest look-ahead 3 rows, so every core row sees
+exactly the rows it would see in the per-symbol window; halo rows are dropped
+afterwards. Task size is bounded by B + 33 rows whatever the number of
+symbols or the length of a history.
+
+Positions are a plain part of the plan: bars are counted per (symbol, day),
+the counts of earlier days summed per symbol (one row per symbol and day), and
+the row number within the day added. Nothing is computed before an action,
+nothing is checkpointed, and unused columns are pruned down to the scan."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.index import with_global_index
 from barlake.operators.indicators import LOOKAHEAD, LOOKBACK, technical_features, with_future_close
-from barlake.schemas import ML_MART_COLUMNS
 from barlake.operators.marts import label_up
+from barlake.schemas import ML_MART_COLUMNS
 
 DEFAULT_BLOCK_ROWS = 200_000
 
 
+def with_position(stg: DataFrame, col: str = "_g") -> DataFrame:
+    """0-based position of each bar in its symbol's time order."""
+    day = F.to_date("window_start")
+    counts = stg.groupBy(F.col("symbol").alias("_s"), day.alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_s").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_s", "_d", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rows = stg.withColumn("_day", day)
+    in_day = F.row_number().over(Window.partitionBy("symbol", "_day").orderBy("window_start"))
+    rows = rows.withColumn("_in_day", in_day)
+    return (rows.join(starts, rows["symbol"].eqNullSafe(starts["_s"]) & rows["_day"].eqNullSafe(starts["_d"]))
+            .withColumn(col, (F.col("_before") + F.col("_in_day") - 1).cast("bigint"))
+            .drop("_s", "_d", "_day", "_before", "_in_day"))
+
+
 def _with_halo(stg: DataFrame, block_rows: int) -> DataFrame:
     if block_rows <= max(LOOKBACK, LOOKAHEAD):
         raise ValueError(f"block_rows must exceed {max(LOOKBACK, LOOKAHEAD)}")
-    g = with_global_index(stg, ("symbol", "window_start"), "_g")
+    g = with_position(stg)
     blk = F.floor(F.col("_g") / block_rows)
     off = F.col("_g") - blk * block_rows
     targets = F.array(

@@ -58,25 +58,3 @@ def technical_features(stg: DataFrame, w: WindowSpec | None = None, carry: tuple
 def with_future_close(df: DataFrame, w: WindowSpec | None = None, steps: int = 3) -> DataFrame:
     w = w or symbol_window()
     return df.select("*", F.lead("close", steps).over(w).alias(f"future_close_{steps}"))
-
-
-def returns(stg: DataFrame) -> DataFrame:
-    return with_returns(stg).select("symbol", "window_start", "close", "ret_1", "log_ret_1")
-
-
-def moving_averages(stg: DataFrame) -> DataFrame:
-    return technical_features(stg).select("symbol", "window_start", "close", "sma_6", "sma_30",
-                                          "px_vs_sma30")
-
-
-def volatility(stg: DataFrame) -> DataFrame:
-    return technical_features(stg).select("symbol", "window_start", "log_ret_1", "volatility_30")
-
-
-def flow_and_volume(stg: DataFrame) -> DataFrame:
-    return technical_features(stg).select("symbol", "window_start", "order_flow_imbalance", "ofi_6",
-                                          "volume", "rel_volume")
-
-
-def future_close(stg: DataFrame) -> DataFrame:
-    return with_future_close(stg).select("symbol", "window_start", "close", "future_close_3")

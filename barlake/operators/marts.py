@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.operators.indicators import technical_features, with_future_close
+from barlake.operators.indicators import LOOKBACK, technical_features, with_future_close
 from barlake.schemas import ML_MART_COLUMNS
 
 
@@ -22,10 +22,17 @@ def ml_features(features: DataFrame) -> DataFrame:
             .select(*ML_MART_COLUMNS[:-1], label_up().alias("label_up_3")))
 
 
-def ml_features_from_raw(stg: DataFrame) -> DataFrame:
-    """The stand-alone rebuild of the mart from staged bars; same code path as
-    the mart, with the rebuild's column list (no future_close_3)."""
-    return ml_features(technical_features(stg)).drop("future_close_3")
+def recent_bars(stg: DataFrame, n: int = LOOKBACK + 1) -> DataFrame:
+    """The newest ``n`` bars of every symbol; each task keeps ``n`` rows per
+    symbol before the shuffle (WindowGroupLimit)."""
+    w = Window.partitionBy("symbol").orderBy(F.col("window_start").desc())
+    return stg.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def latest_indicators(stg: DataFrame) -> DataFrame:
+    """Indicator row of the newest bar of every symbol from staged bars (E11):
+    the windows run over the look-back it needs, not over the history."""
+    return latest_bar(technical_features(recent_bars(stg)))
 
 
 def latest_bar(features: DataFrame, n: int = 1) -> DataFrame:
@@ -56,10 +63,10 @@ def _snapshot_select(df: DataFrame) -> DataFrame:
     )
 
 
-def symbol_snapshot(features: DataFrame) -> DataFrame:
-    """Latest row per symbol joined USING(symbol) to the per-symbol totals."""
-    latest = latest_bar(features).drop("rn")
-    return _snapshot_select(latest.join(symbol_totals(features), "symbol", "inner"))
+def symbol_snapshot(stg: DataFrame) -> DataFrame:
+    """Latest indicator row per symbol joined USING(symbol) to the totals of
+    its staged bars (C1)."""
+    return _snapshot_select(latest_indicators(stg).drop("rn").join(symbol_totals(stg), "symbol", "inner"))
 
 
 _LATEST_COLS = ["window_start", "close", "ret_1", "px_vs_sma30", "volatility_30",
@@ -67,8 +74,8 @@ _LATEST_COLS = ["window_start", "close", "ret_1", "px_vs_sma30", "volatility_30"
 
 
 def symbol_snapshot_onepass(features: DataFrame) -> DataFrame:
-    """Same result as :func:`symbol_snapshot` in one aggregation and one shuffle:
-    each latest value is a fixed-width ``max_by(col, window_start)``, so the
+    """Same result as :func:`symbol_snapshot` from a saved indicator table, in
+    one aggregation and one shuffle: each latest value is a fixed-width ``max_by(col, window_start)``, so the
     plan stays a partial + final HashAggregate and no join is needed.
     window_start is unique per symbol, so max_by has no ties."""
     latest = [F.max_by(c, "window_start").alias(c) for c in _LATEST_COLS if c != "window_start"]
@@ -87,6 +94,3 @@ def latest_features(features_or_mart: DataFrame, symbol: str | None = None) -> D
         df = df.where(F.col("symbol") == F.lower(F.lit(symbol)))
     return latest_bar(df).drop("rn")
 
-
-__all__ = ["ml_features", "ml_features_from_raw", "latest_bar", "symbol_totals", "symbol_snapshot",
-           "symbol_snapshot_onepass", "latest_features", "label_up"]

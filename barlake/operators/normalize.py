@@ -18,14 +18,19 @@ _PAYLOAD_KEYS = ["e", "s", "t", "p", "q", "T", "m"]
 
 def parse_messages(messages: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Message text -> one column per payload key (``_e`` ... ``_m``) plus
-    ``_raw``. Envelope unwrap: the ``data`` object when present, else the
+    ``_raw`` and ``_json`` (the text is a JSON object). Envelope unwrap: the ``data`` object when present, else the
     root object. Two json_tuple passes parse each message twice at most."""
     keep = list(keep or [])
     text = F.col(value_col).cast("string")
     env = messages.select(*keep, text.alias("_raw"), F.json_tuple(text, "data").alias("_data"))
     payload_text = F.coalesce(F.col("_data"), F.col("_raw"))
     names = [f"_{k}" if k != "T" else "_tt" for k in _PAYLOAD_KEYS]
-    return env.select(*keep, "_raw", F.json_tuple(payload_text, *_PAYLOAD_KEYS).alias(*names))
+    parsed = env.select(*keep, "_raw", F.json_tuple(payload_text, *_PAYLOAD_KEYS).alias(*names))
+    # Readable text without an event type (a subscription answer, ``{}``) is no trade; only text that is not a
+    # JSON object is malformed. A message with an event type has been read already.
+    readable = F.col("_e").isNotNull() | F.coalesce(
+        F.schema_of_variant(F.try_parse_json("_raw")).startswith("OBJECT"), F.lit(False))
+    return parsed.withColumn("_json", readable)
 
 
 def _canonical() -> list[Column]:
@@ -41,12 +46,12 @@ def _canonical() -> list[Column]:
 
 def _classified(messages: DataFrame, value_col: str, keep: list[str]) -> DataFrame:
     parsed = parse_messages(messages, value_col, keep)
-    df = parsed.select(*keep, "_raw", "_e", *_canonical())
+    df = parsed.select(*keep, "_raw", "_json", "_e", *_canonical())
     missing = F.lit(False)
     for c in _REQUIRED:
         missing = missing | F.col(c).isNull()
-    reason = (F.when(F.col("_e").isNull(), F.lit("malformed"))
-              .when(F.col("_e") != "trade", F.lit(None))
+    reason = (F.when(~F.col("_json"), F.lit("malformed"))
+              .when(F.col("_e").isNull() | (F.col("_e") != "trade"), F.lit(None))
               .when(missing, F.lit("bad_field")))
     return df.withColumn("_reason", reason)
 
@@ -65,8 +70,9 @@ def normalize_trades(messages: DataFrame, value_col: str = "value", keep: tuple[
 
 def normalize_rejects(messages: DataFrame, value_col: str = "value",
                       keep: tuple[str, ...] = ()) -> DataFrame:
-    """Messages that could not be read: malformed text or a missing / non-castable field.
-    Non-trade events are not rejects; they are skipped."""
+    """Messages that could not be read: text that is no JSON object, or a trade
+    with a missing / non-castable field. Messages of another or no event type
+    are not rejects; they are skipped."""
     df = _classified(messages, value_col, list(keep))
     return df.where(F.col("_reason").isNotNull()).select(
         *keep, F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
@@ -79,9 +85,10 @@ def encode_trades(trades: DataFrame) -> DataFrame:
 
 
 def decode_trades(records: DataFrame, value_col: str = "value") -> DataFrame:
-    """Bus records -> typed trades with event time (B5, B6). Rows whose value
-    is not a trade record decode to NULLs and are dropped here; see
-    :func:`decode_rejects` for them."""
+    """Bus records -> typed trades with event time (B5, B6). Records without a
+    symbol or an event time cannot enter a bar; they are the rows of
+    :func:`decode_rejects`, which the streaming pipeline writes to a sink of
+    their own."""
     t = F.from_json(F.col(value_col).cast("string"), TRADE_SCHEMA)
     df = records.select(t.alias("t")).select("t.*")
     df = df.withColumn("event_ts", F.timestamp_millis("trade_time"))
@@ -89,7 +96,10 @@ def decode_trades(records: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def decode_rejects(records: DataFrame, value_col: str = "value") -> DataFrame:
-    t = F.from_json(F.col(value_col).cast("string"), TRADE_SCHEMA)
-    return (records.select(F.col(value_col).cast("string").alias("value"), t.alias("t"))
-            .where(F.col("t.symbol").isNull() | F.col("t.trade_time").isNull())
-            .select("value"))
+    """Records :func:`decode_trades` leaves out, with the text and the reason."""
+    text = F.col(value_col).cast("string")
+    t = records.select(text.alias("value"), F.from_json(text, TRADE_SCHEMA).alias("t"))
+    reason = (F.when(F.col("t.symbol").isNull() & F.col("t.trade_time").isNull(), F.lit("malformed"))
+              .when(F.col("t.symbol").isNull(), F.lit("no_symbol"))
+              .when(F.col("t.trade_time").isNull(), F.lit("no_event_time")))
+    return t.select("value", reason.alias("reason")).where("reason IS NOT NULL")

@@ -3,9 +3,11 @@
 Texts are built with built-in string functions; no Python per row."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.exprs import fixed_text
+
 # Fixed values of the summary template (must read exactly like this).
 VOLATILITY_ELEVATED_ABOVE = 0.004
 FLOW_THRESHOLD = 0.05
@@ -38,7 +40,7 @@ def _line() -> F.Column:
             .when(ofi < -FLOW_THRESHOLD, F.lit("net selling"))
             .otherwise(F.lit("balanced flow")))
     line = F.concat(
-        sym, F.lit(": last move "), F.format_string("%+.2f", _or_zero("last_return") * 100),
+        sym, F.lit(": last move "), fixed_text(_or_zero("last_return") * 100, 2, sign=True),
         F.lit("%, trading "), trend, F.lit(" its 30-bar average ("), momentum,
         F.lit(" momentum), "), vol_word, F.lit(" volatility, order flow shows "), flow, F.lit("."))
     return line
@@ -76,3 +78,10 @@ def market_summary(facts: DataFrame) -> DataFrame:
     text = F.when(F.col("assets") == 0, F.lit(EMPTY_SUMMARY)) \
         .otherwise(F.concat(header, F.lit("\n\n"), body))
     return agg.select("assets", text.alias("summary"))
+
+
+def summary_of_table(spark: SparkSession, table: str) -> DataFrame:
+    """The summary of a snapshot table; the fixed message when it does not exist (A10)."""
+    if spark.catalog.tableExists(table):
+        return market_summary(spark.table(table).select(*FACT_COLUMNS))
+    return spark.range(1).select(F.lit(0).cast("bigint").alias("assets"), F.lit(EMPTY_SUMMARY).alias("summary"))

@@ -2,9 +2,11 @@
 (B15, B17, D6, F1, F4, K8, L5, L6)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.exprs import fixed_text
+from barlake.operators.indicators import LOOKBACK, technical_features
 from barlake.operators.marts import latest_bar
 from barlake.schemas import FEATURE_COLUMNS
 
@@ -19,9 +21,10 @@ def symbols(features: DataFrame) -> DataFrame:
 
 
 def symbol_bars(features: DataFrame, symbol: str, limit: int = 300) -> DataFrame:
-    """The last ``limit`` bars of one symbol in ascending time (F1, L6). The
-    symbol filter prunes lake partitions and is pushed below the window
-    operators; the top-k is a TakeOrderedAndProject, no full sort."""
+    """The last ``limit`` bars of one symbol in ascending time (F1, L6) of a
+    saved table: the symbol filter is pushed to the scan and the top-k is a
+    TakeOrderedAndProject, no full sort. Over staged bars use
+    :func:`recent_symbol_bars`, which windows only the newest bars."""
     # the indicator series when the input has them, else the raw bar series
     cols = BAR_SERIES if all(c in features.columns for c in BAR_SERIES) else RAW_SERIES
     last = (features.where(F.col("symbol") == F.lower(F.lit(symbol)))
@@ -36,7 +39,6 @@ def recent_symbol_bars(stg: DataFrame, symbol: str, limit: int = 300) -> DataFra
     (partition-pruned) bars, then passed as a literal so it reaches the scan
     as a pushed filter; indicators run on that slice, the first LOOKBACK rows
     serve only as look-back and are cut. One timestamp reaches the driver."""
-    from barlake.operators.indicators import LOOKBACK, technical_features
     sym = stg.where(F.col("symbol") == F.lower(F.lit(symbol)))
     cut = (sym.select("window_start").orderBy(F.col("window_start").desc()).limit(limit + LOOKBACK)
            .agg(F.min("window_start").alias("c")).first()["c"])
@@ -46,15 +48,23 @@ def recent_symbol_bars(stg: DataFrame, symbol: str, limit: int = 300) -> DataFra
     return symbol_bars(technical_features(recent), symbol, limit)
 
 
+def served_table(spark: SparkSession, *tables: str) -> DataFrame | None:
+    """The first of the tables that exists (A10): the indicator table, else raw bars."""
+    for name in tables:
+        if spark.catalog.tableExists(name):
+            return spark.table(name)
+    return None
+
+
 def kpi_tiles(features: DataFrame) -> DataFrame:
-    """Latest bar of every symbol as KPI texts."""
+    """Latest bar of every symbol as KPI texts (L5), from indicator rows."""
     last = latest_bar(features).drop("rn")
     return last.select(
         "symbol", "close", "px_vs_sma30", "volatility_30", "order_flow_imbalance",
         F.concat(F.lit("$"), F.format_number("close", 2)).alias("last_price_text"),
-        F.concat(F.format_string("%+.2f", F.col("px_vs_sma30") * 100), F.lit("%")).alias("vs_sma30_text"),
-        F.concat(F.format_string("%.3f", F.col("volatility_30") * 100), F.lit("%")).alias("volatility_text"),
-        F.format_string("%+.2f", "order_flow_imbalance").alias("ofi_text"),
+        F.concat(fixed_text(F.col("px_vs_sma30") * 100, 2, sign=True), F.lit("%")).alias("vs_sma30_text"),
+        F.concat(fixed_text(F.col("volatility_30") * 100, 3), F.lit("%")).alias("volatility_text"),
+        fixed_text("order_flow_imbalance", 2, sign=True).alias("ofi_text"),
     )
 
 
@@ -89,10 +99,6 @@ def accepted_requests(requests: DataFrame) -> DataFrame:
     return validate_requests(requests).where("accepted").drop("accepted")
 
 
-def rejected_requests(requests: DataFrame) -> DataFrame:
-    return validate_requests(requests).where(~F.col("accepted")).drop("accepted")
-
-
 def round_half_up(c, places: int) -> F.Column:
     p = float(10 ** places)
     return F.round(F.col(c) * p if isinstance(c, str) else c * p) / p

@@ -24,6 +24,7 @@ from barlake.operators import model as ml
 from barlake.operators import normalize as norm
 from barlake.operators import quality, report, serving
 from barlake.operators.normalize import decode_trades
+from barlake.operators.stack import stack_frames
 from barlake.operators.staging import stg_ohlcv
 from barlake.plans import oracle as O
 from barlake.plans.warehouse import refresh
@@ -145,10 +146,8 @@ def q_flow_and_volume(spark, sf):
                                    "rel_volume")
 
 
-@register("future_close", O.with_ctes(*O.CHAIN_STG, body="""
-SELECT symbol, window_start, close,
-       lead(close, 3) OVER (PARTITION BY symbol ORDER BY window_start) AS future_close_3
-FROM stg""", doubles=("close", "future_close_3")))
+@register("future_close", O.with_ctes(*O.CHAIN_MART, body="""
+SELECT symbol, window_start, close, future_close_3 FROM ahead""", doubles=("close", "future_close_3")))
 def q_future_close(spark, sf):
     """Close three bars ahead."""
     return indicators_all(spark, sf).select("symbol", "window_start", "close", "future_close_3")
@@ -208,17 +207,17 @@ def q_ml_features_from_raw(spark, sf):
 
 
 @register("latest_bar", O.with_ctes(*O.CHAIN_SNAPSHOT, body="""
-SELECT * REPLACE (CAST(rn AS BIGINT) AS rn) FROM ranked WHERE rn = 1""", doubles=FEAT_DOUBLES))
+SELECT *, CAST(1 AS BIGINT) AS rn FROM newest""", doubles=FEAT_DOUBLES))
 def q_latest_bar(spark, sf):
     """Newest indicator row per symbol."""
-    return marts.latest_bar(feats(spark, sf))
+    return marts.latest_indicators(stg(spark, sf))
 
 
-@register("symbol_totals", O.with_ctes(*O.CHAIN_SNAPSHOT, body="SELECT * FROM totals",
+@register("symbol_totals", O.with_ctes(*O.CHAIN_SNAPSHOT, body="SELECT * FROM extent",
                                        doubles=("high_window", "low_window", "total_volume")))
 def q_symbol_totals(spark, sf):
     """Per-symbol high, low, volume and bar count over all history."""
-    return marts.symbol_totals(feats(spark, sf))
+    return marts.symbol_totals(stg(spark, sf))
 
 
 SNAP_DOUBLES = ("last_price", "last_return", "px_vs_sma30", "volatility_30", "order_flow_imbalance",
@@ -229,12 +228,13 @@ SNAPSHOT_SQL = O.with_ctes(*O.CHAIN_SNAPSHOT, body="SELECT * FROM snapshot", dou
 @register("symbol_snapshot", SNAPSHOT_SQL)
 def q_symbol_snapshot(spark, sf):
     """Latest row per symbol joined to its totals."""
-    return marts.symbol_snapshot(feats(spark, sf))
+    return marts.symbol_snapshot(stg(spark, sf))
 
 
 @register("symbol_snapshot_onepass", SNAPSHOT_SQL)
 def q_symbol_snapshot_onepass(spark, sf):
-    """Same snapshot from a single aggregation (no join, one shuffle)."""
+    """Same snapshot from the whole indicator table by a single aggregation, as
+    the warehouse derives it from the saved table."""
     return marts.symbol_snapshot_onepass(feats(spark, sf))
 
 
@@ -306,10 +306,21 @@ def q_raw_table_refresh(spark, sf):
 
 
 @register("load_audit", O.with_ctes(*O.CHAIN_BARS, body="""
-SELECT count(*) AS rows, count(DISTINCT symbol) AS symbols FROM bars"""))
+SELECT CAST(count(*) AS BIGINT) AS rows, count(DISTINCT symbol) AS files FROM bars"""))
 def q_load_audit(spark, sf):
-    """Row and symbol count of the loaded bars."""
-    return lake.load_audit(bars(spark, sf))
+    """Row and file count of a lake (here with one file per symbol)."""
+    path = scratch_path(spark, "lake")
+    bars(spark, sf).repartition("symbol").write.partitionBy("symbol").parquet(path)
+    return lake.load_audit(lake.scan_lake(spark, path))
+
+
+@register("union_bars", BARS_SQL)
+def q_union_bars(spark, sf):
+    """G1: the per-symbol frames of a bar lake stacked by column name."""
+    path = scratch_path(spark, "lake")
+    lake.write_bars(bars(spark, sf), path)
+    names = [r.symbol for r in lake.scan_lake(spark, path).select("symbol").distinct().orderBy("symbol").collect()]
+    return stack_frames([lake.scan_lake(spark, path).where(F.col("symbol") == n) for n in names])
 
 
 # ---------------------------------------------------------------- serving
@@ -324,20 +335,22 @@ SELECT * FROM (SELECT {SERIES_COLS} FROM feats WHERE symbol = lower('VIEW')
                                      doubles=SERIES_DOUBLES))
 def q_symbol_bars(spark, sf):
     """Last 300 bars of one symbol (upper-case input), ascending."""
-    return serving.symbol_bars(feats(spark, sf), "VIEW", 300)
+    return serving.recent_symbol_bars(stg(spark, sf), "VIEW", 300)
 
 
 @register("symbol_bars_padded", ORACLES["symbol_bars"])
 def q_symbol_bars_padded(spark, sf):
-    """F1 from staged bars with a padded read: only the newest 300 + 30 bars
-    of the symbol are read and windowed."""
-    return serving.recent_symbol_bars(stg(spark, sf), "VIEW", 300)
+    """F1 over the bar lake with a padded read: the symbol and the time of its
+    newest 300 + 30 bars are filters of the scan."""
+    path = scratch_path(spark, "lake")
+    lake.write_bars(bars(spark, sf), path)
+    return serving.recent_symbol_bars(stg_ohlcv(lake.scan_lake(spark, path)), "VIEW", 300)
 
 
-@register("symbols", O.with_ctes(*O.CHAIN_FEATS, body="SELECT DISTINCT symbol FROM feats ORDER BY symbol"))
+@register("symbols", O.with_ctes(*O.CHAIN_FEATS, body="SELECT DISTINCT symbol FROM stg ORDER BY symbol"))
 def q_symbols(spark, sf):
     """Distinct symbols, sorted."""
-    return serving.symbols(feats(spark, sf))
+    return serving.symbols(stg(spark, sf))
 
 
 @register("kpi_tiles", O.with_ctes(*O.CHAIN_SNAPSHOT, body="""
@@ -346,10 +359,10 @@ SELECT symbol, close, px_vs_sma30, volatility_30, order_flow_imbalance,
        printf('%+.2f', px_vs_sma30 * 100) || '%' AS vs_sma30_text,
        printf('%.3f', volatility_30 * 100) || '%' AS volatility_text,
        printf('%+.2f', order_flow_imbalance) AS ofi_text
-FROM ranked WHERE rn = 1""", doubles=("close", "px_vs_sma30", "volatility_30", "order_flow_imbalance")))
+FROM newest""", doubles=("close", "px_vs_sma30", "volatility_30", "order_flow_imbalance")))
 def q_kpi_tiles(spark, sf):
     """KPI texts of the latest bar per symbol."""
-    return serving.kpi_tiles(feats(spark, sf))
+    return serving.kpi_tiles(marts.latest_indicators(stg(spark, sf)).drop("rn"))
 
 
 REQ_DEFAULTS_SQL = ", ".join(
@@ -424,7 +437,7 @@ def q_nonpositive_prices(spark, sf):
 
 
 def snapshot(spark, sf):
-    return marts.symbol_snapshot(feats(spark, sf))
+    return marts.symbol_snapshot(stg(spark, sf))
 
 
 def _z(c):
@@ -486,16 +499,18 @@ def q_market_summary(spark, sf):
 STREAM_FILES = 8
 
 
-def run_stream(spark, sf) -> str:
-    """Replays the trades as time-ordered record files through the two
-    streaming queries (raw trades, bars) to completion; returns the lake root."""
-    base = scratch_path(spark, "stream")
+def replayed(spark, sf, base: str):
+    """The trades as time-ordered record files, read as a stream."""
     sfiles.write_record_files(trades(spark, sf), f"{base}/in", STREAM_FILES)
-    src = decode_trades(sfiles.record_stream(spark, f"{base}/in"))
-    qs = bars_stream.start_pipeline(src, f"{base}/lake", f"{base}/chk", width=WIDTH, available_now=True,
-                                    state_partitions=spark.sparkContext.defaultParallelism)
-    for q in qs:
-        q.awaitTermination()
+    return decode_trades(sfiles.record_stream(spark, f"{base}/in"))
+
+
+def streamed_bars(spark, sf) -> str:
+    """Lake root after the bar query has run to completion."""
+    base = scratch_path(spark, "stream")
+    bars_stream.start_bar_sink(replayed(spark, sf, base), f"{base}/lake", f"{base}/chk", width=WIDTH,
+                               available_now=True,
+                               state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return f"{base}/lake"
 
 
@@ -508,15 +523,15 @@ WHERE window_end <= (SELECT max(event_ts) FROM trades) - INTERVAL 30 SECOND""",
 def q_stream_bars(spark, sf):
     """Watermarked bars streamed to a partitioned Parquet sink
     (windows still open at the end of the input are not emitted)."""
-    root = run_stream(spark, sf)
-    return sfiles.ntz_bars(spark.read.parquet(f"{root}/features/bars"))
+    root = streamed_bars(spark, sf)
+    return sfiles.ntz_bars(lake.read_partitioned(spark, f"{root}/features/bars"))
 
 
 @register("lake_scan", STREAM_BARS_SQL)
 def q_lake_scan(spark, sf):
     """A5: the batch loader's scan of the bar lake written by the streaming job
     (recursive, symbol recovered from the folder names)."""
-    root = run_stream(spark, sf)
+    root = streamed_bars(spark, sf)
     return sfiles.ntz_bars(lake.scan_lake(spark, f"{root}/features/bars"))
 
 
@@ -525,8 +540,10 @@ SELECT symbol, trade_id, round(price, 6) AS price, round(quantity, 6) AS quantit
        is_buyer_maker, event_ts FROM trades"""))
 def q_stream_raw_trades(spark, sf):
     """A3: decoded trades streamed to a Parquet lake partitioned by symbol."""
-    root = run_stream(spark, sf)
-    raw = spark.read.parquet(f"{root}/raw/trades")
+    base = scratch_path(spark, "stream")
+    bars_stream.start_raw_sink(replayed(spark, sf, base), f"{base}/lake", f"{base}/chk",
+                               available_now=True).awaitTermination()
+    raw = lake.read_partitioned(spark, f"{base}/lake/raw/trades")
     return raw.select("symbol", "trade_id", "price", "quantity", "trade_time", "is_buyer_maker",
                       utc_wall_clock("event_ts").alias("event_ts"))
 
@@ -567,7 +584,7 @@ def q_training_frame(spark, sf):
                                          doubles=tuple(c for c in FEATURE_COLUMNS if c != "trade_count")))
 def q_latest_features(spark, sf):
     """the last feature row of every symbol of the training frame."""
-    return marts.latest_features(frame(spark, sf)).select("symbol", "window_start", *FEATURE_COLUMNS)
+    return marts.latest_features(ds.clean(mart(spark, sf))).select("symbol", "window_start", *FEATURE_COLUMNS)
 
 
 @register("feature_matrix", O.with_ctes(*CHAIN_INDEXED, body="SELECT symbol, window_start, " + ", ".join(

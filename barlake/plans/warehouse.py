@@ -3,7 +3,8 @@
 raw table -> staging view -> intermediate view -> two mart tables, with the
 declared checks run inside the build; then training and the summary. Each
 step is a function DataFrame -> DataFrame; the only materialisation points
-are the raw table, the two marts, the model folder and its metadata."""
+are the raw table, the indicator table, the two marts, the model folder with
+its metadata, and the summary."""
 from __future__ import annotations
 
 import time
@@ -15,9 +16,8 @@ from barlake.operators import blocked as blk
 from barlake.operators import dataset as ds
 from barlake.operators import marts, quality, report
 from barlake.operators import model as ml
-from barlake.operators.indicators import technical_features
 from barlake.operators.staging import stg_ohlcv, stg_view_sql
-from barlake.session import checkpoint_dir
+from barlake.schemas import TECHNICAL_COLUMNS
 from barlake.sources import lake
 from barlake.sources.metadata import write_metadata
 
@@ -37,34 +37,26 @@ class Warehouse:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str | None = None,
-                    block_rows: int | None = blk.DEFAULT_BLOCK_ROWS, enforce_checks: bool = True) -> Warehouse:
-    """Staging is a catalog view over ``raw.ohlcv_10s`` (A8, A9); the
-    intermediate indicator table and the marts are saved tables (the
-    intermediate is read by the serving queries, so it is materialised once
-    instead of re-windowed per read); checks fail the build (J6). ``block_rows`` switches the indicators to the
-    blocked plan (the default: no task holds more than about ``block_rows``
-    bars however few symbols there are); ``None`` uses plain per-symbol windows."""
+                    block_rows: int = blk.DEFAULT_BLOCK_ROWS, enforce_checks: bool = True,
+                    raw_table: str = lake.layer_table(*lake.RAW_TABLE)) -> Warehouse:
+    """Staging is a catalog view over ``raw_table`` (A8, A9), or a projection
+    of ``raw`` when a DataFrame is given instead of the table. The indicator
+    table is saved once, with the look-ahead close; the 20-column intermediate
+    view, the mart and the snapshot are derived from it. Checks fail the build (J6). No task holds more than
+    about ``block_rows`` bars however few symbols there are."""
     lake.ensure_layers(spark, root)
-    raw_name = lake.layer_table(*lake.RAW_TABLE)
     if raw is None:
-        raw = spark.table(raw_name)
-    if spark.catalog.tableExists(raw_name) and _same_table(spark, raw, raw_name):
-        spark.sql(f"CREATE OR REPLACE VIEW {STG_VIEW} AS {stg_view_sql(raw, raw_name)}")
+        raw = spark.table(raw_table)
+        spark.sql(f"CREATE OR REPLACE VIEW {STG_VIEW} AS {stg_view_sql(raw, raw_table)}")
         stg = spark.table(STG_VIEW)
-    else:                                   # a DataFrame that is not the raw table
-        stg = stg_ohlcv(raw)
-    checkpoint_dir(spark)
-    if block_rows:
-        # computed once, written to the shared checkpoint folder, then read by
-        # the intermediate view and both marts
-        ind = blk.blocked_indicators(stg, block_rows).checkpoint(eager=True)
-        feats = ind.drop("future_close_3")
-        mart_df = blk.mart_from_indicators(ind)
     else:
-        feats = technical_features(stg).checkpoint(eager=True)
-        mart_df = marts.ml_features(feats)
-    feats = lake.save_table(feats, "intermediate", "int_technical_features", root)
-    ml_mart = lake.save_table(mart_df, "marts", "mart_ml_features", root)
+        stg = stg_ohlcv(raw)
+    ind = lake.save_table(blk.blocked_indicators(stg, block_rows), "intermediate", "int_indicators_ahead", root)
+    spark.sql(f"DROP VIEW IF EXISTS {INT_TABLE}")
+    spark.sql(f"CREATE VIEW {INT_TABLE} AS SELECT {', '.join(TECHNICAL_COLUMNS)} FROM "
+              + lake.layer_table("intermediate", "int_indicators_ahead"))
+    feats = spark.table(INT_TABLE)
+    ml_mart = lake.save_table(blk.mart_from_indicators(ind), "marts", "mart_ml_features", root)
     snapshot = lake.save_table(marts.symbol_snapshot_onepass(feats), "marts", "mart_symbol_snapshot", root)
     checks = quality.quality_report(raw, ml_mart, snapshot)
     if enforce_checks:
@@ -72,14 +64,6 @@ def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str
     return Warehouse(stg, feats, ml_mart, snapshot, checks)
 
 
-def _same_table(spark: SparkSession, df: DataFrame, name: str) -> bool:
-    """Whether ``df`` reads exactly the files of table ``name``."""
-    try:
-        return sorted(df.inputFiles()) == sorted(spark.table(name).inputFiles())
-    except Exception:  # noqa: BLE001 - a plan without input files
-        return False
-
-
 @dataclass
 class StepLog:
     rows: list = field(default_factory=list)
@@ -88,30 +72,29 @@ class StepLog:
         self.rows.append((step, int(rows), round(time.time() - t0, 3)))
 
 
-def refresh(spark: SparkSession, lake_path: str, root: str | None = None, rounds: int = ml.ROUNDS,
-            model_dir: str | None = None, block_rows: int | None = blk.DEFAULT_BLOCK_ROWS,
-            parallelism: int = 1) -> DataFrame:
+def refresh(spark: SparkSession, lake_path: str, model_dir: str, root: str | None = None, rounds: int = ml.ROUNDS,
+            block_rows: int = blk.DEFAULT_BLOCK_ROWS, parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
     """Load the lake into raw, build models + checks, train, summarise; each
     step runs only when the one before succeeded (M1). Returns the step log
-    (step, rows, seconds)."""
+    (step, rows, seconds) and the summary, which is also stored as
+    ``marts.market_summary``."""
     log = StepLog()
     t0 = time.time()
     raw = lake.refresh_raw_table(spark, lake.scan_lake(spark, lake_path), root)
     log.add("load", raw.count(), t0)
 
     t0 = time.time()
-    wh = build_warehouse(spark, raw, root, block_rows)
+    wh = build_warehouse(spark, root=root, block_rows=block_rows)
     log.add("build", wh.ml_mart.count(), t0)
 
     t0 = time.time()
     frame = ds.training_frame(spark, ML_MART)
     result = ml.train_direction(frame, rounds, parallelism)
-    model_dir = model_dir or f"{checkpoint_dir(spark).rstrip('/')}/models/direction"
     ml.save_model(result.model, f"{model_dir}/model")
     write_metadata(result.metrics, result.importance, model_dir)
     log.add("train", ds.row_count(frame), t0)
 
     t0 = time.time()
-    summary = report.market_summary(wh.snapshot.select(*report.FACT_COLUMNS))
+    summary = lake.save_table(report.summary_of_table(spark, SNAPSHOT_MART), "marts", "market_summary", root)
     log.add("summary", summary.count(), t0)
-    return spark.createDataFrame(log.rows, "step string, rows bigint, seconds double")
+    return spark.createDataFrame(log.rows, "step string, rows bigint, seconds double"), summary

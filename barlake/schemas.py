@@ -44,8 +44,3 @@ ML_MART_COLUMNS = [
     "symbol", "window_start", "close", "ret_1", "log_ret_1", "px_vs_sma30", "volatility_30",
     "order_flow_imbalance", "ofi_6", "rel_volume", "trade_count", "future_close_3", "label_up_3",
 ]
-
-SNAPSHOT_COLUMNS = [
-    "symbol", "as_of", "last_price", "last_return", "px_vs_sma30", "volatility_30",
-    "order_flow_imbalance", "rel_volume", "high_window", "low_window", "total_volume", "bars",
-]

@@ -38,6 +38,9 @@ def object_store_conf(env: dict | None = None) -> dict[str, str]:
     if conf:
         conf["spark.hadoop.fs.s3a.path.style.access"] = "true"
         conf["spark.hadoop.fs.s3a.impl"] = "org.apache.hadoop.fs.s3a.S3AFileSystem"
+        if "spark.hadoop.fs.s3a.access.key" in conf:
+            conf["spark.hadoop.fs.s3a.aws.credentials.provider"] = \
+                "org.apache.hadoop.fs.s3a.SimpleAWSCredentialsProvider"
         endpoint = conf.get("spark.hadoop.fs.s3a.endpoint", "")
         conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] = str(endpoint.startswith("https")).lower()
     return conf

@@ -13,14 +13,17 @@ from barlake.operators.normalize import decode_trades, encode_trades
 
 
 def source_options(topic: str, servers: str | None = None, starting: str = "latest",
-                   max_per_trigger: int = 20_000) -> dict[str, str]:
+                   max_per_trigger: int | None = 20_000) -> dict[str, str]:
+    """Reader options; ``max_per_trigger=None`` takes all new records at each trigger."""
     servers = servers or os.environ.get("BUS_BOOTSTRAP_SERVERS", "localhost:9092")
-    return {
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(max_per_trigger),
     }
+    if max_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    return options
 
 
 def sink_options(topic: str, servers: str | None = None) -> dict[str, str]:
@@ -34,10 +37,15 @@ def sink_options(topic: str, servers: str | None = None) -> dict[str, str]:
     }
 
 
+def read_records(spark: SparkSession, topic: str = "trades", **kw) -> DataFrame:
+    """Streaming records of the bus as they are; feed them to
+    ``bars_stream.start_record_pipeline``, which keeps undecodable ones."""
+    return spark.readStream.format("kafka").options(**source_options(topic, **kw)).load()
+
+
 def read_trades(spark: SparkSession, topic: str = "trades", **kw) -> DataFrame:
-    """Streaming trades from the bus, decoded, with event time."""
-    raw = spark.readStream.format("kafka").options(**source_options(topic, **kw)).load()
-    return decode_trades(raw)
+    """Streaming trades from the bus, decoded, with event time (no rejects)."""
+    return decode_trades(read_records(spark, topic, **kw))
 
 
 def write_trades(trades: DataFrame, topic: str = "trades", **kw):

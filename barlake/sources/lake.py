@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake.schemas import BAR_COLUMNS
-from barlake.session import checkpoint_dir
 
 RAW_TABLE = ("raw", "ohlcv_10s")
 LAYERS = ("raw", "staging", "intermediate", "marts")
@@ -16,7 +16,8 @@ def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     lives in the path, not in the files (A6). Range partitioning on (symbol,
     window_start) gives each task a contiguous slice, so it writes one or two
     folders, while a symbol holding most of the data is split over many
-    tasks by the sampled range bounds; AQE sizes the partitions."""
+    tasks by the sampled range bounds. ``spark.sql.shuffle.partitions`` is the
+    most tasks there can be; AQE merges small ones."""
     (bars.repartitionByRange("symbol", "window_start")
      .sortWithinPartitions("symbol", "window_start")
      .write.mode(mode).partitionBy("symbol").parquet(path))
@@ -31,17 +32,33 @@ def scan_lake(spark: SparkSession, path: str) -> DataFrame:
     if not fs.exists(hpath):
         raise FileNotFoundError(f"no lake at {path}")
     it = fs.listFiles(hpath, True)
-    found = False
-    while it.hasNext():
-        if it.next().getPath().getName().endswith(".parquet"):
-            found = True
-            break
-    if not found:
+    found = None
+    while found is None and it.hasNext():
+        file = it.next().getPath()
+        if file.getName().endswith(".parquet"):
+            found = str(file.toString())
+    if found is None:
         raise FileNotFoundError(f"no parquet files under {path}")
-    df = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    df = read_partitioned(spark, path, found)
     return df.select(*[c for c in BAR_COLUMNS if c in df.columns])
 
 
+def read_partitioned(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
+    """A table partitioned by symbol folders. The schema is that of a file
+    plus ``symbol string``: folder names like ``005930`` stay text instead of
+    being inferred as numbers."""
+    inner = spark.read.parquet(file) if file else spark.read.parquet(path).drop("symbol")
+    schema = T.StructType([f for f in inner.schema.fields if f.name != "symbol"]
+                          + [T.StructField("symbol", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def compact(spark: SparkSession, path: str, target: str) -> None:
+    """Rewrite a lake of many small files (one per symbol, task and trigger of
+    a streaming sink) under another path, in time order per symbol."""
+    write_bars(scan_lake(spark, path), target)
+
+
 def layer_table(layer: str | None, name: str) -> str:
     """Layer schemas are used verbatim; no layer means the default database."""
     return f"{layer}.{name}" if layer else name
@@ -56,7 +73,10 @@ def ensure_layers(spark: SparkSession, root: str | None = None) -> str:
 
 
 def warehouse_root(spark: SparkSession, root: str | None = None) -> str:
-    return (root or f"{checkpoint_dir(spark).rstrip('/')}/warehouse").rstrip("/")
+    """Folder of the layer databases: the one given, else the session's
+    ``spark.sql.warehouse.dir``. Durable tables never go below the checkpoint
+    folder."""
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def save_table(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
@@ -79,10 +99,7 @@ def refresh_raw_table(spark: SparkSession, bars: DataFrame, root: str | None = N
 
 
 def load_audit(table: DataFrame) -> DataFrame:
-    """Row count and symbol count of a loaded table in one aggregation."""
-    return table.agg(F.count(F.lit(1)).alias("rows"),
-                     F.count_distinct("symbol").alias("symbols"))
-
-
-def file_count(table: DataFrame) -> int:
-    return len(table.inputFiles())
+    """Row and file count of a loaded table in one aggregation (A11, D5); the
+    files are counted where they are read, no listing reaches the driver."""
+    return (table.groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"), F.count("f").alias("files")))

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from barlake.functions.exprs import epoch_micros
 from barlake.operators.bars import DEFAULT_WIDTH, ohlcv_bars
+from barlake.operators.normalize import decode_rejects, decode_trades, normalize_rejects, normalize_trades
 
 WATERMARK = "30 seconds"
 TRIGGER = "10 seconds"
@@ -33,8 +35,9 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 def watermarked(trades: DataFrame, delay: str = WATERMARK, time_col: str = "event_ts") -> DataFrame:
     """Event-time watermark; a TIMESTAMP_NTZ event time is read as UTC."""
-    if trades.schema[time_col].dataType.simpleString() == "timestamp_ntz":
-        trades = trades.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    dtype = trades.schema[time_col].dataType
+    if dtype.simpleString() == "timestamp_ntz":
+        trades = trades.withColumn(time_col, F.timestamp_micros(epoch_micros(F.col(time_col), dtype)))
     return trades.withWatermark(time_col, delay)
 
 
@@ -74,19 +77,31 @@ def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, name: str | No
     return _start(_trigger(w, trigger, available_now), df.sparkSession, state_partitions)
 
 
+def start_raw_sink(trades: DataFrame, lake_root: str, checkpoint_root: str, delay: str = WATERMARK,
+                   trigger: str | None = TRIGGER, available_now: bool = False) -> StreamingQuery:
+    """Decoded trades, partitioned by symbol (A3)."""
+    return start_parquet_sink(watermarked(trades, delay), f"{lake_root.rstrip('/')}/raw/trades",
+                              f"{checkpoint_root.rstrip('/')}/raw_trades", trigger=trigger,
+                              available_now=available_now)
+
+
+def start_bar_sink(trades: DataFrame, lake_root: str, checkpoint_root: str, width: str = DEFAULT_WIDTH,
+                   delay: str = WATERMARK, trigger: str | None = TRIGGER, available_now: bool = False,
+                   state_partitions: int | None = None) -> StreamingQuery:
+    """Watermarked bars, partitioned by symbol (A4)."""
+    return start_parquet_sink(stream_bars(trades, width, delay), f"{lake_root.rstrip('/')}/features/bars",
+                              f"{checkpoint_root.rstrip('/')}/bars", trigger=trigger, available_now=available_now,
+                              state_partitions=state_partitions)
+
+
 def start_pipeline(trades: DataFrame, lake_root: str, checkpoint_root: str, width: str = DEFAULT_WIDTH,
                    delay: str = WATERMARK, trigger: str | None = TRIGGER, available_now: bool = False,
                    state_partitions: int | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Two independent queries over one source definition: raw trades and
     bars, each with its own checkpoint (I8)."""
-    lake_root, checkpoint_root = lake_root.rstrip("/"), checkpoint_root.rstrip("/")
-    wm = watermarked(trades, delay)
-    raw = start_parquet_sink(wm, f"{lake_root}/raw/trades", f"{checkpoint_root}/raw_trades",
-                             trigger=trigger, available_now=available_now)
-    bars = start_parquet_sink(ohlcv_bars(wm, width, ("event_ts", "trade_id")),
-                              f"{lake_root}/features/bars", f"{checkpoint_root}/bars",
-                              trigger=trigger, available_now=available_now, state_partitions=state_partitions)
-    return raw, bars
+    return (start_raw_sink(trades, lake_root, checkpoint_root, delay, trigger, available_now),
+            start_bar_sink(trades, lake_root, checkpoint_root, width, delay, trigger, available_now,
+                           state_partitions))
 
 
 def start_message_pipeline(messages: DataFrame, lake_root: str, checkpoint_root: str,
@@ -96,15 +111,33 @@ def start_message_pipeline(messages: DataFrame, lake_root: str, checkpoint_root:
     """Raw exchange messages in, normalised as a column stage (no separate
     producer process): raw trades, bars and rejected messages, three queries
     with their own checkpoints."""
-    from barlake.operators.normalize import normalize_rejects, normalize_trades
     lake_root, checkpoint_root = lake_root.rstrip("/"), checkpoint_root.rstrip("/")
     trades = normalize_trades(messages, value_col).withColumn("event_ts", F.timestamp_millis("trade_time"))
     raw, bars = start_pipeline(trades, lake_root, checkpoint_root, width, delay, trigger, available_now,
                                state_partitions)
-    w = (normalize_rejects(messages, value_col).writeStream.format("json")
-         .option("path", f"{lake_root}/rejects/messages")
-         .option("checkpointLocation", f"{checkpoint_root}/rejects").outputMode("append"))
-    rejects = _trigger(w, trigger, available_now).start()
+    rejects = _reject_sink(normalize_rejects(messages, value_col), f"{lake_root}/rejects/messages",
+                           f"{checkpoint_root}/rejects", trigger, available_now)
+    return raw, bars, rejects
+
+
+def _reject_sink(rejects: DataFrame, path: str, checkpoint: str, trigger: str | None,
+                 available_now: bool) -> StreamingQuery:
+    w = (rejects.writeStream.format("json").option("path", path)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return _trigger(w, trigger, available_now).start()
+
+
+def start_record_pipeline(records: DataFrame, lake_root: str, checkpoint_root: str, width: str = DEFAULT_WIDTH,
+                          delay: str = WATERMARK, trigger: str | None = TRIGGER, available_now: bool = False,
+                          value_col: str = "value", state_partitions: int | None = None):
+    """Bus records in (:func:`barlake.sources.bus.read_records`): raw trades,
+    bars, and the records that do not decode to a trade with symbol and event
+    time; three queries with their own checkpoints."""
+    lake_root, checkpoint_root = lake_root.rstrip("/"), checkpoint_root.rstrip("/")
+    raw, bars = start_pipeline(decode_trades(records, value_col), lake_root, checkpoint_root, width, delay, trigger,
+                               available_now, state_partitions)
+    rejects = _reject_sink(decode_rejects(records, value_col), f"{lake_root}/rejects/records",
+                           f"{checkpoint_root}/record_rejects", trigger, available_now)
     return raw, bars, rejects
 
 
@@ -113,12 +146,32 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
     return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Sum of numRowsDroppedByWatermark over the recent progress reports
-    (counted after partial aggregation, i.e. late groups, not late rows)."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            total += int(v or 0)
-    return total
+def _dropped(progress) -> int:
+    return sum(int(op.numRowsDroppedByWatermark or 0) for op in progress.stateOperators)
+
+
+class LateRows(StreamingQueryListener):
+    """Running total of numRowsDroppedByWatermark per query run, from every
+    progress report (a query object itself keeps only the newest hundred).
+    Counted after partial aggregation: late groups, not late rows. Add it
+    with ``spark.streams.addListener`` before the queries start; reports
+    arrive shortly after their batch."""
+
+    def __init__(self):
+        self.total: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.total.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        self.total[run] = self.total.get(run, 0) + _dropped(event.progress)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.total.get(str(query.runId), 0)
