@@ -74,27 +74,40 @@ def _ln_fact(x: Column) -> Column:
         x, F.lit(len(LN_FACT) - 1)).cast("int") + 1)).otherwise(series)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once (a lambda variable, not a repeated expression)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def hypergeometric(total: Column, marked: Column, draws: Column, u: Column) -> Column:
     """Marked items among ``draws`` of ``total``, the inverse CDF at ``u``."""
-    t, k, n = total.cast("double"), marked.cast("double"), draws.cast("double")
-    low, high = F.greatest(F.lit(0), draws - (total - marked)).cast("long"), F.least(draws, marked).cast("long")
-    mode = F.least(F.greatest(F.floor((n + 1) * (k + 1) / (t + 2)), low), high)
-    share = F.when(t > 0, k / F.greatest(t, F.lit(1.0))).otherwise(0.0)
-    reach = 12 + F.ceil(12 * F.sqrt(F.greatest(F.lit(0.0), n * share * (1 - share) * (t - n)
-                                               / F.greatest(t - 1, F.lit(1.0)))))
-    first, last = F.greatest(low, mode - reach), F.least(high, mode + reach)
-
-    def log_weight(x):
-        return -(_ln_fact(x) + _ln_fact(marked - x) + _ln_fact(draws - x) + _ln_fact(total - marked - draws + x))
-
-    w = F.transform(F.sequence(first, last), lambda x: F.exp(log_weight(x) - log_weight(mode)))
-    mass = F.aggregate(w, F.lit(0.0), lambda a, x: a + x)
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("below"))
-    # the number of weights whose running sum stays below u
-    return F.least(last, first + F.aggregate(
-        F.transform(w, lambda x: x / mass), start,
-        lambda a, x: F.struct((a["sum"] + x).alias("sum"),
-                              (a["below"] + (a["sum"] + x < u).cast("long")).alias("below")), lambda a: a["below"]))
+    def log_weight(p, x):
+        return -(_let(x, _ln_fact) + _let(p["k"] - x, _ln_fact) + _let(p["n"] - x, _ln_fact)
+                 + _let(p["t"] - p["k"] - p["n"] + x, _ln_fact))
+
+    def window(p):
+        share = p["k"] / F.greatest(p["t"], F.lit(1.0))
+        reach = 12 + F.ceil(12 * F.sqrt(F.greatest(F.lit(0.0), p["n"] * share * (1 - share) * (p["t"] - p["n"])
+                                                   / F.greatest(p["t"] - 1, F.lit(1.0)))))
+        mode = F.least(F.greatest(F.floor((p["n"] + 1) * (p["k"] + 1) / (p["t"] + 2)), p["low"]), p["high"])
+        return _let(F.struct(mode.alias("mode"), reach.alias("reach")), lambda m: F.struct(
+            F.greatest(p["low"], m["mode"] - m["reach"]).cast("long").alias("first"),
+            F.least(p["high"], m["mode"] + m["reach"]).cast("long").alias("last"),
+            log_weight(p, m["mode"]).alias("top")))
+
+    def drawn(p, q):
+        weights = F.transform(F.sequence(q["first"], q["last"]), lambda x: F.exp(log_weight(p, x) - q["top"]))
+        return _let(weights, lambda w: _let(u * F.aggregate(w, F.lit(0.0), lambda a, x: a + x), lambda goal: F.least(
+            q["last"], q["first"] + F.aggregate(
+                w, F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("below")),
+                lambda a, x: F.struct((a["sum"] + x).alias("sum"),
+                                      (a["below"] + (a["sum"] + x < goal).cast("long")).alias("below")),
+                lambda a: a["below"]))))
+
+    given = F.struct(total.cast("double").alias("t"), marked.cast("double").alias("k"), draws.cast("double").alias("n"),
+                     F.greatest(F.lit(0), draws - (total - marked)).cast("long").alias("low"),
+                     F.least(draws, marked).cast("long").alias("high"))
+    return _let(given, lambda p: _let(window(p), lambda q: drawn(p, q)))
 
 
 def _uniform(*parts: Column) -> Column:
@@ -112,10 +125,8 @@ def _halves(level: int, seed: int) -> Column:
     def step(a, x):
         k = hypergeometric(a["items"], x["n"], a["draws"],
                            _uniform(F.lit(seed), F.lit(level), F.col("node"), x["rank"])).cast("long")
-        # the struct keeps the draw in one place, so it is made once
-        return F.element_at(F.transform(F.array(k), lambda d: F.struct(
-            (a["items"] - x["n"]).alias("items"), (a["draws"] - d).alias("draws"),
-            F.concat(a["got"], F.array(d)).alias("got"))), 1)
+        return _let(k, lambda d: F.struct((a["items"] - x["n"]).alias("items"), (a["draws"] - d).alias("draws"),
+                                          F.concat(a["got"], F.array(d)).alias("got")))
     return F.aggregate(parts, start, step, lambda a: a["got"])
 
 
@@ -125,14 +136,13 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int = 0) -> DataFrame:
     nodes = quotas.agg(F.sort_array(F.collect_list(part)).alias("parts")).select(
         F.lit(0).cast("long").alias("node"), "parts")
     for level in range(levels):
-        cut = nodes.select("node", "parts", _halves(level, seed).alias("left"))
-        left = F.zip_with("parts", "left", lambda x, k: F.struct(x["rank"].alias("rank"), k.alias("n"),
-                                                               x["first"].alias("first")))
-        right = F.zip_with("parts", "left", lambda x, k: F.struct(
-            x["rank"].alias("rank"), (x["n"] - k).alias("n"), (x["first"] + k).alias("first")))
-        child = F.explode(F.array(F.struct((F.col("node") * 2).alias("node"), left.alias("parts")),
-                                  F.struct((F.col("node") * 2 + 1).alias("node"), right.alias("parts"))))
-        nodes = cut.select(child.alias("c")).select("c.node", "c.parts")
+        def side(pairs, k, name):
+            return F.struct((F.col("node") * 2 + k).alias("node"), F.transform(pairs, lambda p: p[name]).alias("parts"))
+        pairs = F.zip_with("parts", _halves(level, seed), lambda x, k: F.struct(
+            F.struct(x["rank"].alias("rank"), k.alias("n"), x["first"].alias("first")).alias("left"),
+            F.struct(x["rank"].alias("rank"), (x["n"] - k).alias("n"), (x["first"] + k).alias("first")).alias("right")))
+        nodes = nodes.select(F.explode(_let(pairs, lambda p: F.array(side(p, 0, "left"), side(p, 1, "right"))))
+                             .alias("c")).select("c.node", "c.parts")
         if level == 6 and levels > 8:
             nodes = nodes.repartition("node")
     return (nodes.select(F.col("node").alias("shard"), F.explode("parts").alias("p"))
