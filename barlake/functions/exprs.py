@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,8 +93,14 @@ def fixed_text(c, places: int, sign: bool = False) -> Column:
     c = _c(c)
     zeros = "0." + "0" * places if places else "0"
     pattern = f"+{zeros};-{zeros}" if sign else zeros
+    # Below one unit of the last place the JVM's formatter rounds the shortest decimal text; there the choice
+    # between zero and one unit compares with the binary value nearest to half a unit.
+    half = Decimal(1).scaleb(-places) / 2
+    up = F.abs(c) >= float(half) if Decimal(float(half)) > half else F.abs(c) > float(half)
+    unit = F.when(up, F.lit(float(2 * half))).otherwise(0.0)
+    small = F.when(F.abs(c) < float(2 * half), F.when(c < 0, -unit).otherwise(unit)).otherwise(c)
     return F.when(c.isNull() | F.isnan(c), F.format_string(f"%{'+' if sign else ''}.{places}f", c)).otherwise(
-        F.call_function("format_number", c, F.lit(pattern)))
+        F.call_function("format_number", small, F.lit(pattern)))
 
 
 def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:

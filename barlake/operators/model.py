@@ -7,9 +7,11 @@ validation protocol (5 expanding walk-forward folds, then a time-ordered
 the driver only loops over the five folds."""
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators import dataset as ds
+from barlake.operators.marts import latest_features
 from barlake.operators.metrics import classification_metrics, roc_auc
 from barlake.operators.serving import accepted_requests, decide
 from barlake.schemas import FEATURE_COLUMNS, LABEL_COLUMN
@@ -30,6 +33,7 @@ MAX_DEPTH = 5
 SUBSAMPLE = 0.8
 FEATURE_SUBSET = "0.8"
 SEED = 42
+ROWS_PER_TASK = 50_000
 
 
 @dataclass
@@ -64,18 +68,26 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return decide(score(model, df))
 
 
-def _fit(train: DataFrame, rounds: int) -> PipelineModel:
-    return pipeline(rounds).fit(ds.feature_matrix(train, keep=()))
+def _fit(train: DataFrame, rounds: int, rows: int) -> PipelineModel:
+    """One fit over cached input. Every round is a handful of jobs over the
+    whole input, so small inputs use few tasks (``ROWS_PER_TASK`` each)."""
+    data = ds.feature_matrix(train, keep=()).coalesce(max(1, math.ceil(rows / ROWS_PER_TASK))) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline(rounds).fit(data)
+    finally:
+        data.unpersist()
 
 
-def fit_many(trains: list[DataFrame], rounds: int = ROUNDS, parallelism: int = 1) -> list[PipelineModel]:
-    """Independent fits, up to ``parallelism`` at a time: each fit is a chain
-    of Spark jobs submitted from its own driver thread (the scheme of MLlib's
-    CrossValidator ``parallelism``); seeded, so the models do not depend on it."""
+def fit_many(trains: list[tuple[DataFrame, int]], rounds: int = ROUNDS, parallelism: int = 1) -> list[PipelineModel]:
+    """Independent fits over (rows, number of rows), up to ``parallelism`` at
+    a time: each fit is a chain of Spark jobs submitted from its own driver
+    thread (the scheme of MLlib's CrossValidator ``parallelism``); seeded, so
+    the models do not depend on it."""
     if parallelism <= 1 or len(trains) <= 1:
-        return [_fit(t, rounds) for t in trains]
+        return [_fit(t, rounds, n) for t, n in trains]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda t: _fit(t, rounds), trains))
+        return list(pool.map(lambda t: _fit(t[0], rounds, t[1]), trains))
 
 
 def walk_forward_cv(frame: DataFrame, rounds: int = ROUNDS, n: int | None = None,
@@ -83,7 +95,8 @@ def walk_forward_cv(frame: DataFrame, rounds: int = ROUNDS, n: int | None = None
     """AUC of each expanding fold (K6); one fit per fold."""
     n = ds.row_count(frame) if n is None else n
     splits = [ds.fold_rows(frame, k, n) for k in range(len(ds.fold_bounds(n)))]
-    models = models or fit_many([tr for tr, _ in splits], rounds, parallelism)
+    models = models or fit_many([(tr, lo) for (tr, _), (lo, _) in zip(splits, ds.fold_bounds(n))], rounds,
+                                parallelism)
     out = None
     for k, ((_, test), model) in enumerate(zip(splits, models)):
         auc = roc_auc(score(model, test)).select(F.lit(k).alias("fold"), "*")
@@ -114,8 +127,8 @@ def train_direction(frame: DataFrame, rounds: int = ROUNDS, parallelism: int = 1
     n = ds.row_count(frame)
     split = ds.holdout_split(frame, n=n)
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    fold_trains = [ds.fold_rows(frame, k, n)[0] for k in range(len(ds.fold_bounds(n)))]
-    fitted = fit_many(fold_trains + [train], rounds, parallelism)
+    fold_trains = [(ds.fold_rows(frame, k, n)[0], lo) for k, (lo, _) in enumerate(ds.fold_bounds(n))]
+    fitted = fit_many([*fold_trains, (train, int(n * ds.HOLDOUT_FRACTION))], rounds, parallelism)
     folds = walk_forward_cv(frame, rounds, n, models=fitted[:-1])
     cv = folds.where(~F.isnan("auc")).agg(F.avg("auc").alias("cv_auc")) \
         .select(F.coalesce("cv_auc", F.lit(float("nan"))).alias("cv_auc"))
@@ -144,7 +157,6 @@ def score_latest(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """Newest row of every symbol of ``frame`` scored in one job (K9). With
     the training frame (parity) the row is the last one with a known future;
     pass the indicator table for the live row."""
-    from barlake.operators.marts import latest_features
     return predict(model, latest_features(frame)).select(
         "symbol", "window_start", "prob_up", "direction", "confidence")
 

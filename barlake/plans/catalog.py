@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import fixtures as fx
-from barlake.functions.exprs import round_doubles, utc_wall_clock
+from barlake.functions.exprs import fixed_text, round_doubles, utc_wall_clock
 from barlake.operators import bars as bars_op
 from barlake.operators import blocked
 from barlake.operators import dataset as ds
@@ -664,19 +664,18 @@ def q_roc_auc(spark, sf):
     return mx.roc_auc(test_scored(spark, sf))
 
 
-# ---------------------------------------------------------------- model (rows-only checks)
+# ---------------------------------------------------------------- model
+# Values that depend on the learner get a rows-only check; ``*_checks`` keys
+# compare what does not.
 
-# Boosting rounds of the registered model queries; the library default is
-# the reference's 400 (about 25 min per training on one machine).
-QUERY_ROUNDS = 20
 QUERY_FIT_PARALLELISM = 6
 _TRAINED: dict = {}
 
 
 def trained(spark, sf):
-    key = (spark.sparkContext.applicationId, sf, QUERY_ROUNDS)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
-        _TRAINED[key] = ml.train_direction(frame(spark, sf), QUERY_ROUNDS, QUERY_FIT_PARALLELISM)
+        _TRAINED[key] = ml.train_direction(frame(spark, sf), parallelism=QUERY_FIT_PARALLELISM)
     return _TRAINED[key]
 
 
@@ -701,21 +700,21 @@ def q_feature_importance(spark, sf):
 @register("score_features")
 def q_score_features(spark, sf):
     """K7, K8: every row of the training frame scored."""
-    return ml.predict(trained(spark, sf).model, frame(spark, sf)).select(
+    return ml.predict(trained(spark, sf).model, ds.clean(mart(spark, sf))).select(
         "symbol", "window_start", "prob_up", "direction", "confidence")
 
 
 @register("score_latest")
 def q_score_latest(spark, sf):
     """K9: newest training row of every symbol scored."""
-    return ml.score_latest(trained(spark, sf).model, frame(spark, sf))
+    return ml.score_latest(trained(spark, sf).model, ds.clean(mart(spark, sf)))
 
 
 @register("score_latest_live")
 def q_score_latest_live(spark, sf):
     """K9 with source = live: the newest indicator row of every symbol (no
     known future needed) scored."""
-    return ml.score_latest(trained(spark, sf).model, feats(spark, sf))
+    return ml.score_latest(trained(spark, sf).model, marts.latest_indicators(stg(spark, sf)))
 
 
 @register("score_requests")
@@ -737,14 +736,182 @@ def q_model_info(spark, sf):
     return metrics
 
 
+SCORE_CHECKS = """(prob_up BETWEEN 0 AND 1)
+       AND (direction = CASE WHEN prob_up >= 0.5 THEN 'up' ELSE 'down' END OR abs(prob_up - 0.5) < 0.0001)
+       AND abs(confidence - 2 * abs(prob_up - 0.5)) < 0.0003"""
+
+
+@register("train_direction_checks", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT metric, CASE metric WHEN 'n_train' THEN floor(n * 0.8) WHEN 'n_test' THEN n - floor(n * 0.8)
+                           WHEN 'base_rate' THEN base END AS value, TRUE AS in_range
+FROM (SELECT CAST(count(*) AS DOUBLE) AS n, avg(CAST(label_up_3 AS DOUBLE)) AS base FROM indexed),
+     unnest(['cv_auc', 'test_auc', 'test_accuracy', 'test_f1', 'test_precision', 'test_recall', 'n_train', 'n_test',
+             'base_rate']) AS t(metric)""", doubles=("value",)))
+def q_train_direction_checks(spark, sf):
+    """Names of the metrics document, its sizes and base rate, and the range of the scores."""
+    fixed = F.col("metric").isin("n_train", "n_test", "base_rate")
+    return trained(spark, sf).metrics.select(
+        "metric", F.when(fixed, F.col("value")).alias("value"),
+        (fixed | F.isnan("value") | F.col("value").between(0, 1)).alias("in_range"))
+
+
+@register("walk_forward_counts", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT fold, count(*) FILTER (WHERE label_up_3 = 1) AS pos, count(*) FILTER (WHERE label_up_3 <> 1) AS neg
+FROM (SELECT label_up_3, CAST((row_idx - (n_rows - 5 * (n_rows // 6))) // (n_rows // 6) AS INTEGER) AS fold
+      FROM sized WHERE row_idx >= n_rows - 5 * (n_rows // 6)) GROUP BY fold"""))
+def q_walk_forward_counts(spark, sf):
+    """Label counts of the fold that each AUC is over."""
+    return trained(spark, sf).fold_auc.select("fold", F.col("pos").cast("bigint").alias("pos"),
+                                              F.col("neg").cast("bigint").alias("neg"))
+
+
+@register("feature_importance_checks", "SELECT f AS feature, CAST(i AS INTEGER) AS position, TRUE AS sums_to_one "
+          "FROM (SELECT unnest([" + ", ".join(f"'{x}'" for x in FEATURE_COLUMNS) + "]) AS f, "
+          f"unnest(range({len(FEATURE_COLUMNS)})) AS i)")
+def q_feature_importance_checks(spark, sf):
+    """Every feature once, in order, importances adding up to 1."""
+    t = trained(spark, sf).importance
+    total = t.agg(F.sum("importance")).first()[0]
+    return t.select("feature", (F.array_position(F.array(*map(F.lit, FEATURE_COLUMNS)), F.col("feature")) - 1)
+                    .cast("int").alias("position"), F.lit(abs(total - 1) < 1e-6).alias("sums_to_one"))
+
+
+@register("score_features_checks", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT symbol, window_start, TRUE AS consistent FROM indexed"""))
+def q_score_features_checks(spark, sf):
+    """K7, K8: which rows are scored, and that direction and confidence follow the probability."""
+    return q_score_features(spark, sf).select("symbol", "window_start", F.expr(SCORE_CHECKS).alias("consistent"))
+
+
+@register("score_latest_checks", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT symbol, max(window_start) AS window_start, TRUE AS consistent FROM indexed GROUP BY symbol"""))
+def q_score_latest_checks(spark, sf):
+    """K9: the row that is scored for each symbol."""
+    return q_score_latest(spark, sf).select("symbol", "window_start", F.expr(SCORE_CHECKS).alias("consistent"))
+
+
 # ---------------------------------------------------------------- refresh job
-@register("refresh_report")
+@register("refresh_report", O.with_ctes(*CHAIN_INDEXED, body="""
+SELECT 'load' AS step, count(*) AS rows FROM bars UNION ALL SELECT 'build', count(*) FROM mart UNION ALL
+SELECT 'train', count(*) FROM indexed UNION ALL SELECT 'summary', 1"""))
 def q_refresh_report(spark, sf):
-    """Lake -> raw -> warehouse + checks -> training -> summary."""
+    """Lake -> raw -> warehouse + checks -> training -> stored summary."""
     path = scratch_path(spark, "refresh-lake")
     lake.write_bars(bars(spark, sf), path)
-    return refresh(spark, path, root=scratch_path(spark, "warehouse"), rounds=QUERY_ROUNDS,
-                   model_dir=scratch_path(spark, "model"), parallelism=QUERY_FIT_PARALLELISM).select("step", "rows")
+    log, _ = refresh(spark, path, scratch_path(spark, "model"), root=scratch_path(spark, "warehouse"),
+                     parallelism=QUERY_FIT_PARALLELISM)
+    return log.select("step", "rows")
+
+
+# ---------------------------------------------------------------- rows the fixture lacks
+# Projections of ``events`` that hold them.
+
+@register("lineitem_bars", """
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, symbol, round(open, 6) AS open,
+       round(close, 6) AS close, trade_count
+FROM (SELECT date_trunc('day', l_shipdate)::TIMESTAMP AS window_start, l_returnflag || l_linestatus AS symbol,
+             arg_min(price, k) AS open, arg_max(price, k) AS close, count(*) AS trade_count
+      FROM (SELECT *, l_extendedprice / l_quantity AS price,
+                   {'a': l_shipdate, 'b': l_orderkey, 'c': l_linenumber, 'd': l_partkey, 'e': l_suppkey,
+                    'f': l_extendedprice / l_quantity} AS k FROM lineitem) GROUP BY 1, 2)""")
+def q_lineitem_bars(spark, sf):
+    """D1 with a six-part tie-break (the struct ordering key), day bars."""
+    t = fx.trades_from_lineitem(fx.table(spark, sf, "lineitem"))
+    t = t.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+    return bars_op.ohlcv_bars(t, "1 day", fx.LINEITEM_ORDER).select(
+        "window_start", "window_end", "symbol", "open", "close", "trade_count")
+
+
+NUMERIC_SYMBOL = "lpad(CAST(trade_id % 7 * 930 AS STRING), 6, '0')"
+
+
+@register("numeric_symbol_bars", O.with_ctes(O.TRADES_CTE.replace(
+    "event_type AS symbol", "lpad(CAST(event_id % 7 * 930 AS VARCHAR), 6, '0') AS symbol"), O.BARS_CTE, O.STG_CTE,
+    body="SELECT symbol, window_start, close, trade_count FROM stg", doubles=("close",)))
+def q_numeric_symbol_bars(spark, sf):
+    """Zero-padded numeric symbols survive the lake as text."""
+    path = scratch_path(spark, "lake")
+    t = trades(spark, sf).withColumn("symbol", F.expr(NUMERIC_SYMBOL))
+    lake.write_bars(bars_op.ohlcv_bars(t, WIDTH, fx.EVENTS_ORDER), path)
+    return stg_ohlcv(lake.scan_lake(spark, path)).select("symbol", "window_start", "close", "trade_count")
+
+
+@register("null_id_bars", O.with_ctes(O.TRADES_CTE.replace(
+    "event_id AS trade_id", "CASE WHEN event_id % 3 <> 0 THEN event_id END AS trade_id"), """
+keyed AS (SELECT *, time_bucket(INTERVAL '1 hour', event_ts) AS window_start, {'t': event_ts, 'n': trade_id IS NOT NULL,
+                 'i': coalesce(trade_id, 0), 'p': price} AS k FROM trades)""", body="""
+SELECT symbol, window_start, arg_min(price, k) AS open, arg_max(price, k) AS close, count(*) AS trade_count
+FROM keyed GROUP BY 1, 2""", doubles=("open", "close")))
+def q_null_id_bars(spark, sf):
+    """Trades without an id still open and close their bars."""
+    t = trades(spark, sf).withColumn("trade_id", F.when(F.col("trade_id") % 3 != 0, F.col("trade_id")))
+    return bars_op.ohlcv_bars(t, WIDTH, fx.EVENTS_ORDER).select("symbol", "window_start", "open", "close",
+                                                                "trade_count")
+
+
+@register("other_messages", """
+SELECT event_id AS msg_id, CASE WHEN event_id % 101 = 0 THEN 'malformed' WHEN event_id % 5 = 0 THEN 'skipped'
+                                WHEN event_type = 'error' THEN 'skipped' ELSE 'trade' END AS kind FROM events""")
+def q_other_messages(spark, sf):
+    """B1, B2, Q9: readable messages without an event type are skipped, unreadable text is rejected."""
+    msgs = fx.messages_from_events(fx.table(spark, sf, "events"))
+    other = F.when(F.col("msg_id") % 10 == 0, F.lit("{}")).otherwise(
+        F.format_string('{"result":null,"id":%d}', "msg_id"))
+    msgs = msgs.withColumn("value", F.when((F.col("msg_id") % 5 == 0) & (F.col("msg_id") % 101 != 0), other)
+                           .otherwise(F.col("value")))
+    kinds = norm.normalize_trades(msgs, keep=("msg_id",)).select("msg_id", F.lit("trade").alias("kind")).unionByName(
+        norm.normalize_rejects(msgs, keep=("msg_id",)).select("msg_id", F.col("reason").alias("kind")))
+    return msgs.select("msg_id").join(kinds, "msg_id", "left").select(
+        "msg_id", F.coalesce("kind", F.lit("skipped")).alias("kind"))
+
+
+@register("number_texts", """
+SELECT event_id, printf('%+.2f', x) AS signed_text, printf('%.3f', y) AS plain_text
+FROM (SELECT event_id, (event_id % 4001 - 2000) / 1600.0::DOUBLE AS x, (event_id % 997) / 16000.0::DOUBLE AS y
+      FROM events)""")
+def q_number_texts(spark, sf):
+    """Number texts on and near rounding ties."""
+    x = (F.col("event_id") % 4001 - 2000) / F.lit(1600.0)
+    y = (F.col("event_id") % 997) / F.lit(16000.0)
+    return fx.table(spark, sf, "events").select(
+        "event_id", fixed_text(x, 2, sign=True).alias("signed_text"), fixed_text(y, 3).alias("plain_text"))
+
+
+@register("quality_failures", O.with_ctes(*O.CHAIN_MART, """
+raw AS (SELECT CASE WHEN trade_count % 3 <> 0 THEN symbol END AS symbol,
+               CASE WHEN trade_count % 5 <> 0 THEN window_start END AS window_start,
+               CASE WHEN trade_count % 7 <> 0 THEN close END AS close FROM bars),
+bad AS (SELECT CASE WHEN trade_count % 3 <> 0 THEN symbol END AS symbol,
+               CASE WHEN trade_count % 4 <> 0 THEN label_up_3 + trade_count % 2 END AS label_up_3,
+               CASE WHEN trade_count % 5 <> 0 THEN volatility_30 END AS volatility_30,
+               CASE WHEN trade_count % 6 <> 0 THEN close ELSE -close END AS close FROM mart),
+snap AS (SELECT symbol, CASE WHEN trade_count % 9 <> 0 THEN close END AS last_price FROM mart)""", body="\nUNION ALL\n".join([
+    _nn("raw.ohlcv_10s", "raw", "symbol"), _nn("raw.ohlcv_10s", "raw", "window_start"),
+    _nn("raw.ohlcv_10s", "raw", "close"),
+    _nn("marts.mart_ml_features", "bad", "symbol"), _nn("marts.mart_ml_features", "bad", "label_up_3"),
+    _nn("marts.mart_ml_features", "bad", "volatility_30"),
+    "SELECT 'marts.mart_ml_features.accepted_values.label_up_3', CAST(count(*) FILTER "
+    "(WHERE label_up_3 IS NOT NULL AND label_up_3 NOT IN (0, 1)) AS BIGINT) FROM bad",
+    "SELECT 'marts.mart_ml_features.positive_prices', CAST(count(*) FILTER (WHERE close <= 0) AS BIGINT) FROM bad",
+    _nn("marts.mart_symbol_snapshot", "snap", "symbol"), _nn("marts.mart_symbol_snapshot", "snap", "last_price"),
+    "SELECT 'marts.mart_symbol_snapshot.unique.symbol', CAST(count(*) AS BIGINT) FROM "
+    "(SELECT symbol FROM snap WHERE symbol IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+    "SELECT 'nonpositive_prices', CAST(count(*) AS BIGINT) FROM bad WHERE close <= 0",
+])))
+def q_quality_failures(spark, sf):
+    """J1-J5 over rows that break them: NULLs, labels beyond 0 and 1, prices at or below 0, repeated symbols."""
+    def unless(c, k, otherwise=None):
+        return F.when(F.col("trade_count") % k != 0, F.col(c)).otherwise(otherwise)
+    m = mart(spark, sf)
+    raw = bars(spark, sf).select(unless("symbol", 3).alias("symbol"), unless("window_start", 5).alias("window_start"),
+                                 unless("close", 7).alias("close"))
+    label = F.when(F.col("trade_count") % 4 != 0, (F.col("label_up_3") + F.col("trade_count") % 2).cast("int"))
+    bad = m.select(unless("symbol", 3).alias("symbol"), label.alias("label_up_3"),
+                   unless("volatility_30", 5).alias("volatility_30"), unless("close", 6, -F.col("close")).alias("close"))
+    snap = m.select("symbol", unless("close", 9).alias("last_price"))
+    singular = quality.nonpositive_prices(bad).agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit("nonpositive_prices").alias("check_name"), "failures")
+    return quality.quality_report(raw, bad, snap).unionByName(singular)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

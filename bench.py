@@ -36,19 +36,18 @@ def build(spark):
     li_stg = lambda: lineitem_stg(spark)
     ev = lambda name: catalog.QUERIES[name](spark, SF_DIR)
     return {
-        # lineitem as trades: ~600k trades at sf0.1, 6 symbols, day bars
+        # lineitem as trades: ~600k trades at sf0.1, 6 symbols, day bars; the default (blocked) plans
         "li_bars": lambda: bars_op.ohlcv_bars(
             fx.trades_from_lineitem(fx.table(spark, SF_DIR, "lineitem")), LINEITEM_WIDTH, fx.LINEITEM_ORDER),
-        "li_features": lambda: indicators.technical_features(li_stg()),
-        "li_features_blocked": lambda: blocked.blocked_technical_features(li_stg(), 2000),
-        "li_ml_features": lambda: marts.ml_features(indicators.technical_features(li_stg())),
-        "li_snapshot": lambda: marts.symbol_snapshot(indicators.technical_features(li_stg())),
-        "li_snapshot_onepass": lambda: marts.symbol_snapshot_onepass(indicators.technical_features(li_stg())),
-        "li_symbol_bars": lambda: serving.symbol_bars(indicators.technical_features(li_stg()), "NO", 300),
-        "li_training_frame": lambda: ds.training_frame_from(marts.ml_features(indicators.technical_features(li_stg()))),
+        "li_features": lambda: indicators.technical_features(li_stg()),   # per-symbol windows, for comparison
+        "li_features_blocked": lambda: blocked.blocked_technical_features(li_stg()),
+        "li_ml_features": lambda: blocked.blocked_ml_features(li_stg()),
+        "li_snapshot": lambda: marts.symbol_snapshot(li_stg()),
+        "li_snapshot_onepass": lambda: marts.symbol_snapshot_onepass(blocked.blocked_technical_features(li_stg())),
+        "li_symbol_bars": lambda: serving.recent_symbol_bars(li_stg(), "NO", 300),
+        "li_training_frame": lambda: ds.training_frame_from(blocked.blocked_ml_features(li_stg())),
         "li_roc_auc": lambda: metrics.roc_auc(
-            marts.ml_features(indicators.technical_features(li_stg()))
-            .withColumn("prob_up", F.expr(catalog.FIXED_SCORE))),
+            blocked.blocked_ml_features(li_stg()).withColumn("prob_up", F.expr(catalog.FIXED_SCORE))),
         # events as trades / messages
         "ev_bars": lambda: ev("ohlcv_bars"),
         "ev_normalize": lambda: normalize.normalize_trades(

@@ -36,6 +36,19 @@ def test_ties_broken_by_trade_id(spark):
     assert (r.open, r.close) == (2.0, 1.0)
 
 
+def test_null_trade_id_keeps_its_price(spark):
+    rows = [("a", None, 7.0, 1.0, False, T0), ("a", 4, 8.0, 1.0, False, T0 + dt.timedelta(seconds=1)),
+            ("b", None, 5.0, 1.0, False, T0), ("b", None, 5.0, 1.0, False, T0 + dt.timedelta(seconds=2)),
+            ("c", 1, 1.0, 1.0, False, T0), ("c", None, 2.0, 1.0, False, T0)]
+    out = {r.symbol: r for r in ohlcv_bars(_trades(spark, rows), "10 seconds").collect()}
+    assert (out["a"].open, out["a"].close) == (7.0, 8.0)
+    assert (out["b"].open, out["b"].close) == (5.0, 5.0)
+    assert (out["c"].open, out["c"].close) == (2.0, 1.0)      # no id sorts before any id of the instant
+    by_struct = {r.symbol: r for r in ohlcv_bars(_trades(spark, rows), "10 seconds",
+                                                 ("event_ts", "trade_id", "quantity")).collect()}
+    assert {s: (r.open, r.close) for s, r in by_struct.items()} == {s: (r.open, r.close) for s, r in out.items()}
+
+
 trade = st.tuples(st.sampled_from(["x", "y"]), st.floats(0.5, 1000), st.one_of(st.just(0.0), st.floats(1e-3, 50)),
                   st.booleans(), st.integers(0, 119))
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from barlake.plans import catalog
@@ -40,6 +42,38 @@ def test_blocked_equals_plain(spark, stg, block):
     assert _rows(pm) == _rows(bm.select(*pm.columns))
 
 
+def test_planning_runs_no_job_and_prunes_the_scan(spark):
+    tracker = spark.sparkContext.statusTracker()
+    stg = catalog.stg(spark, SF_SMALL)                      # reading the table's schema is a job of its own
+    spark.sparkContext.setJobGroup("planning", "planning only")
+    try:
+        df = blocked.blocked_technical_features(stg).select("symbol", "window_start", "close", "ret_1", "log_ret_1")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "ExistingRDD" not in plan
+    scans = re.findall(r"ReadSchema: \S+", plan)
+    assert scans and not any("user_id" in s for s in scans)  # order flow is not computed for returns
+
+
+def test_hot_symbol_is_split(spark):
+    """One symbol with 99 % of the bars: no window partition exceeds a block and its halo."""
+    from pyspark.sql import functions as F
+    n, block = 6000, 200
+    minute = F.timestamp_add("MINUTE", F.col("id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    stg = spark.range(n).select(
+        minute.alias("window_start"), minute.alias("window_end"),
+        F.when(F.col("id") % 100 == 0, "small").otherwise("hot").alias("symbol"),
+        *[(F.col("id") % 37 + 1.0).alias(c) for c in ("open", "high", "low", "close", "volume", "vwap")],
+        F.lit(1).cast("bigint").alias("trade_count"), F.lit(0.5).alias("net_signed_volume"),
+        F.lit(0.1).alias("order_flow_imbalance"))
+    halo = blocked._with_halo(stg, block)
+    assert halo.groupBy("symbol", "_blk").count().agg({"count": "max"}).first()[0] <= block + 33
+    plain = round_doubles(indicators.technical_features(stg))
+    assert _rows(round_doubles(blocked.blocked_technical_features(stg, block)).select(*plain.columns)) == _rows(plain)
+
+
 def test_block_too_small(spark, stg):
     with pytest.raises(ValueError):
         blocked.blocked_technical_features(stg, 30)
@@ -47,7 +81,7 @@ def test_block_too_small(spark, stg):
 
 def test_snapshot_forms_agree(spark, stg):
     f = indicators.technical_features(stg)
-    a = round_doubles(marts.symbol_snapshot(f))
+    a = round_doubles(marts.symbol_snapshot(stg))
     b = round_doubles(marts.symbol_snapshot_onepass(f))
     assert _rows(a) == _rows(b.select(*a.columns))
     assert a.select("symbol").distinct().count() == a.count()

@@ -20,5 +20,5 @@ def test_plan_shape(spark, key):
     if key == "ohlcv_bars":
         assert "SortAggregate" not in plan and "HashAggregate" in plan
     if key == "symbol_snapshot_onepass":
-        joins = [l for l in plan.split("\n") if "Join" in l and "_pid" not in l]
-        assert joins == [], joins          # only the index-offset lookup joins
+        joins = [l for l in plan.split("\n") if "Join" in l and "_before" not in l and "_s" not in l]
+        assert joins == [], joins          # only the day-offset lookup joins

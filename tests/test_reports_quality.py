@@ -35,10 +35,25 @@ def test_line_template_and_nan(spark):
 def test_checks_pass_on_fixture_and_fail_on_bad_rows(spark):
     f = catalog.feats(spark, SF_SMALL)
     from barlake.operators import marts
-    mart, snap = marts.ml_features(f), marts.symbol_snapshot(f)
+    mart, snap = marts.ml_features(f), marts.symbol_snapshot_onepass(f)
     rep = quality.enforce(quality.quality_report(catalog.bars(spark, SF_SMALL), mart, snap))
     assert rep.count() == 11
     dup = snap.unionByName(snap)
     with pytest.raises(quality.QualityError):
         quality.enforce(quality.snapshot_checks(dup))
     assert quality.nonpositive_prices(mart).count() == 0
+
+
+def test_number_texts_round_the_binary_value(spark):
+    """Ties go to even and decimals that are not exact round as they are stored, as printf does."""
+    from pyspark.sql import functions as F
+
+    from barlake.functions.exprs import fixed_text
+    values = [0.125, 2.675, 1.005, -0.125, -2.5, 0.0, 1234567.125, -0.001, 0.375, 0.005, 0.0005, -0.005, 0.00049, 0.0051]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(fixed_text("x", 2, sign=True)).collect()]
+    assert got == [f"{v:+.2f}" for v in values]
+    assert [r[0] for r in df.select(fixed_text("x", 3)).collect()] == [f"{v:.3f}" for v in values]
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert [r[0] for r in odd.select(fixed_text("x", 2, sign=True)).collect()] == [
+        r[0] for r in odd.select(F.format_string("%+.2f", "x")).collect()]

@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from barlake.operators.normalize import decode_trades, encode_trades
@@ -43,9 +45,69 @@ def test_late_rows_dropped_and_counted(spark, tmp_dir):
     # a late file: the earliest rows again, far behind the watermark
     late = trades.orderBy("event_ts").limit(14).withColumn("trade_id", F.col("trade_id") + 10**9)
     encode_trades(late).coalesce(1).write.mode("append").json(f"{tmp_dir}/in")
-    q = _run(spark, f"{tmp_dir}/in", tmp_dir)
-    assert _bars(spark, f"{tmp_dir}/bars") == before
-    assert bars_stream.dropped_by_watermark(q) > 0
+    late_rows = bars_stream.LateRows()
+    spark.streams.addListener(late_rows)
+    try:
+        q = _run(spark, f"{tmp_dir}/in", tmp_dir)
+        assert _bars(spark, f"{tmp_dir}/bars") == before
+        for _ in range(100):                              # reports arrive behind the batch
+            if late_rows.of(q) > 0:
+                break
+            time.sleep(0.1)
+        assert late_rows.of(q) > 0
+    finally:
+        spark.streams.removeListener(late_rows)
+
+
+def test_late_rows_total_survives_more_reports_than_spark_keeps():
+    from types import SimpleNamespace as N
+    late_rows = bars_stream.LateRows()
+    for k in range(250):
+        late_rows.onQueryProgress(N(progress=N(runId="r", stateOperators=[N(numRowsDroppedByWatermark=1),
+                                                                         N(numRowsDroppedByWatermark=k % 2)])))
+    assert late_rows.of(N(runId="r")) == 250 + 125
+
+
+def test_processing_time_trigger(spark, tmp_dir):
+    trades = catalog.trades(spark, SF_SMALL)
+    sfiles.write_record_files(trades, f"{tmp_dir}/in", 2)
+    src = decode_trades(sfiles.record_stream(spark, f"{tmp_dir}/in"))
+    q = bars_stream.start_raw_sink(src, f"{tmp_dir}/lake", f"{tmp_dir}/chk", trigger="1 second")
+    try:
+        for _ in range(300):
+            if q.lastProgress is not None and q.lastProgress.batchId >= 1:
+                break
+            time.sleep(0.2)
+        assert q.isActive and q.lastProgress.batchId >= 1
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{tmp_dir}/lake/raw/trades").count() == trades.count()
+
+
+def test_undecodable_records_get_a_sink(spark, tmp_dir):
+    trades = catalog.trades(spark, SF_SMALL)
+    sfiles.write_record_files(trades, f"{tmp_dir}/in", 2)
+    bad = ['garbage', '{"trade_id":1,"price":2.0}', '{"symbol":"a","price":2.0}', '{"trade_time":5,"price":2.0}']
+    spark.createDataFrame([("k", b) for b in bad], "key string, value string").coalesce(1) \
+        .write.mode("append").json(f"{tmp_dir}/in")
+    stream = sfiles.record_stream(spark, f"{tmp_dir}/in")
+    for q in bars_stream.start_record_pipeline(stream, f"{tmp_dir}/lake", f"{tmp_dir}/chk", width=WIDTH,
+                                               available_now=True):
+        q.awaitTermination()
+    got = {r.value: r.reason for r in spark.read.json(f"{tmp_dir}/lake/rejects/records").collect()}
+    assert got == dict(zip(bad, ["malformed", "malformed", "no_event_time", "no_symbol"]))
+    assert spark.read.parquet(f"{tmp_dir}/lake/raw/trades").count() == trades.count()
+
+
+def test_wall_clock_watermark_is_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 12:00:00' AS event_ts")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        at = bars_stream.watermarked(df).select(F.unix_micros("event_ts")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert at == 1_704_110_400_000_000
 
 
 def test_restart_on_same_checkpoint(spark, tmp_dir):
