@@ -26,8 +26,8 @@ def _ranges(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataF
     checkpoint_dir(spark)
     # The range boundaries are sampled by one job and the checkpoint written
     # by another; keep the input between the two so it is computed once.
-    # Without an explicit count AQE sizes the range partitions from the data
-    # (it merges adjacent ranges only, so the global order is kept).
+    # Without an explicit count there are spark.sql.shuffle.partitions ranges at
+    # most; AQE merges adjacent ones only, so the global order is kept.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ex = src.repartitionByRange(partitions, *keys) if partitions else src.repartitionByRange(*keys)
