@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.text import bounds, coded_words, filled, slices
+from barlake.llm.text import bounds, coded_words, filled, per_worker, slices
 from barlake.llm.vocab import BYTES, PIECES, vocab_path
 
 MEASURES = ("n_words:bigint", "word_chars:bigint", "n_symbols:bigint", "n_dup_lines:bigint", "n_repeat_words:bigint",
@@ -29,7 +29,7 @@ MEASURES = ("n_words:bigint", "word_chars:bigint", "n_symbols:bigint", "n_dup_li
             "entropy:double")
 BANDED = ("chars_per_token", "chars_per_byte_token", "byte_share", "entropy")
 REACH, LEAST = 3.0, 50
-KEPT_WORDS = 300_000  # measured words a worker keeps
+KEPT_WORDS = 250_000  # measured words a worker keeps
 
 
 class Fertility:
@@ -153,7 +153,7 @@ def measure(df: DataFrame, text: str = "text", out: str = "measures", folder: st
     ints = [m.endswith("bigint") for m in MEASURES]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = Fertility(folder)
+        model = per_worker(("fertility", folder), lambda: Fertility(folder))
         for batch in batches:
             texts = filled(batch)
             done = [_measured(texts.slice(lo, hi - lo), model) for lo, hi in slices(texts)]

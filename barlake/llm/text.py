@@ -14,6 +14,19 @@ WHITE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def per_worker(key: tuple, make):
+    """An object kept by a Python worker between its tasks. Functions travel to tasks by value, so a module global
+    would begin anew with every task."""
+    import sys
+    from types import ModuleType
+
+    kept = sys.modules.setdefault("_barlake_worker", ModuleType("_barlake_worker"))
+    objects = kept.__dict__.setdefault("objects", {})
+    if key not in objects:
+        objects[key] = make()
+    return objects[key]
+
+
 def filled(texts: pa.Array) -> pa.Array:
     """Text column with null as the empty text."""
     if isinstance(texts, pa.ChunkedArray):
