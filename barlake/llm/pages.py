@@ -35,9 +35,10 @@ _NAMES = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|popup|modal|overlay|sidebar|"
     r"comments?|disqus|replies|navigation|nav|navbar|menu|breadcrumbs?|share|sharing|social|related|recommended|"
     r"newsletter|subscribe|signup|login|widget|footer|masthead|contentinfo|complementary|search)(?:$|[^a-z])")
-# A paragraph that begins closes an open one, and so on.
-_CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
-           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+# A block that begins closes an open paragraph; these close their unclosed likes as well.
+_PARAGRAPH = frozenset({"p"})
+_CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
+           "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 
 
 class Lines(HTMLParser):
@@ -69,14 +70,8 @@ class Lines(HTMLParser):
             self.parts.append(" ")
         if tag not in _INLINE:
             self.end_line()
-            for other in _CLOSES.get(tag, ()):
-                # an unclosed element of this kind ends here, unless a region lies between
-                for i in range(len(self.open) - 1, -1, -1):
-                    if self.open[i][0] == other:
-                        del self.open[i:]
-                        break
-                    if self.open[i][0] in _REGION or self.open[i][0] in ("ul", "ol", "table", "dl"):
-                        break
+            while self.open and self.open[-1][0] in _CLOSES.get(tag, _PARAGRAPH):
+                self.open.pop()
         self.tags += 1
         if tag in _VOID:
             return
@@ -128,6 +123,9 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
 
 def main_text(html: str, sigma: float = SIGMA) -> str:
     parser = Lines()
+    last = html.rfind("<!--")
+    if last >= 0 and "-->" not in html[last:] and "</script" not in html[last:].lower():
+        html = html[:last]  # an unclosed comment runs to the end
     parser.feed(html)
     parser.close()
     parser.end_line()

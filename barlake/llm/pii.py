@@ -137,7 +137,8 @@ def _address(s: str, start: int) -> int:
     m = _HOST.match(body)
     host = (body.rpartition("@")[2] if s.startswith("mailto:", start) else m.group(1) if m else "")
     labels = host.split(".")
-    return end if len(labels) > 1 and all(labels) and len(labels[-1]) > 1 else -1
+    least = 3 if labels[0] == "www" else 2
+    return end if len(labels) >= least and all(labels) and len(labels[-1]) > 1 else -1
 
 
 def _account(s: str, cue_start: int, cue_end: int) -> tuple[int, int] | None:
