@@ -181,6 +181,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     words = s.agg(F.sum("_want")).first()[0] or 0
     levels = max(0, math.ceil(math.log2(words / shard_words))) if words else 0
     quotas = saved(split_quotas(s.where("n_blocks > 0").select("rank", "n_blocks"), levels, seed))
+    # a row per block copy: Spark sees only the size of the quotas, so it must be kept from broadcasting them
     copies = quotas.select("shard", "rank", F.explode(F.sequence(
         F.col("first_copy"), F.col("first_copy") + F.col("n_blocks") - 1)).alias("_copy_no"))
     rows = rows.join(s, ["_null", "_source"])
@@ -198,7 +199,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     pieces = (pieces.select("rid", "rank", "copy", (F.col("copy") * F.col("_blocks") + F.col("_place")).alias("_copy_no"),
                             (lo - F.col("_start")).alias("first_word"),
                             (F.least(F.col("_start") + F.col("size"), end) - lo).alias("n_words"))
-              .where("n_words > 0").join(copies, ["rank", "_copy_no"])
+              .where("n_words > 0").join(copies.hint("merge"), ["rank", "_copy_no"])
               .select("rid", "copy", "first_word", "n_words", "shard",
                       F.xxhash64(F.lit(seed), "shard", "rank", "_copy_no", "rid").alias("place")))
     return Mix(rows.select("rid", "doc_id", "source", "size", "source_size", "target"), pieces, quotas)
