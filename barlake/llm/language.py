@@ -32,6 +32,7 @@ from barlake.llm.graph import saved
 from barlake.llm.text import filled, slices
 
 BUCKETS = 1 << 16
+SLICE = 1_000_000  # bytes of text at once: a dozen arrays of eight bytes per byte of text
 TEMPER, SMOOTH, LEAST = 0.2, 20.0, 0.5
 # letters in lower case, every other ASCII character a blank; bytes beyond ASCII as they are
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256)], np.uint8)
@@ -83,10 +84,10 @@ def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offsets = np.frombuffer(buffers[1], np.int64)[joined.offset:joined.offset + len(joined) + 1]
     data = np.frombuffer(buffers[2], np.uint8)[offsets[0]:offsets[-1]] if buffers[2] is not None else np.zeros(0, np.uint8)
     b = _FOLD[data]
-    rows = np.repeat(np.arange(len(joined)), size)
+    rows = np.repeat(np.arange(len(joined), dtype=np.int32), size)
     letters = np.bincount(rows, weights=b != 32, minlength=len(joined)).astype(np.int64)
     if len(b) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), letters
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), letters
     x = b.astype(np.uint32)
     h = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
     blank = (b[1:-1] == 32) & ((b[:-2] == 32) | (b[2:] == 32))
@@ -100,7 +101,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = filled(batch.column("text"))
         coded = pc.dictionary_encode(batch.column("_declared"))
         names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        for lo, hi in slices(texts):
+        for lo, hi in slices(texts, SLICE):
             bucket, row, _ = _trigrams(texts.slice(lo, hi - lo))
             of = at[lo:hi][row]
             for k, name in enumerate(names):
@@ -133,7 +134,7 @@ def likelihoods(df: DataFrame, languages: list[str], table: np.ndarray, text: st
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             texts, sums, letters = filled(batch), [], []
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE):
                 bucket, row, n = _trigrams(texts.slice(lo, hi - lo))
                 letters.append(n)
                 sums.append(np.stack([np.bincount(row, weights=t[bucket], minlength=hi - lo) for t in wide], axis=1)
