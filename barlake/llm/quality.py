@@ -7,8 +7,8 @@ repeated lines, words inside three-word windows that occur twice or more. The ba
 Fertility measures every distinct word of a slice once per vocabulary: characters per token under a byte-fallback and
 a byte-level vocabulary, the share of byte-fallback tokens, and the entropy of a text's tokens. Bands are statistics
 of the corpus itself: per language (``und`` where it is null) and doubling of length, as short texts vary more, the
-quartiles of each measure over all texts that pass the base rule, widened by ``reach`` interquartile ranges. A group
-with fewer than ``least`` texts has no band and rejects nothing. Quantiles are mergeable
+quartiles of each measure over all texts that pass the base rule, widened by a number of interquartile ranges that
+differs by measure and side (``BANDS``). A group with fewer than ``least`` texts has no band and rejects nothing. Quantiles are mergeable
 sketches, so a language with a third of all rows is no larger a task than any other."""
 from __future__ import annotations
 
@@ -27,8 +27,12 @@ from barlake.llm.vocab import BYTES, PIECES, vocab_path
 MEASURES = ("n_words:bigint", "word_chars:bigint", "n_symbols:bigint", "n_dup_lines:bigint", "n_repeat_words:bigint",
             "n_tokens:bigint", "chars_per_token:double", "chars_per_byte_token:double", "byte_share:double",
             "entropy:double")
-BANDED = ("chars_per_token", "chars_per_byte_token", "byte_share", "entropy")
-REACH, LEAST = 3.0, 50
+# Interquartile ranges that the band reaches below and above the quartiles (None: no fence), and the least range that
+# counts, as a share of the upper quartile or absolute. Junk packs badly and repeats itself; a text that mixes languages
+# has high entropy and is none, so entropy has no upper fence.
+BANDS = {"chars_per_token": (4.0, 8.0, 0.02, 0.0), "chars_per_byte_token": (6.0, 8.0, 0.02, 0.0),
+         "byte_share": (None, 5.0, 0.0, 0.02), "entropy": (2.0, None, 0.01, 0.0)}
+LEAST = 50
 KEPT_WORDS = 250_000  # measured words a worker keeps
 
 
@@ -168,28 +172,29 @@ def base_failed(measures: str = "measures"):
     return (n < 50) | (100 * r > 50 * n)
 
 
-def _fences(rows: DataFrame, reach: float, least: int) -> DataFrame:
+def _fences(rows: DataFrame, bands: dict, least: int) -> DataFrame:
     """Bands per language and doubling of length; the number of rows is that of the groups."""
     q = rows.groupBy("_lang", "_octave").agg(F.count(F.lit(1)).alias("_n"), *[
-        F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(2000)).alias(c) for c in BANDED])
-    bands = []
-    for c in BANDED:
+        F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(2000)).alias(c) for c in bands])
+    fences = []
+    for c, (below, above, share, floor) in bands.items():
         low, high = F.col(c)[0], F.col(c)[1]
-        spread = F.greatest(high - low, 0.02 * F.abs(high), F.lit(1e-3))
-        bands.append(F.struct((low - reach * spread).alias("low"), (high + reach * spread).alias("high"))
-                     .alias(f"_{c}"))
-    return q.where(F.col("_n") >= least).select("_lang", "_octave", *bands)
+        spread = F.greatest(high - low, share * F.abs(high), F.lit(floor))
+        fences.append(F.struct(
+            (low - below * spread if below is not None else F.lit(float("-inf"))).alias("low"),
+            (high + above * spread if above is not None else F.lit(float("inf"))).alias("high")).alias(f"_{c}"))
+    return q.where(F.col("_n") >= least).select("_lang", "_octave", *fences)
 
 
-def judge(rows: DataFrame, reach: float = REACH, least: int = LEAST) -> DataFrame:
+def judge(rows: DataFrame, bands: dict = BANDS, least: int = LEAST) -> DataFrame:
     """``rows`` (doc_id, lang, measures) with ``base_failed`` and ``kept``; read twice, so give a written table."""
     rows = rows.withColumn("base_failed", base_failed()).withColumn("_lang", F.coalesce("lang", F.lit("und")))
     rows = rows.withColumn("_octave", F.floor(F.log2(F.greatest(F.col("measures.n_tokens"), F.lit(1)))))
     good = rows.where(~F.col("base_failed")).select("_lang", "_octave", "measures.*")
-    fences = _fences(good, reach, least)
+    fences = _fences(good, bands, least)
     out = rows.join(fences, ["_lang", "_octave"], "left")
     inside = F.lit(True)
-    for c in BANDED:
+    for c in bands:
         x = F.col(f"measures.{c}")
         inside = inside & F.coalesce(x.between(F.col(f"_{c}.low"), F.col(f"_{c}.high")), F.lit(True))
     return out.withColumn("kept", ~F.col("base_failed") & inside)
