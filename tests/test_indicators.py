@@ -5,7 +5,7 @@ import pytest
 from barlake.plans import catalog
 from barlake.functions.exprs import round_doubles
 from barlake.operators import blocked, indicators, marts
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 
 def _rows(df, key=("symbol", "window_start")):
@@ -44,7 +44,7 @@ def test_blocked_equals_plain(spark, stg, block):
 
 def test_planning_runs_no_job_and_prunes_the_scan(spark):
     tracker = spark.sparkContext.statusTracker()
-    stg = catalog.stg(spark, SF_SMALL)                      # reading the table's schema is a job of its own
+    stg = catalog.stg(spark, SF_MID)                        # reading the table's schema is a job of its own
     spark.sparkContext.setJobGroup("planning", "planning only")
     try:
         df = blocked.blocked_technical_features(stg).select("symbol", "window_start", "close", "ret_1", "log_ret_1")
