@@ -20,15 +20,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barlake.llm.text import bounds, filled, slices
+from barlake.llm.text import bounds, filled, per_worker, slices
 from barlake.llm.vocab import PIECES, vocab_path
 
 MARK = "▁"
-KEPT_UNITS = 300_000   # encoded units a worker keeps, twice
-KEPT_PAIRS = 1_000_000  # compatibility answers a worker keeps
+KEPT_UNITS = 200_000   # encoded units a worker keeps, twice
+KEPT_PAIRS = 300_000  # compatibility answers a worker keeps
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-ENCODED = "struct<ids:array<int>,decoded:string>"
+ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
 
 class PrefixTable(dict):
@@ -148,22 +149,27 @@ _UNIT = re.compile(f"{MARK}*(?:[.,]{_INNER}*|{_INNER}+)|{MARK}+|\n")
 
 def encode(df: DataFrame, text: str = "text", out: str = "encoded", folder: str | None = None,
            model: str = PIECES) -> DataFrame:
-    """``df`` with a struct of the ids (the end id last) and the text decoded from them."""
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = PrefixTable(vocab_path(model, folder))
+    """``df`` with a struct of the ids (the end id last) and the text decoded from them.
+
+    Rows leave a task in slices of a few MB of text, so neither side holds the ids of a whole batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = vocab_path(model, folder)
+        table = per_worker(("prefix table", path), lambda: PrefixTable(path))
         for batch in batches:
-            texts = filled(batch)
-            ids, counts, back = [], [], []
-            for lo, hi in slices(texts):
-                for t in texts.slice(lo, hi - lo).to_pylist():
-                    one = table.encode(t)
-                    ids.append(one)
-                    counts.append(len(one))
-                    back.append(table.decode(one.tolist()))
-            flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds(np.array(counts, np.int64)), pa.int32()), pa.array(flat))
-            yield pa.StructArray.from_arrays([lists, pa.array(back, pa.string())], ["ids", "decoded"])
-    return df.withColumn(out, F.arrow_udf(run, ENCODED)(F.col(text)))
+            texts = filled(batch.column(text))
+            rest = batch.drop_columns([out]) if out in batch.schema.names else batch
+            for lo, hi in slices(texts, 2_000_000):
+                ids = [table.encode(t) for t in texts.slice(lo, hi - lo).to_pylist()]
+                back = [table.decode(i.tolist()) for i in ids]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(bounds(np.array([len(i) for i in ids], np.int64)), pa.int32()),
+                    pa.array(np.concatenate(ids).astype(np.int32)))
+                yield rest.slice(lo, hi - lo).append_column(out, pa.StructArray.from_arrays(
+                    [lists, pa.array(back, pa.string())], ["ids", "decoded"]))
+
+    schema = T.StructType([f for f in df.schema.fields if f.name != out]
+                          + [T.StructField(out, ENCODED)])
+    return df.mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **where) -> DataFrame:
