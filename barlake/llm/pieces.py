@@ -26,8 +26,8 @@ from barlake.llm.text import bounds, filled, per_worker, slices
 from barlake.llm.vocab import PIECES, vocab_path
 
 MARK = "▁"
-KEPT_UNITS = 200_000   # encoded units a worker keeps, twice
-KEPT_PAIRS = 300_000  # compatibility answers a worker keeps
+KEPT_UNITS = 80_000   # encoded units a worker keeps, twice
+KEPT_PAIRS = 120_000  # compatibility answers a worker keeps
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 

@@ -33,7 +33,7 @@ MEASURES = ("n_words:bigint", "word_chars:bigint", "n_symbols:bigint", "n_dup_li
 BANDS = {"chars_per_token": (4.0, 8.0, 0.02, 0.0), "chars_per_byte_token": (6.0, 8.0, 0.02, 0.0),
          "byte_share": (None, 5.0, 0.0, 0.02), "entropy": (2.0, None, 0.01, 0.0)}
 LEAST = 50
-KEPT_WORDS = 250_000  # measured words a worker keeps
+KEPT_WORDS = 100_000  # measured words a worker keeps
 
 
 class Fertility:

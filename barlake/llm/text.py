@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text looked at together inside a task; bounds a worker's working set whatever the batch size.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 3_000_000
 # ASCII white space: the complement of the word class [^\x20\x09-\x0D].
 WHITE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,6 +43,7 @@ def slices(texts: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int,
         hi = max(lo + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
         yield lo, hi
         lo, base = hi, int(ends[hi - 1])
+    pa.default_memory_pool().release_unused()
 
 
 def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
