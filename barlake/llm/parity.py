@@ -1,12 +1,14 @@
 """N-gram Jaccard join by parity sketches.
 
-A text's set is its distinct three-word shingles (ASCII lower case; one or two words are one shingle, no words the
-empty set), each a 64-bit hash. A parity sketch of b blocks throws each shingle at one bit and keeps the parity of
-every bit; the exclusive or of two sketches is the sketch of the symmetric difference, so their Hamming distance is
-at most its size. Similarity of at least p/q of two sets of sizes a and b bounds that size by
+A text's set is its distinct shingles of ``width`` words (three unless told; ASCII lower case; fewer words are one
+shingle, no words the empty set), each a 64-bit hash. A parity sketch of b blocks throws each shingle at one bit and
+keeps the parity of every bit; the exclusive or of two sketches is the sketch of the symmetric difference, so their
+Hamming distance is at most its size. Similarity of at least p/q of two sets of sizes a and b bounds that size by
 (a + b)(q - p)/(q + p). Sizes fall into bands such that partners lie in the same band or the next; within a join
-band the bound is at most d, so with d + 1 blocks of 64 bits at least one block of two partners agrees (pigeonhole).
-Each text is keyed by its blocks in its own band and in the next.
+band the bound is at most d, so of d + m blocks at least m of two partners agree (pigeonhole). A block's key is the
+exclusive or of the hashes of its shingles: 64 parities of random halves of them. A set with fewer than m empty blocks
+shares a block that is not empty with each partner, so its empty ones, which unlike texts share, are no keys; m grows
+with the empty blocks to expect. Each text is keyed by its blocks in its own band and in the next.
 
 1. One pass over the texts writes, per row, size, digest of the set, a small sketch and the keys. Equal sets are one
    class; its copies are never paired, and a task gives keys to the first copy it sees only.
@@ -20,6 +22,7 @@ Each text is keyed by its blocks in its own band and in the next.
 Rows with a null id get a size and no component. Repeated ids with equal sets count as copies."""
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,6 +74,7 @@ class Bands:
         while self._partner(first) == first:
             first += 1  # smaller sets are partners of equal sets only
         self.edges = [first]
+        self._spare: dict[int, tuple[int, int]] = {}
 
     def _partner(self, n: int) -> int:
         return n * self.q // self.p
@@ -84,10 +88,17 @@ class Bands:
             self.edges.append(self._partner(self.edges[-1]) + 1)
         return int(np.searchsorted(self.edges, n, side="right")) - 1
 
+    def spare(self, j: int) -> tuple[int, int]:
+        """(largest difference of partners in join band j, blocks beyond it)."""
+        if j not in self._spare:
+            self.band(self.edges[j])
+            top = self.edges[j + 1] - 1
+            d, least = self.bound(top, top), self.edges[max(0, j - 1)]
+            self._spare[j] = d, 1 + math.ceil(2.5 * d * math.exp(-3 * least / (4 * max(d, 1))))
+        return self._spare[j]
+
     def blocks(self, j: int) -> int:
-        self.band(self.edges[j])
-        top = self.edges[j + 1] - 1
-        return self.bound(top, top) + 1
+        return sum(self.spare(j))
 
 
 def parity(s: np.ndarray, blocks: int) -> np.ndarray:
@@ -96,13 +107,25 @@ def parity(s: np.ndarray, blocks: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def block_keys(s: np.ndarray, j: int, bands: Bands) -> np.ndarray:
+    """Keys of a set (sorted hashes) in join band ``j``; empty blocks only where all blocks that agree may be empty."""
+    nb = bands.blocks(j)
+    block = ((s >> np.uint64(32)) * np.uint64(nb)) >> np.uint64(32)
+    starts = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1))
+    content, at = np.bitwise_xor.reduceat(_mix(s), starts), block[starts]
+    if nb - len(at) >= bands.spare(j)[1]:
+        empty = np.setdiff1d(np.arange(nb, dtype=np.uint64), at)
+        content, at = np.concatenate((content, np.zeros(len(empty), np.uint64))), np.concatenate((at, empty))
+    return _mix(content * _P1 ^ _mix(at + (np.uint64(j) << np.uint64(32)))).view(np.int64)
+
+
 def small_sketch(s: np.ndarray, bound: int) -> np.ndarray:
     """Parity sketch of a power of two bits, about sixteen per possible difference; halves fold by exclusive or."""
     blocks = 1 << max(0, (bound * 16 - 1).bit_length() - 6)
     return parity(_mix(s), blocks)
 
 
-def _rows(batches: Iterator[pa.RecordBatch], p: int, q: int) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], p: int, q: int, width: int) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     bands, seen = Bands(p, q), set()
@@ -111,7 +134,7 @@ def _rows(batches: Iterator[pa.RecordBatch], p: int, q: int) -> Iterator[pa.Reco
         known = ids.is_valid().to_pylist()
         for lo, hi in slices(texts):
             sizes, digests, keys, sketches = [], [], [], []
-            for i, s in enumerate(shingle_sets(texts.slice(lo, hi - lo)), lo):
+            for i, s in enumerate(shingle_sets(texts.slice(lo, hi - lo), width), lo):
                 n = len(s)
                 digest = xxhash.xxh128_digest(s.tobytes()) if n else None
                 mine, sketch = [], np.zeros(0, np.int64)
@@ -120,10 +143,7 @@ def _rows(batches: Iterator[pa.RecordBatch], p: int, q: int) -> Iterator[pa.Reco
                     if digest not in seen:
                         seen.add(digest)
                         b = bands.band(n)
-                        for j in (b, b + 1):
-                            nb = bands.blocks(j)
-                            tag = _mix(np.arange(nb, dtype=np.uint64) + (np.uint64(j) << np.uint64(32)))
-                            mine.append(_mix(parity(s, nb).view(np.uint64) * _P1 ^ tag).view(np.int64))
+                        mine += [block_keys(s, b, bands), block_keys(s, b + 1, bands)]
                 sizes.append(n)
                 digests.append(digest)
                 keys.append(np.concatenate(mine) if mine else np.zeros(0, np.int64))
@@ -135,11 +155,11 @@ def _rows(batches: Iterator[pa.RecordBatch], p: int, q: int) -> Iterator[pa.Reco
                 names=["doc_id", "n", "digest", "keys", "sketch"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = filled(batch.column("text"))
         for lo, hi in slices(texts):
-            s = list(shingle_sets(texts.slice(lo, hi - lo)))
+            s = list(shingle_sets(texts.slice(lo, hi - lo), width))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()),
                  list_array(np.array([len(x) for x in s]), pa.array(np.concatenate(s).view(np.int64)))],
@@ -162,11 +182,11 @@ def _may_link(p: int, q: int):
             & (_distance(F.col("x.sketch"), F.col("y.sketch")) <= F.floor((na + nb) * (q - p) / (q + p))))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, p: int, q: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, p: int, q: int, width: int) -> DataFrame:
     """Pairs (a, b) of class representatives whose full sets are similar enough."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = saved(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node long, items array<long>")
-                 .dropDuplicates(["node"]))
+    sets = saved(docs.join(wanted, "doc_id", "left_semi")
+                 .mapInArrow(lambda it: _sets(it, width), "node long, items array<long>").dropDuplicates(["node"]))
     x, y = sets.select(F.col("node").alias("a"), F.col("items").alias("u")), \
         sets.select(F.col("node").alias("b"), F.col("items").alias("v"))
     common = F.size(F.array_intersect("u", "v"))
@@ -174,11 +194,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, p: int, q: int) -> DataFrame:
             .where(common * q >= (F.size("u") + F.size("v") - common) * p).select("a", "b"))
 
 
-def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: tuple[int, int] = (9, 10)) -> DataFrame:
+def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: tuple[int, int] = (9, 10),
+         width: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the smallest id reachable over links of Jaccard >= p/q."""
     p, q = similarity
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = saved(docs.mapInArrow(lambda it: _rows(it, p, q),
+    rows = saved(docs.mapInArrow(lambda it: _rows(it, p, q, width),
                                  "doc_id long, n long, digest binary, keys array<long>, sketch array<long>"))
     slim = rows.select("doc_id", "n", "digest")
     classes = slim.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
@@ -193,7 +214,7 @@ def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
             .select("a", F.col("node").alias("b")).distinct())
     near = (star.join(nodes.alias("x"), F.col("a") == F.col("x.node"))
             .join(nodes.alias("y"), F.col("b") == F.col("y.node")).where(_may_link(p, q)).select("a", "b"))
-    first = saved(_verified(saved(near), docs, p, q))
+    first = saved(_verified(saved(near), docs, p, q, width))
     comp = components(first)
     # pairs under a key that the star left in different components
     split = (shared.join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
@@ -203,7 +224,7 @@ def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
     rest = (split.alias("x").join(split.alias("y"), (F.col("x.key") == F.col("y.key"))
                                   & (F.col("x.comp") < F.col("y.comp")) & _may_link(p, q))
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    links = first.unionByName(_verified(saved(rest), docs, p, q))
+    links = first.unionByName(_verified(saved(rest), docs, p, q, width))
     comp = components(links)
     by_class = classes.join(comp, "node", "left").select("digest", F.coalesce("component", "node").alias("_c"))
     return (slim.join(by_class, "digest", "left")

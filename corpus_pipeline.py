@@ -24,8 +24,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group linked by shingle similarity of 0.9; rows without an id stay."""
-    return parity.first_of_each(docs)
+    """One document, the smallest id, of each group linked by a Jaccard similarity of five-word shingles of at least
+    0.8; rows without an id stay."""
+    return parity.first_of_each(docs, similarity=(4, 5), width=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
