@@ -2,21 +2,25 @@
 
 Each stage takes (spark, docs, sf_dir) and works on every row its predecessor kept; all but the last return the
 columns of ``documents``. The caller may write each stage's result as Parquet and read it again as the next one's
-docs; ``run`` chains them. Ids are taken to identify rows; rows of one id stay or go together in the first and third
-stage."""
+docs; ``run`` chains them. Ids are taken to identify rows in the third stage, where rows of one id stay or go together;
+the first one judges each row."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barlake.llm import grace, language, mixing, parity, pieces
 from barlake.llm.graph import saved
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; the few rejected ones are what is joined."""
-    found = language.identify(docs, declared="lang", host="source")
-    rejected = saved(found.where("NOT kept").select("doc_id").distinct())
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["doc_id"]), "left_anti")
+    """Documents whose language is recognised; the few rejected ones are what is joined, by id and by a digest of the
+    evidence, as a verdict depends on nothing else."""
+    rows = docs.withColumn("_of", F.sha2(F.to_json(F.struct("text", "lang", "source")).cast("binary"), 256))
+    found = language.identify(rows, ("doc_id", "_of"), declared="lang", host="source")
+    rejected = saved(found.where("NOT kept").select("doc_id", "_of").distinct())
+    same = rows["doc_id"].eqNullSafe(rejected["doc_id"]) & (rows["_of"] == rejected["_of"])
+    return rows.join(rejected, same, "left_anti").drop("_of")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
