@@ -8,7 +8,8 @@ whose peak is at least the threshold (the standard deviation of all smoothed rat
 one character per tag within an ``article`` or ``main``) is content, and every line of it is kept, short ones too. Lines inside scripts, styles, forms, navigation, headers
 outside an article, footers, asides, and elements whose class, id or role names an advert, notice, menu, sidebar or
 comment section are no candidates and have ratio 0; with an ``article`` or ``main`` on the page only lines inside one
-are candidates.
+are candidates. Names that say what an element has or lacks (``has-sidebar``) do not count, and an ``article`` or ``main``
+inside a named element is not hidden by that name, unless it is a comment or inside another ``article``.
 
 Character references are decoded, white space in a line becomes one blank, lines are joined by a line feed. Unclosed
 and stray tags are tolerated. A null or empty page gives the empty text."""
@@ -32,33 +33,40 @@ _HIDDEN = frozenset("head title script style noscript template nav footer aside
                     "object svg dialog menu canvas audio video".split())
 _REGION = frozenset("article main section div body td".split())
 _NAMES = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|popup|modal|overlay|sidebar|"
+    r"^widget(?:$|[^a-z])|(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|popup|modal|overlay|sidebar|"
     r"comments?|disqus|replies|navigation|nav|navbar|menu|breadcrumbs?|share|sharing|social|related|recommended|"
-    r"newsletter|subscribe|signup|login|widget|footer|masthead|contentinfo|complementary|search)(?:$|[^a-z])")
+    r"newsletter|subscribe|signup|login|footer|masthead|contentinfo|complementary|search)(?:$|[^a-z])")
+_MODIFIER = re.compile(r"(?:has|have|with|without|no)[-_]")
+_COMMENT = re.compile(r"comments?|repl(?:y|ies)|disqus")
 # A block that begins closes an open paragraph; these close their unclosed likes as well.
 _PARAGRAPH = frozenset({"p"})
 _CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
            "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 
 
+def _any(pattern: re.Pattern, names: list[str]) -> bool:
+    return any(pattern.search(n) for n in names)
+
+
 class Lines(HTMLParser):
     """Lines of a page as (text, tags, region, hidden, inside an article or main)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, hidden, region, in article
+        # tag, hidden by a tag or attribute, hidden by a name, region, in article or main, in article
+        self.open: list[tuple[str, bool, bool, int, bool, bool]] = []
         self.parts: list[str] = []
         self.tags = self.regions = 0
 
-    def state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def state(self) -> tuple[bool, bool, int, bool, bool]:
+        return self.open[-1][1:] if self.open else (False, False, 0, False, False)
 
     def end_line(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            hidden, region, article = self.state()
-            self.lines.append((text, self.tags, region, hidden, article))
+            hidden, named, region, article, _ = self.state()
+            self.lines.append((text, self.tags, region, hidden or named, article))
         self.parts, self.tags = [], 0
 
     def pop(self, tag: str):
@@ -75,20 +83,21 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in _VOID:
             return
-        if tag in _INLINE:
-            names = ""
-        else:
-            names = " ".join(v.lower() for k, v in attrs if v and k in ("class", "id", "role"))
-        hidden, region, article = self.state()
-        article = article or tag in ("article", "main")
+        names = [] if tag in _INLINE else [n for k, v in attrs if v and k in ("class", "id", "role")
+                                           for n in v.lower().split() if not _MODIFIER.match(n)]
+        hidden, named, region, article, inner = self.state()
+        if tag in ("article", "main"):
+            named = named and (inner or _any(_COMMENT, names))
+        elif tag not in ("html", "body"):
+            named = named or _any(_NAMES, names)
+        article, inner = article or tag in ("article", "main"), inner or tag == "article"
         hidden = (hidden or tag in _HIDDEN or tag == "header" and not article
-                  or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
-                  or bool(names) and tag not in ("html", "body", "article", "main") and bool(_NAMES.search(names)))
+                  or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs))
         if tag in _REGION:
             self.regions += 1
             region = self.regions
         if tag not in _INLINE:
-            self.open.append((tag, hidden, region, article))
+            self.open.append((tag, hidden, named, region, article, inner))
 
     def handle_startendtag(self, tag, attrs):
         if tag not in _INLINE:
