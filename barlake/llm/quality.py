@@ -8,8 +8,10 @@ Fertility measures every distinct word of a slice once per vocabulary: character
 a byte-level vocabulary, the share of byte-fallback tokens, and the entropy of a text's tokens. Bands are statistics
 of the corpus itself: per language (``und`` where it is null) and doubling of length, as short texts vary more, the
 quartiles of each measure over all texts that pass the base rule, widened by a number of interquartile ranges that
-differs by measure and side (``BANDS``). A group with fewer than ``least`` texts has no band and rejects nothing. Quantiles are mergeable
-sketches, so a language with a third of all rows is no larger a task than any other."""
+differs by measure and side (``BANDS``). A group with fewer than ``least`` texts borrows the band of the first of these
+that has as many: its language in the doublings beside it as well, its language, all languages in the three doublings,
+the whole corpus (of any size). Each text that passes the base rule is so judged. Quantiles are mergeable sketches, so a
+language with a third of all rows is no larger a task than any other."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -21,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm.graph import saved
 from barlake.llm.text import bounds, coded_words, filled, per_worker, slices
 from barlake.llm.vocab import BYTES, PIECES, vocab_path
 
@@ -172,10 +175,21 @@ def base_failed(measures: str = "measures"):
     return (n < 50) | (100 * r > 50 * n)
 
 
+def _pools(lang, octave, reach: tuple[int, ...]):
+    """Array of the pools (level, language, doubling) of a text, or with reach (0,) those that a group may borrow."""
+    def pool(level, of, at):
+        return F.struct(F.lit(level).alias("_level"), of.alias("_of"), at.cast("long").alias("_at"))
+    every, none = F.lit(""), F.lit(-1)
+    return F.array(pool(0, lang, octave), *[pool(1, lang, octave + k) for k in reach], pool(2, lang, none),
+                   *[pool(3, every, octave + k) for k in reach], pool(4, every, none))
+
+
 def _fences(rows: DataFrame, bands: dict, least: int) -> DataFrame:
-    """Bands per language and doubling of length; the number of rows is that of the groups."""
-    q = rows.groupBy("_lang", "_octave").agg(F.count(F.lit(1)).alias("_n"), *[
-        F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(2000)).alias(c) for c in bands])
+    """A band per language and doubling of length that occurs, its own or the nearest that is large enough; the number
+    of rows is that of the groups."""
+    pools = rows.select(F.explode(_pools(F.col("_lang"), F.col("_octave"), (-1, 0, 1))).alias("_p"), *bands)
+    q = saved(pools.groupBy("_p._level", "_p._of", "_p._at").agg(F.count(F.lit(1)).alias("_n"), *[
+        F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), F.lit(2000)).alias(c) for c in bands]))
     fences = []
     for c, (below, above, share, floor) in bands.items():
         low, high = F.col(c)[0], F.col(c)[1]
@@ -183,7 +197,11 @@ def _fences(rows: DataFrame, bands: dict, least: int) -> DataFrame:
         fences.append(F.struct(
             (low - below * spread if below is not None else F.lit(float("-inf"))).alias("low"),
             (high + above * spread if above is not None else F.lit(float("inf"))).alias("high")).alias(f"_{c}"))
-    return q.where(F.col("_n") >= least).select("_lang", "_octave", *fences)
+    large = q.where((F.col("_n") >= least) | (F.col("_level") == 4)).select("_level", "_of", "_at", *fences)
+    groups = q.where("_level = 0").select(F.col("_of").alias("_lang"), F.col("_at").alias("_octave"))
+    mine = groups.select("_lang", "_octave", F.explode(_pools(F.col("_lang"), F.col("_octave"), (0,))).alias("_p"))
+    return mine.select("_lang", "_octave", "_p.*").join(large, ["_level", "_of", "_at"]).groupBy(
+        "_lang", "_octave").agg(*[F.min_by(f"_{c}", "_level").alias(f"_{c}") for c in bands])
 
 
 def judge(rows: DataFrame, bands: dict = BANDS, least: int = LEAST) -> DataFrame:
