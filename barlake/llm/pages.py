@@ -36,6 +36,8 @@ _NAMES = re.compile(
     r"^widget(?:$|[^a-z])|(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|popup|modal|overlay|sidebar|"
     r"comments?|disqus|replies|navigation|nav|navbar|menu|breadcrumbs?|share|sharing|social|related|recommended|"
     r"newsletter|subscribe|signup|login|footer|masthead|contentinfo|complementary|search)(?:$|[^a-z])")
+_COMMENT_END = re.compile(r"--(?:\s*|!)>")
+_PLAIN = ("title", "textarea")  # text up to their end tag, no markup inside
 _MODIFIER = re.compile(r"(?:has|have|with|without|no)[-_]")
 _COMMENT = re.compile(r"comments?|repl(?:y|ies)|disqus")
 # A block that begins closes an open paragraph; these close their unclosed likes as well.
@@ -51,8 +53,11 @@ def _any(pattern: re.Pattern, names: list[str]) -> bool:
 class Lines(HTMLParser):
     """Lines of a page as (text, tags, region, hidden, inside an article or main)."""
 
-    def __init__(self):
+    def __init__(self, page: str = ""):
         super().__init__(convert_charrefs=True)
+        low = page.lower()
+        self.last_end = {tag: low.rfind("</" + tag) for tag in _PLAIN}  # of a page that is fed whole
+        self.ended = False
         self.lines: list[tuple[str, int, int, bool, bool]] = []
         # tag, hidden by a tag or attribute, hidden by a name, region, in article or main, in article
         self.open: list[tuple[str, bool, bool, int, bool, bool]] = []
@@ -69,6 +74,22 @@ class Lines(HTMLParser):
             self.lines.append((text, self.tags, region, hidden or named, article))
         self.parts, self.tags = [], 0
 
+    def close(self):
+        self.ended = True
+        super().close()
+
+    def parse_comment(self, i, report=1):
+        """End of the comment at ``i``; one that is still open when the page ends runs to the end."""
+        end = _COMMENT_END.search(self.rawdata, i + 2)
+        return end.end() if end else len(self.rawdata) if self.ended else -1
+
+    def parse_starttag(self, i):
+        end = super().parse_starttag(i)
+        tag = self.lasttag
+        if end > 0 and not self.cdata_elem and self.rawdata[end - 2] != "/" and end <= self.last_end.get(tag, -1):
+            self.set_cdata_mode(tag)
+        return end
+
     def pop(self, tag: str):
         while self.open and self.open.pop()[0] != tag:
             pass
@@ -131,10 +152,7 @@ def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
 
 
 def main_text(html: str, sigma: float = SIGMA) -> str:
-    parser = Lines()
-    last = html.rfind("<!--")
-    if last >= 0 and "-->" not in html[last:] and "</script" not in html[last:].lower():
-        html = html[:last]  # an unclosed comment runs to the end
+    parser = Lines(html)
     parser.feed(html)
     parser.close()
     parser.end_line()
