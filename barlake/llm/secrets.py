@@ -6,7 +6,10 @@ A candidate that is too short is dropped, not retried. Positions are code points
 matches, and the matches, add up to them.
 
 Added kind ``random``: runs of 20 or more characters of the key alphabets whose encoding can be inferred (hex, base
-32, 36, 64, url-safe 64 - each with digits and letters). Their symbols face three tests against a uniform draw:
+32, 36, 64, url-safe 64 - each with digits and letters). ``=`` ends a run and belongs to it as trailing padding only, so
+a name before it is no part of the value. A run that fits no encoding is tested by its parts: those between ``/`` and
+``+`` that fit one, the parts of the others between ``-`` and ``_``, and the parts between ``-`` and ``_`` that hold ``/``
+or ``+``; of nested spans the outermost stays. The symbols face three tests against a uniform draw:
 
 * chi-squared uniformity over the alphabet (Wilson-Hilferty tail)
 * runs of the lower and upper half of the alphabet
@@ -30,7 +33,8 @@ KINDS = (*BASE_KINDS, "random")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a run of 24 or more: the same matches as all runs, less those that are too short
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+SHORTEST = 20
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?"
 # encoding: (form of the body, alphabet in order of value); the first that fits
 ENCODINGS = {
     "hex": (r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
@@ -64,6 +68,37 @@ def _matches(text: Column, pattern: str, kind: str, least: int = 0, group: int |
     return F.when(F.size(found) > 0, walked).otherwise(none)
 
 
+def _mixed(item: Column) -> Column:
+    return (F.length(item) >= SHORTEST) & item.rlike("[0-9]") & item.rlike("[A-Za-z]")
+
+
+def encoding_of(token: Column) -> Column:
+    """Name of the first encoding that the token fits, or null."""
+    body = F.regexp_replace(token, r"=+$", "")
+    return F.coalesce(*[F.when(body.rlike(form), F.lit(name)) for name, (form, _) in ENCODINGS.items()])
+
+
+def _parts(span: Column, separator: str) -> Column:
+    """Spans of the parts of a span between separators of one character, those long and mixed enough."""
+    none = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int,item:string>>)")
+
+    def step(a, x):
+        end = a["pos"] + F.length(x)
+        part = F.struct(a["pos"].alias("start"), span["kind"].alias("kind"), end.alias("end"), x.alias("item"))
+        return F.struct((end + 1).alias("pos"), F.when(_mixed(x), F.concat(a["got"], F.array(part)))
+                        .otherwise(a["got"]).alias("got"))
+    return F.aggregate(F.split(span["item"], separator, -1), F.struct(span["start"].alias("pos"), none.alias("got")), step,
+                       lambda a: a["got"])
+
+
+def candidates_of(run: Column) -> Column:
+    """Array of the spans of a run to be tested: itself, or its parts where it fits no encoding."""
+    fine = F.flatten(F.transform(_parts(run, "[/+]"), lambda x: F.when(
+        encoding_of(x["item"]).isNotNull(), F.array(x)).otherwise(_parts(x, "[-_]"))))
+    wide = F.filter(_parts(run, "[-_]"), lambda x: x["item"].rlike("[/+]"))
+    return F.when(encoding_of(run["item"]).isNotNull(), F.array(run)).otherwise(F.array_distinct(F.concat(fine, wide)))
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the standard normal, Abramowitz and Stegun 26.2.17."""
     a = F.abs(z)
@@ -76,9 +111,9 @@ def _upper_tail(z: Column) -> Column:
 def battery(tokens: DataFrame, token: str = "item") -> DataFrame:
     """``tokens`` with encoding, n, p_uniform, p_runs, p_serial and p; null where no encoding can be inferred."""
     body = F.regexp_replace(F.col(token), r"=+$", "")
-    encoding = F.coalesce(*[F.when(F.col("_body").rlike(form), F.lit(name)) for name, (form, _) in ENCODINGS.items()])
     alphabet = F.coalesce(*[F.when(F.col("encoding") == name, F.lit(a)) for name, (_, a) in ENCODINGS.items()])
-    t = tokens.withColumn("_body", body).withColumn("encoding", encoding).withColumn("_alphabet", alphabet)
+    t = tokens.withColumn("_body", body).withColumn("encoding", encoding_of(F.col(token))).withColumn(
+        "_alphabet", alphabet)
     folded = F.when(F.col("encoding").isin("hex", "base36"), F.lower("_body")).otherwise(F.col("_body"))
     t = t.withColumn("_body", folded).withColumn("n", F.length("_body")).withColumn("_a", F.length("_alphabet"))
     t = t.withColumn("_v", F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.position(
@@ -139,18 +174,21 @@ def find_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", q: f
         F.concat(F.when(named, _matches(body, ASSIGN, "assign", 6, 1)).otherwise(none),
                  F.when(body.contains("AKIA"), _matches(body, ACCESS, "access", 20)).otherwise(none),
                  _matches(body, HEX, "hex")).alias("base"),
-        F.filter(_matches(body, CANDIDATE, "random"), lambda x: x["item"].rlike("[0-9]") & x["item"].rlike("[A-Za-z]"))
-        .alias("candidates")))
-    tested = battery(rows.select("_row", F.explode("candidates").alias("c")).select("_row", "c", "c.item")).where(
+        F.filter(_matches(body, CANDIDATE, "random"), lambda x: _mixed(x["item"])).alias("candidates")))
+    runs = rows.select("_row", F.explode("candidates").alias("run"))
+    spans = runs.select("_row", F.col("run.start").alias("at"), F.explode(candidates_of(F.col("run"))).alias("c"))
+    tested = battery(spans.select("_row", "at", "c", "c.item")).where(
         "encoding IS NOT NULL").withColumn("octave", F.floor(F.log2("n")).cast("int"))
-    tested = saved(tested.select("_row", "c", "encoding", "octave", "n", "p"))
+    tested = saved(tested.select("_row", "at", "c", "encoding", "octave", "n", "p"))
     below = structured_below(tested, q)
     cut = F.coalesce(*[F.when((F.col("encoding") == e) & (F.col("octave") == o), F.lit(p))
                        for (e, o), p in sorted(below.items())], F.lit(0.0))
     info = F.coalesce(*[F.when(F.col("encoding") == e, F.col("n") * F.log2(F.lit(float(len(a)))))
                         for e, (_, a) in ENCODINGS.items()])
-    found = (tested.where((F.col("p") > cut) & (info >= bits)).groupBy("_row")
-             .agg(F.collect_list("c").alias("random")))
+    outermost = F.filter("all", lambda x: ~F.exists("all", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"])
+                                                    & (F.length(y["item"]) > F.length(x["item"]))))
+    found = (tested.where((F.col("p") > cut) & (info >= bits)).groupBy("_row", "at").agg(F.collect_list("c").alias("all"))
+             .select("_row", outermost.alias("c")).groupBy("_row").agg(F.flatten(F.collect_list("c")).alias("random")))
     return rows.join(found, "_row", "left").select("doc_id", F.array_sort(
         F.concat("base", F.coalesce("random", none))).alias("spans"))
 
