@@ -54,6 +54,12 @@ def code(declared: Column) -> Column:
     return F.when(F.length(c) > 0, c)
 
 
+def markup_language(html: Column) -> Column:
+    """Value of the lang attribute (or xml:lang) of a page's html tag, or null."""
+    tag = F.regexp_extract(html, r"(?is)<html\b(?:\s+[^>]*?)?\s(?:xml:)?lang\s*=\s*[\"']?([A-Za-z][A-Za-z0-9_-]*)", 1)
+    return F.nullif(tag, F.lit(""))
+
+
 def host_of(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)),
                     F.lit(""))

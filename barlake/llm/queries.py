@@ -65,6 +65,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), declared="lang", host="source")
 
 
+def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of the main text of pages: markup language, address suffix, host, domain and suffix priors."""
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    rows = saved(found.select("page_id", "url", "text", language.markup_language(F.col("html")).alias("markup")))
+    return language.identify(rows, ("page_id",), declared="markup", url="url")
+
+
 # DuckDB statements; where SQL cannot express an operator its tests compare with a plain version instead.
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
@@ -98,4 +105,4 @@ ORACLES: dict[str, str] = {
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii, op2_mixing, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_html, op7_exact_dedup, op8_toxicity,
-    op9_secrets, op10_language_id)}
+    op9_secrets, op10_language_id, op10_pages)}
