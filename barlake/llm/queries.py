@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, toxicity
+from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, shards, toxicity
 from barlake.llm.graph import saved
 
 
@@ -72,6 +72,12 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(rows, ("page_id",), declared="markup", url="url")
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.shards(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return found.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 # DuckDB statements; where SQL cannot express an operator its tests compare with a plain version instead.
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
@@ -101,8 +107,32 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
         FROM documents d LEFT JOIN n USING (doc_id)
         JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)""",
+    "op13_sharding": r"""
+        WITH RECURSIVE tab AS (  -- the table of CRC-32
+            SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+        d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        k AS (SELECT doc_id, strlen(t) + 1 AS size, ('0x' || substr(md5(t), 1, 15))::BIGINT AS h,
+                     xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                         regexp_extract_all(hex(t), '..'), lambda b: ('0x' || b)::BIGINT)), lambda c, b:
+                         xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS text_crc32
+              FROM d, tab),
+        p AS (SELECT *, sum(size) OVER (ORDER BY h, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)::BIGINT AS below,
+                     row_number() OVER (ORDER BY h, doc_id NULLS FIRST) AS place FROM k),
+        total AS (SELECT sum(size)::BIGINT AS total FROM k),
+        edges AS (SELECT below AS edge, false AS ends_text FROM p UNION ALL SELECT 0, true
+                  UNION ALL SELECT max(below), true FROM p GROUP BY h),
+        cuts AS (SELECT s, coalesce(
+                     (array_agg(edge ORDER BY abs(16 * edge - s * total), edge)
+                         FILTER (WHERE ends_text AND abs(16 * edge - s * total) <= total // 100))[1],
+                     (array_agg(edge ORDER BY abs(16 * edge - s * total), edge))[1]) AS cut
+                 FROM edges, total, range(1, 16) r(s) GROUP BY s),
+        z AS (SELECT p.*, (SELECT count(*) FROM cuts WHERE cut <= p.below - p.size) AS shard FROM p)
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+               place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard
+        FROM z""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii, op2_mixing, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_html, op7_exact_dedup, op8_toxicity,
-    op9_secrets, op10_language_id, op10_pages)}
+    op9_secrets, op10_language_id, op10_pages, op13_sharding)}
