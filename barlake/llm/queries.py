@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, shards, toxicity
+from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, shards, toxicity, variants
 from barlake.llm.graph import saved
 
 
@@ -72,6 +72,10 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(rows, ("page_id",), declared="markup", url="url")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.occurrences(table(spark, sf_dir, "documents")))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shards.shards(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return found.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -79,6 +83,12 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # DuckDB statements; where SQL cannot express an operator its tests compare with a plain version instead.
+# The table of CRC-32, and the CRC-32 of the text t.
+CRC_TABLE = r"""SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab"""
+CRC = r"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                         regexp_extract_all(hex(t), '..'), lambda b: ('0x' || b)::BIGINT)), lambda c, b:
+                         xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": r"""
         WITH d AS (
@@ -107,15 +117,35 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
         FROM documents d LEFT JOIN n USING (doc_id)
         JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)""",
+    "op12_spelling": r"""
+        WITH RECURSIVE tab AS (""" + CRC_TABLE + r"""),
+        runs AS (SELECT doc_id, run, count(*) AS c, coalesce(doc_id::VARCHAR, '') || ':' || run AS t
+                 FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+                       FROM documents) GROUP BY ALL HAVING length(run) >= 7),
+        coded AS (SELECT run, c, """ + CRC + r""" AS h FROM runs, tab),
+        words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                         ELSE run END AS word, sum(c)::BIGINT AS n
+                  FROM coded GROUP BY 1 HAVING sum(c) >= 2 AND length(word) >= 7),
+        less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS d
+                 FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+        near AS (SELECT x.word AS a, y.word AS b FROM less x JOIN less y ON x.i = y.i AND x.d = y.d AND x.word <> y.word
+                 UNION SELECT word, d FROM less SEMI JOIN words w ON less.d = w.word
+                 UNION SELECT d, word FROM less SEMI JOIN words w ON less.d = w.word),
+        best AS (SELECT a, count(*) AS n_near, (array_agg(b ORDER BY n DESC, b))[1] AS b, max(n) AS m
+                 FROM near JOIN words ON word = b GROUP BY a),
+        formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN b END AS form,
+                          CASE WHEN m >= 10 * n THEN m END AS form_n
+                   FROM words LEFT JOIN best ON a = word),
+        reach AS (SELECT word, word AS root, form AS further FROM formed UNION ALL
+                  SELECT r.word, r.further, f.form FROM reach r JOIN formed f ON f.word = r.further)
+        SELECT f.word, form, root, n, n_near, form_n
+        FROM formed f JOIN reach r ON r.word = f.word AND r.further IS NULL""",
     "op13_sharding": r"""
-        WITH RECURSIVE tab AS (  -- the table of CRC-32
-            SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
-                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+        WITH RECURSIVE tab AS (""" + CRC_TABLE + r"""),
         d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         k AS (SELECT doc_id, strlen(t) + 1 AS size, ('0x' || substr(md5(t), 1, 15))::BIGINT AS h,
-                     xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
-                         regexp_extract_all(hex(t), '..'), lambda b: ('0x' || b)::BIGINT)), lambda c, b:
-                         xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS text_crc32
+                     """ + CRC + r""" AS text_crc32
               FROM d, tab),
         p AS (SELECT *, sum(size) OVER (ORDER BY h, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)::BIGINT AS below,
                      row_number() OVER (ORDER BY h, doc_id NULLS FIRST) AS place FROM k),
@@ -135,4 +165,5 @@ ORACLES: dict[str, str] = {
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii, op2_mixing, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_html, op7_exact_dedup, op8_toxicity,
-    op9_secrets, op10_language_id, op10_pages, op13_sharding)}
+    op9_secrets, op10_language_id, op10_pages, op12_spelling,
+    op13_sharding)}
