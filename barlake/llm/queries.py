@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, shards, toxicity, variants
+from barlake.llm import grace, language, mixing, pages, parity, pieces, pii, quality, secrets, shards, toxicity, variants, whitening
 from barlake.llm.graph import saved
 
 
@@ -72,6 +72,17 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(rows, ("page_id",), declared="markup", url="url")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.vectors(table(spark, sf_dir, "embeddings"))
+    m = whitening.fit_list(rows)
+    shares = F.array(*map(F.lit, m.explained.tolist() if m else [])).cast("array<double>")
+    found = whitening.whiten(rows, m).select("id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return found.select(F.col("id").alias("vec_id"), (F.col("place") + 1).alias("component"),
+                        F.lit(m.n if m else 0).cast("long").alias("n"), "deviation", "whitened",
+                        F.get(shares, F.col("place")).alias("explained"),
+                        F.lit(m.identity_error if m else 0.0).alias("identity_error"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group(variants.occurrences(table(spark, sf_dir, "documents")))
 
@@ -165,5 +176,5 @@ ORACLES: dict[str, str] = {
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_pii, op2_mixing, op3_quality, op4_ngram_jaccard, op5_sentencepiece, op6_html, op7_exact_dedup, op8_toxicity,
-    op9_secrets, op10_language_id, op10_pages, op12_spelling,
+    op9_secrets, op10_language_id, op10_pages, op11_whitening, op12_spelling,
     op13_sharding)}
