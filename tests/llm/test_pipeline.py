@@ -6,7 +6,7 @@ from barlake.llm import mixing, pieces
 from barlake.llm.graph import saved
 from barlake.llm.vocab import PIECES, vocab_path
 from tests.llm.test_grace import plain as plain_copies
-from tests.llm.test_parity import plain as plain_links
+from tests.llm.test_near_stage import plain as plain_links
 
 SF = "/root/testdata/sf0.001"
 
