@@ -34,6 +34,8 @@ from barlake.sources import lake
 from barlake.sources.metadata import read_metadata, write_metadata
 from barlake.streaming import bars_stream
 from barlake.streaming import files as sfiles
+from barlake.streaming import reconcile
+from barlake.streaming import state as stream_state
 
 WIDTH = O.BAR_WIDTH
 
@@ -548,6 +550,63 @@ def q_stream_raw_trades(spark, sf):
                       utc_wall_clock("event_ts").alias("event_ts"))
 
 
+@register("stream_state", O.with_ctes(O.TRADES_MS_CTE, O.BARS_CTE, body="""
+SELECT * FROM bars
+WHERE window_end > (SELECT max(event_ts) FROM trades) - INTERVAL 30 SECOND""", doubles=BAR_DOUBLES))
+def q_stream_state(spark, sf):
+    """The bars that the state of the bar query still holds when the replay has ended."""
+    base = scratch_path(spark, "stream")
+    bars_stream.start_bar_sink(replayed(spark, sf, base), f"{base}/lake", f"{base}/chk", width=WIDTH,
+                               available_now=True,
+                               state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return sfiles.ntz_bars(stream_state.open_bars(spark, f"{base}/chk/bars"))
+
+
+# Trades that reach the bus only after all others, in a run of their own.
+LATE = "trade_id % 50 = 0"
+
+
+def late_run(spark, sf) -> str:
+    """Folder with the lake of raw trades and bars (compacted) after a replay whose late trades came last."""
+    base = scratch_path(spark, "late")
+    t = trades(spark, sf)
+    sfiles.write_record_files(t.where(f"NOT ({LATE})"), f"{base}/in", 2)
+    for late in (None, t.where(LATE)):
+        if late is not None:
+            norm.encode_trades(late).write.mode("append").json(f"{base}/in")
+        records = decode_trades(sfiles.record_stream(spark, f"{base}/in", 1000 if late is not None else 1))
+        for q in bars_stream.start_pipeline(records, f"{base}/lake", f"{base}/chk", width=WIDTH, available_now=True,
+                                            state_partitions=spark.sparkContext.defaultParallelism):
+            q.awaitTermination()
+    lake.compact(spark, f"{base}/lake/features/bars", f"{base}/bars")
+    return base
+
+
+LATE_BARS_SQL = O.with_ctes(O.TRADES_MS_CTE, body=f"""
+SELECT symbol, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+       count(*) FILTER (WHERE NOT ({LATE})) AS emitted, count(*) AS actual
+FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, event_ts) AS window_start FROM trades)
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM trades WHERE NOT ({LATE})) - INTERVAL 30 SECOND
+GROUP BY symbol, window_start HAVING count(*) FILTER (WHERE {LATE}) > 0""")
+
+
+@register("late_bars", LATE_BARS_SQL)
+def q_late_bars(spark, sf):
+    """I4: emitted bars that lack trades which came after their window was closed."""
+    base = late_run(spark, sf)
+    found = reconcile.late_bars(lake.read_partitioned(spark, f"{base}/lake/raw/trades"),
+                                lake.read_partitioned(spark, f"{base}/bars"), WIDTH)
+    return sfiles.ntz_bars(found)
+
+
+@register("repaired_bars", STREAM_BARS_SQL)
+def q_repaired_bars(spark, sf):
+    """I4: the bar lake after its late bars were computed again and their symbol folders overwritten."""
+    base = late_run(spark, sf)
+    reconcile.repair(spark, lake.read_partitioned(spark, f"{base}/lake/raw/trades"), f"{base}/bars", WIDTH)
+    return sfiles.ntz_bars(lake.read_partitioned(spark, f"{base}/bars"))
+
+
 # ---------------------------------------------------------------- dataset
 
 CLEAN_CTE = """

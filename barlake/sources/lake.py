@@ -11,16 +11,18 @@ RAW_TABLE = ("raw", "ohlcv_10s")
 LAYERS = ("raw", "staging", "intermediate", "marts")
 
 
-def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_bars(bars: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
     """Bars as Parquet under ``symbol=<s>/`` folders; the partition column
     lives in the path, not in the files (A6). Range partitioning on (symbol,
     window_start) gives each task a contiguous slice, so it writes one or two
     folders, while a symbol holding most of the data is split over many
     tasks by the sampled range bounds. ``spark.sql.shuffle.partitions`` is the
-    most tasks there can be; AQE merges small ones."""
+    most tasks there can be; AQE merges small ones. ``dynamic`` overwrites the
+    symbol folders that the bars have and leaves the others."""
     (bars.repartitionByRange("symbol", "window_start")
      .sortWithinPartitions("symbol", "window_start")
-     .write.mode(mode).partitionBy("symbol").parquet(path))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .partitionBy("symbol").parquet(path))
 
 
 def scan_lake(spark: SparkSession, path: str) -> DataFrame:
