@@ -35,18 +35,38 @@ def classification_metrics(scored: DataFrame, label: str = "label_up_3", prob: s
         precision.alias("precision"), recall.alias("recall"))
 
 
-def roc_auc(scored: DataFrame, label: str = "label_up_3", prob: str = "prob_up") -> DataFrame:
-    """Exact ROC-AUC (Mann-Whitney, ties count half), NaN unless both
-    classes occur (D8). Scores are grouped first, so the running count of
-    negatives below each score runs over distinct scores only, distributed
-    by range (no single-task window)."""
-    by_score = scored.groupBy(F.col(prob).alias("_s")).agg(
+def roc_auc_by(scored: DataFrame, group: str, label: str = "label_up_3", prob: str = "prob_up") -> DataFrame:
+    """(group, pos, neg, auc) of every group: exact ROC-AUC (Mann-Whitney, ties
+    count half), NaN unless both classes occur (D8, D9).
+
+    Rows are grouped by (group, score) first, so the running count of negatives
+    runs over distinct scores only, once for all groups and distributed by
+    range (no single-task window). The count at a group's lowest score is that
+    of the groups before and is taken off again; twice the statistic is a whole
+    number, so nothing is lost in the difference."""
+    by_score = scored.groupBy(F.col(group).alias("_g"), F.col(prob).alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
-    run = with_prefix_sums(by_score, ["_s"], {"_neg_below": "_neg"}, exclusive=True)
-    agg = run.agg(
-        F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") * 0.5)).alias("_u"),
-        F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"))
+    run = with_prefix_sums(by_score, ["_g", "_s"], {"_below": "_neg"}, exclusive=True)
+    exact = "decimal(38,0)"
+    agg = run.groupBy("_g").agg(
+        F.sum(F.col("_pos").cast(exact) * (2 * F.col("_below") + F.col("_neg")).cast("decimal(20,0)")).alias("_u2"),
+        F.min("_below").alias("_before"), F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"))
+    u = (F.col("_u2") - 2 * F.col("_before").cast("decimal(19,0)") * F.col("pos").cast("decimal(18,0)")).cast("double") / 2
     auc = F.when((F.col("pos") > 0) & (F.col("neg") > 0),
-                 F.col("_u") / (F.col("pos") * F.col("neg"))).otherwise(F.lit(float("nan")))
-    return agg.select(F.coalesce("pos", F.lit(0)).cast("bigint").alias("pos"),
-                      F.coalesce("neg", F.lit(0)).cast("bigint").alias("neg"), auc.alias("auc"))
+                 u / (F.col("pos").cast("double") * F.col("neg"))).otherwise(F.lit(float("nan")))
+    return agg.select(F.col("_g").alias(group), "pos", "neg", auc.alias("auc"))
+
+
+def roc_auc(scored: DataFrame, label: str = "label_up_3", prob: str = "prob_up") -> DataFrame:
+    """(pos, neg, auc) over all rows; one row also for none."""
+    every = roc_auc_by(scored.withColumn("_all", F.lit(0)), "_all", label, prob)
+    # a global aggregation of the single group, which has a row when there is no group either
+    return every.agg(F.coalesce(F.max("pos"), F.lit(0)).cast("bigint").alias("pos"),
+                     F.coalesce(F.max("neg"), F.lit(0)).cast("bigint").alias("neg"),
+                     F.coalesce(F.max("auc"), F.lit(float("nan"))).alias("auc"))
+
+
+def mean_auc(folds: DataFrame) -> DataFrame:
+    """(cv_auc): the mean of the folds that have an AUC, NaN without one."""
+    return folds.where(~F.isnan("auc")).agg(F.avg("auc").alias("cv_auc")) \
+        .select(F.coalesce("cv_auc", F.lit(float("nan"))).alias("cv_auc"))

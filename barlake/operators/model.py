@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators import dataset as ds
 from barlake.operators.marts import latest_features
-from barlake.operators.metrics import classification_metrics, roc_auc
+from barlake.operators.metrics import classification_metrics, mean_auc, roc_auc, roc_auc_by
 from barlake.operators.serving import accepted_requests, decide
 from barlake.schemas import FEATURE_COLUMNS, LABEL_COLUMN
 
@@ -92,16 +93,15 @@ def fit_many(trains: list[tuple[DataFrame, int]], rounds: int = ROUNDS, parallel
 
 def walk_forward_cv(frame: DataFrame, rounds: int = ROUNDS, n: int | None = None,
                     parallelism: int = 1, models: list[PipelineModel] | None = None) -> DataFrame:
-    """AUC of each expanding fold (K6); one fit per fold."""
+    """AUC of each expanding fold (K6); one fit per fold, and one pass over the
+    scores of all test folds."""
     n = ds.row_count(frame) if n is None else n
     splits = [ds.fold_rows(frame, k, n) for k in range(len(ds.fold_bounds(n)))]
     models = models or fit_many([(tr, lo) for (tr, _), (lo, _) in zip(splits, ds.fold_bounds(n))], rounds,
                                 parallelism)
-    out = None
-    for k, ((_, test), model) in enumerate(zip(splits, models)):
-        auc = roc_auc(score(model, test)).select(F.lit(k).alias("fold"), "*")
-        out = auc if out is None else out.unionByName(auc)
-    return out
+    tests = [score(model, test).select(F.lit(k).alias("fold"), LABEL_COLUMN, "prob_up")
+             for k, ((_, test), model) in enumerate(zip(splits, models))]
+    return roc_auc_by(reduce(DataFrame.unionByName, tests), "fold")
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:
@@ -130,8 +130,7 @@ def train_direction(frame: DataFrame, rounds: int = ROUNDS, parallelism: int = 1
     fold_trains = [(ds.fold_rows(frame, k, n)[0], lo) for k, (lo, _) in enumerate(ds.fold_bounds(n))]
     fitted = fit_many([*fold_trains, (train, int(n * ds.HOLDOUT_FRACTION))], rounds, parallelism)
     folds = walk_forward_cv(frame, rounds, n, models=fitted[:-1])
-    cv = folds.where(~F.isnan("auc")).agg(F.avg("auc").alias("cv_auc")) \
-        .select(F.coalesce("cv_auc", F.lit(float("nan"))).alias("cv_auc"))
+    cv = mean_auc(folds)
     model = fitted[-1]
     scored = score(model, test)
     cls = classification_metrics(scored)

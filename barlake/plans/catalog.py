@@ -24,11 +24,10 @@ from barlake.operators import model as ml
 from barlake.operators import normalize as norm
 from barlake.operators import quality, report, serving
 from barlake.operators.normalize import decode_trades
-from barlake.operators.stack import stack_frames
 from barlake.operators.staging import stg_ohlcv
 from barlake.plans import oracle as O
 from barlake.plans.warehouse import refresh
-from barlake.schemas import FEATURE_COLUMNS
+from barlake.schemas import BAR_COLUMNS, FEATURE_COLUMNS
 from barlake.session import scratch_path
 from barlake.sources import lake
 from barlake.sources.metadata import read_metadata, write_metadata
@@ -321,8 +320,21 @@ def q_union_bars(spark, sf):
     """G1: the per-symbol frames of a bar lake stacked by column name."""
     path = scratch_path(spark, "lake")
     lake.write_bars(bars(spark, sf), path)
-    names = [r.symbol for r in lake.scan_lake(spark, path).select("symbol").distinct().orderBy("symbol").collect()]
-    return stack_frames([lake.scan_lake(spark, path).where(F.col("symbol") == n) for n in names])
+    return lake.read_partitioned(spark, path, merge=True).select(*BAR_COLUMNS)
+
+
+WITHOUT_VWAP = "symbol < 'p'"
+
+
+@register("union_bars_merged", O.with_ctes(*O.CHAIN_BARS, body=f"""
+SELECT * REPLACE (CASE WHEN NOT ({WITHOUT_VWAP}) THEN vwap END AS vwap) FROM bars""", doubles=BAR_DOUBLES))
+def q_union_bars_merged(spark, sf):
+    """G1: folders whose files lack a column, stacked by name in one scan."""
+    path = scratch_path(spark, "lake")
+    every = bars(spark, sf)
+    lake.write_bars(every.where(WITHOUT_VWAP).drop("vwap"), path)
+    lake.write_bars(every.where(f"NOT ({WITHOUT_VWAP})"), path, mode="append")
+    return lake.read_partitioned(spark, path, merge=True).select(*BAR_COLUMNS)
 
 
 # ---------------------------------------------------------------- serving
@@ -723,6 +735,43 @@ def q_roc_auc(spark, sf):
     return mx.roc_auc(test_scored(spark, sf))
 
 
+FOLD_SCORED_CTE = f"""
+fold_scored AS (
+  SELECT CAST((row_idx - (n_rows - 5 * (n_rows // 6))) // (n_rows // 6) AS INTEGER) AS fold, label_up_3,
+         round({FIXED_SCORE}, 3) AS prob_up FROM sized WHERE row_idx >= n_rows - 5 * (n_rows // 6)),
+pairs AS (
+  SELECT fold, count(*) FILTER (WHERE label_up_3 = 1) AS pos, count(*) FILTER (WHERE label_up_3 <> 1) AS neg
+  FROM fold_scored GROUP BY fold),
+wins AS (
+  SELECT fold, sum(CASE WHEN p.prob_up > n.prob_up THEN 1.0 WHEN p.prob_up = n.prob_up THEN 0.5 ELSE 0.0 END) AS u
+  FROM (SELECT * FROM fold_scored WHERE label_up_3 = 1) p JOIN (SELECT * FROM fold_scored WHERE label_up_3 <> 1) n
+       USING (fold) GROUP BY fold),
+fold_auc AS (
+  SELECT fold, pos, neg, CASE WHEN pos > 0 AND neg > 0 THEN u / (pos * neg) ELSE 'NaN'::DOUBLE END AS auc
+  FROM pairs LEFT JOIN wins USING (fold))"""
+
+
+def fold_auc(spark, sf):
+    """A fixed score (three places, so that many rows tie) over the test rows of all folds."""
+    folds = ds.walk_forward_folds(frame(spark, sf)).where("test_fold IS NOT NULL")
+    scored = folds.select(F.col("test_fold").alias("fold"), "label_up_3",
+                          F.round(F.expr(FIXED_SCORE), 3).alias("prob_up"))
+    return mx.roc_auc_by(scored, "fold")
+
+
+@register("fold_auc", O.with_ctes(*CHAIN_INDEXED, FOLD_SCORED_CTE, body="SELECT * FROM fold_auc", doubles=("auc",)))
+def q_fold_auc(spark, sf):
+    """The AUC of every fold in one pass, over a fixed score with ties (oracle: all pairs)."""
+    return fold_auc(spark, sf)
+
+
+@register("cv_auc", O.with_ctes(*CHAIN_INDEXED, FOLD_SCORED_CTE, body="""
+SELECT avg(auc) AS cv_auc FROM fold_auc WHERE NOT isnan(auc)""", doubles=("cv_auc",)))
+def q_cv_auc(spark, sf):
+    """Mean fold AUC over a fixed score."""
+    return mx.mean_auc(fold_auc(spark, sf))
+
+
 # ---------------------------------------------------------------- model
 # Values that depend on the learner get a rows-only check; ``*_checks`` keys
 # compare what does not.
@@ -849,6 +898,24 @@ def q_score_latest_checks(spark, sf):
     return q_score_latest(spark, sf).select("symbol", "window_start", F.expr(SCORE_CHECKS).alias("consistent"))
 
 
+@register("score_requests_checks", O.with_ctes(*O.CHAIN_FEATS, f"""
+req AS (SELECT symbol, window_start, {REQ_DEFAULTS_SQL} FROM feats)""", body="""
+SELECT symbol, window_start, TRUE AS consistent FROM req
+WHERE volatility_30 >= 0 AND rel_volume >= 0 AND trade_count >= 0"""))
+def q_score_requests_checks(spark, sf):
+    """Which requests are accepted, and that direction and confidence follow the probability."""
+    return q_score_requests(spark, sf).select("symbol", "window_start", F.expr(SCORE_CHECKS).alias("consistent"))
+
+
+@register("model_info_checks", ORACLES["train_direction_checks"])
+def q_model_info_checks(spark, sf):
+    """Names, sizes and ranges of the metadata that is read back beside the saved model."""
+    fixed = F.col("metric").isin("n_train", "n_test", "base_rate")
+    return q_model_info(spark, sf).select(
+        "metric", F.when(fixed, F.col("value")).alias("value"),
+        (fixed | F.isnan("value") | F.col("value").between(0, 1)).alias("in_range"))
+
+
 # ---------------------------------------------------------------- refresh job
 @register("refresh_report", O.with_ctes(*CHAIN_INDEXED, body="""
 SELECT 'load' AS step, count(*) AS rows FROM bars UNION ALL SELECT 'build', count(*) FROM mart UNION ALL

@@ -45,11 +45,15 @@ def scan_lake(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[c for c in BAR_COLUMNS if c in df.columns])
 
 
-def read_partitioned(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
+def read_partitioned(spark: SparkSession, path: str, file: str | None = None, merge: bool = False) -> DataFrame:
     """A table partitioned by symbol folders. The schema is that of a file
     plus ``symbol string``: folder names like ``005930`` stay text instead of
-    being inferred as numbers."""
-    inner = spark.read.parquet(file) if file else spark.read.parquet(path).drop("symbol")
+    being inferred as numbers. With ``merge`` it is that of all files together,
+    read from their footers by a Spark job; a column that a folder's files lack
+    is NULL there (G1). Either way one scan serves all folders, and the plan does not
+    grow with their number."""
+    inner = spark.read.parquet(file) if file else \
+        spark.read.option("mergeSchema", str(merge).lower()).parquet(path).drop("symbol")
     schema = T.StructType([f for f in inner.schema.fields if f.name != "symbol"]
                           + [T.StructField("symbol", T.StringType())])
     return spark.read.schema(schema).parquet(path)
