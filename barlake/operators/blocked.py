@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from barlake.operators.indicators import LOOKAHEAD, LOOKBACK, technical_features, with_future_close
 from barlake.operators.marts import label_up
 from barlake.schemas import ML_MART_COLUMNS
+from barlake.sources.lake import save_bucketed
 
 DEFAULT_BLOCK_ROWS = 200_000
 
@@ -71,12 +72,27 @@ def blocked_technical_features(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_R
 
 def blocked_indicators(stg: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Indicator table plus ``future_close_3`` for every bar, in one blocked pass."""
-    halo = _with_halo(stg, block_rows)
+    return block_indicators(_with_halo(stg, block_rows))
+
+
+def block_indicators(blocks: DataFrame) -> DataFrame:
+    """:func:`blocked_indicators` of bars already cut into blocks with their halos. Over a table of
+    :func:`save_blocks` every window runs in the task that reads the bucket: the plan has no exchange."""
     w = _window()
-    feats = with_future_close(technical_features(halo, w, carry=("_core", "_blk")), w)
+    feats = with_future_close(technical_features(blocks, w, carry=("_core", "_blk")), w)
     return feats.where("_core").drop("_core", "_blk")
 
 
+def save_blocks(stg: DataFrame, name: str, path: str, block_rows: int = DEFAULT_BLOCK_ROWS,
+                buckets: int | None = None) -> DataFrame:
+    """Bars cut into blocks with their halos, saved as a table bucketed on (symbol, block) and sorted by time.
+
+    ``stg`` is read for the positions and for the rows; give it saved bars, or the trades behind it are aggregated
+    twice. Use at least as many buckets as blocks that should run at a time."""
+    return save_bucketed(_with_halo(stg, block_rows), name, path, ("symbol", "_blk"),
+                         ("symbol", "_blk", "window_start"), buckets)
+
+
 def mart_from_indicators(ind: DataFrame) -> DataFrame:
     """The labelled mart from :func:`blocked_indicators` output (a filter)."""
     return (ind.where(F.col("future_close_3").isNotNull() & F.col("volatility_30").isNotNull())

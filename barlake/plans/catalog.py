@@ -7,7 +7,9 @@ to 6 places on both sides so the comparison does not hinge on the last bits
 of floating-point sums taken in a different order."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,9 +70,47 @@ def stg(spark, sf):
     return stg_ohlcv(bars(spark, sf))
 
 
+@dataclass
+class Prepared:
+    """What the indicator, snapshot and report queries share, as the warehouse's models share the raw table: the bars,
+    aggregated from the trades once and saved, and their blocks."""
+    raw: DataFrame
+    raw_checks: quality.Checks
+    blocks: DataFrame
+
+
+_PREPARED: dict = {}
+
+
+def prepare(raw: DataFrame, path: str) -> Prepared:
+    """Saves bars, with their checks counted on the way, and their blocks below ``path``."""
+    checks = quality.Checks(quality.RAW)
+    checks.on(raw).write.parquet(f"{path}/raw")
+    saved = raw.sparkSession.read.schema(raw.schema).parquet(f"{path}/raw")
+    blocks = blocked.save_blocks(stg_ohlcv(saved), f"blocks_{uuid.uuid4().hex}", f"{path}/blocks")
+    return Prepared(saved, checks, blocks)
+
+
+def prepared(spark, sf) -> Prepared:
+    """Of the trades of a table folder, once in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PREPARED:
+        _PREPARED[key] = prepare(bars(spark, sf), scratch_path(spark, "prepared"))
+    return _PREPARED[key]
+
+
+def forget() -> None:
+    """The next query of every folder prepares its bars again."""
+    _PREPARED.clear()
+
+
+def stg_saved(spark, sf):
+    return stg_ohlcv(prepared(spark, sf).raw)
+
+
 def indicators_all(spark, sf):
-    """Indicators + 3-bar look-ahead over bounded blocks (skew-safe default)."""
-    return blocked.blocked_indicators(stg(spark, sf))
+    """Indicators + 3-bar look-ahead over the saved blocks (skew-safe, no exchange)."""
+    return blocked.block_indicators(prepared(spark, sf).blocks)
 
 
 def feats(spark, sf):
@@ -166,7 +206,7 @@ def q_technical_features(spark, sf):
 def q_technical_features_window(spark, sf):
     """The same table with plain per-symbol windows, the reference's plan
     (one task per symbol: fine for many small symbols, not for a hot one)."""
-    return ind.technical_features(stg(spark, sf))
+    return ind.technical_features(stg_saved(spark, sf))
 
 
 
@@ -204,21 +244,21 @@ SELECT * EXCLUDE (future_close_3) FROM mart""", doubles=MART_DOUBLES[:-1]))
 def q_ml_features_from_raw(spark, sf):
     """K2: the mart rebuilt in one plan from raw bars, with the rebuild's
     column list (no future_close_3)."""
-    return blocked.blocked_ml_features(stg(spark, sf)).drop("future_close_3")
+    return blocked.blocked_ml_features(stg_saved(spark, sf)).drop("future_close_3")
 
 
 @register("latest_bar", O.with_ctes(*O.CHAIN_SNAPSHOT, body="""
 SELECT *, CAST(1 AS BIGINT) AS rn FROM newest""", doubles=FEAT_DOUBLES))
 def q_latest_bar(spark, sf):
     """Newest indicator row per symbol."""
-    return marts.latest_indicators(stg(spark, sf))
+    return marts.latest_indicators(stg_saved(spark, sf))
 
 
 @register("symbol_totals", O.with_ctes(*O.CHAIN_SNAPSHOT, body="SELECT * FROM extent",
                                        doubles=("high_window", "low_window", "total_volume")))
 def q_symbol_totals(spark, sf):
     """Per-symbol high, low, volume and bar count over all history."""
-    return marts.symbol_totals(stg(spark, sf))
+    return marts.symbol_totals(stg_saved(spark, sf))
 
 
 SNAP_DOUBLES = ("last_price", "last_return", "px_vs_sma30", "volatility_30", "order_flow_imbalance",
@@ -229,7 +269,7 @@ SNAPSHOT_SQL = O.with_ctes(*O.CHAIN_SNAPSHOT, body="SELECT * FROM snapshot", dou
 @register("symbol_snapshot", SNAPSHOT_SQL)
 def q_symbol_snapshot(spark, sf):
     """Latest row per symbol joined to its totals."""
-    return marts.symbol_snapshot(stg(spark, sf))
+    return marts.symbol_snapshot(stg_saved(spark, sf))
 
 
 @register("symbol_snapshot_onepass", SNAPSHOT_SQL)
@@ -349,7 +389,7 @@ SELECT * FROM (SELECT {SERIES_COLS} FROM feats WHERE symbol = lower('VIEW')
                                      doubles=SERIES_DOUBLES))
 def q_symbol_bars(spark, sf):
     """Last 300 bars of one symbol (upper-case input), ascending."""
-    return serving.recent_symbol_bars(stg(spark, sf), "VIEW", 300)
+    return serving.recent_symbol_bars(stg_saved(spark, sf), "VIEW", 300)
 
 
 @register("symbol_bars_padded", ORACLES["symbol_bars"])
@@ -364,7 +404,7 @@ def q_symbol_bars_padded(spark, sf):
 @register("symbols", O.with_ctes(*O.CHAIN_FEATS, body="SELECT DISTINCT symbol FROM stg ORDER BY symbol"))
 def q_symbols(spark, sf):
     """Distinct symbols, sorted."""
-    return serving.symbols(stg(spark, sf))
+    return serving.symbols(stg_saved(spark, sf))
 
 
 @register("kpi_tiles", O.with_ctes(*O.CHAIN_SNAPSHOT, body="""
@@ -376,7 +416,7 @@ SELECT symbol, close, px_vs_sma30, volatility_30, order_flow_imbalance,
 FROM newest""", doubles=("close", "px_vs_sma30", "volatility_30", "order_flow_imbalance")))
 def q_kpi_tiles(spark, sf):
     """KPI texts of the latest bar per symbol."""
-    return serving.kpi_tiles(marts.latest_indicators(stg(spark, sf)).drop("rn"))
+    return serving.kpi_tiles(marts.latest_indicators(stg_saved(spark, sf)).drop("rn"))
 
 
 REQ_DEFAULTS_SQL = ", ".join(
@@ -433,11 +473,13 @@ QUALITY_SQL = O.with_ctes(*O.CHAIN_MART, O.SNAPSHOT_CTE, body="\nUNION ALL\n".jo
 
 @register("quality_report", QUALITY_SQL)
 def q_quality_report(spark, sf):
-    """Failing-row count of every declared check."""
-    ind_all = indicators_all(spark, sf)
-    f = ind_all.drop("future_close_3")
-    return quality.quality_report(bars(spark, sf), blocked.mart_from_indicators(ind_all),
-                                  marts.symbol_snapshot_onepass(f))      # the snapshot as the warehouse builds it
+    """Failing-row count of every declared check, counted while the tables are written."""
+    p, path = prepared(spark, sf), scratch_path(spark, "checked")
+    of_mart, of_snapshot = quality.Checks(quality.MART), quality.Checks(quality.SNAPSHOT)
+    of_mart.on(mart(spark, sf)).write.parquet(f"{path}/mart")
+    of_snapshot.on(snapshot(spark, sf)).write.parquet(f"{path}/snapshot")
+    return quality.observed_report(spark, p.raw_checks, of_mart, of_snapshot,
+                                   spark.read.parquet(f"{path}/snapshot"))
 
 
 @register("nonpositive_prices", O.with_ctes(*O.CHAIN_MART, body="SELECT * FROM mart WHERE close <= 0",
@@ -451,7 +493,7 @@ def q_nonpositive_prices(spark, sf):
 
 
 def snapshot(spark, sf):
-    return marts.symbol_snapshot(stg(spark, sf))
+    return marts.symbol_snapshot(stg_saved(spark, sf))
 
 
 def _z(c):
@@ -822,7 +864,7 @@ def q_score_latest(spark, sf):
 def q_score_latest_live(spark, sf):
     """K9 with source = live: the newest indicator row of every symbol (no
     known future needed) scored."""
-    return ml.score_latest(trained(spark, sf).model, marts.latest_indicators(stg(spark, sf)))
+    return ml.score_latest(trained(spark, sf).model, marts.latest_indicators(stg_saved(spark, sf)))
 
 
 @register("score_requests")

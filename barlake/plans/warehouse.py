@@ -25,6 +25,8 @@ STG_VIEW = lake.layer_table("staging", "stg_ohlcv")
 INT_TABLE = lake.layer_table("intermediate", "int_technical_features")
 ML_MART = lake.layer_table("marts", "mart_ml_features")
 SNAPSHOT_MART = lake.layer_table("marts", "mart_symbol_snapshot")
+TABLES = (lake.RAW_TABLE, ("intermediate", "int_indicators_ahead"), ("marts", "mart_ml_features"),
+          ("marts", "mart_symbol_snapshot"), ("marts", "market_summary"))
 
 
 @dataclass
@@ -34,15 +36,21 @@ class Warehouse:
     ml_mart: DataFrame
     snapshot: DataFrame
     checks: DataFrame
+    mart_rows: int
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str | None = None,
                     block_rows: int = blk.DEFAULT_BLOCK_ROWS, enforce_checks: bool = True,
-                    raw_table: str = lake.layer_table(*lake.RAW_TABLE)) -> Warehouse:
+                    raw_table: str = lake.layer_table(*lake.RAW_TABLE),
+                    raw_checks: quality.Checks | None = None) -> Warehouse:
     """Staging is a catalog view over ``raw_table`` (A8, A9), or a projection
     of ``raw`` when a DataFrame is given instead of the table. The indicator
     table is saved once, with the look-ahead close; the 20-column intermediate
-    view, the mart and the snapshot are derived from it. Checks fail the build (J6). No task holds more than
+    view, the mart and the snapshot are derived from it. The checks of the mart
+    and the snapshot are counted while these are written, those of raw were when
+    the loader wrote it (``raw_checks``; without them raw is scanned). A failing
+    check fails the build before the table it is about is switched in (J6), so
+    readers keep the last good one. No task holds more than
     about ``block_rows`` bars however few symbols there are."""
     lake.ensure_layers(spark, root)
     if raw is None:
@@ -51,17 +59,22 @@ def build_warehouse(spark: SparkSession, raw: DataFrame | None = None, root: str
         stg = spark.table(STG_VIEW)
     else:
         stg = stg_ohlcv(raw)
+    of_raw = raw_checks.report(spark) if raw_checks else quality.raw_checks(raw)
+    if enforce_checks:
+        quality.enforce(of_raw)
     ind = lake.save_table(blk.blocked_indicators(stg, block_rows), "intermediate", "int_indicators_ahead", root)
-    spark.sql(f"DROP VIEW IF EXISTS {INT_TABLE}")
-    spark.sql(f"CREATE VIEW {INT_TABLE} AS SELECT {', '.join(TECHNICAL_COLUMNS)} FROM "
+    spark.sql(f"CREATE OR REPLACE VIEW {INT_TABLE} AS SELECT {', '.join(TECHNICAL_COLUMNS)} FROM "
               + lake.layer_table("intermediate", "int_indicators_ahead"))
     feats = spark.table(INT_TABLE)
-    ml_mart = lake.save_table(blk.mart_from_indicators(ind), "marts", "mart_ml_features", root)
-    snapshot = lake.save_table(marts.symbol_snapshot_onepass(feats), "marts", "mart_symbol_snapshot", root)
-    checks = quality.quality_report(raw, ml_mart, snapshot)
+    of_mart, of_snapshot = quality.Checks(quality.MART), quality.Checks(quality.SNAPSHOT)
+    ml_mart = lake.save_table(blk.mart_from_indicators(ind), "marts", "mart_ml_features", root, of_mart, enforce_checks)
+    snapshot = lake.save_table(marts.symbol_snapshot_onepass(feats), "marts", "mart_symbol_snapshot", root,
+                               of_snapshot, enforce_checks)
+    checks = of_raw.unionByName(quality.report_of(spark, {**of_mart.failures, **of_snapshot.failures})) \
+        .unionByName(quality.unique_symbols(snapshot))
     if enforce_checks:
         quality.enforce(checks)
-    return Warehouse(stg, feats, ml_mart, snapshot, checks)
+    return Warehouse(stg, feats, ml_mart, snapshot, checks, of_mart.rows)
 
 
 @dataclass
@@ -80,12 +93,13 @@ def refresh(spark: SparkSession, lake_path: str, model_dir: str, root: str | Non
     ``marts.market_summary``."""
     log = StepLog()
     t0 = time.time()
-    raw = lake.refresh_raw_table(spark, lake.scan_lake(spark, lake_path), root)
-    log.add("load", raw.count(), t0)
+    raw_checks = quality.Checks(quality.RAW)
+    lake.refresh_raw_table(spark, lake.scan_lake(spark, lake_path), root, raw_checks, enforce=False)
+    log.add("load", raw_checks.rows, t0)
 
     t0 = time.time()
-    wh = build_warehouse(spark, root=root, block_rows=block_rows)
-    log.add("build", wh.ml_mart.count(), t0)
+    wh = build_warehouse(spark, root=root, block_rows=block_rows, raw_checks=raw_checks)
+    log.add("build", wh.mart_rows, t0)
 
     t0 = time.time()
     frame = ds.training_frame(spark, ML_MART)
@@ -97,4 +111,6 @@ def refresh(spark: SparkSession, lake_path: str, model_dir: str, root: str | Non
     t0 = time.time()
     summary = lake.save_table(report.summary_of_table(spark, SNAPSHOT_MART), "marts", "market_summary", root)
     log.add("summary", summary.count(), t0)
+    for layer, name in TABLES:
+        lake.drop_versions(spark, layer, name, root)
     return spark.createDataFrame(log.rows, "step string, rows bigint, seconds double"), summary

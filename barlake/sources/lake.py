@@ -1,10 +1,14 @@
 """Parquet lake partitioned by symbol, and warehouse tables."""
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.operators.quality import Checks
 from barlake.schemas import BAR_COLUMNS
 
 RAW_TABLE = ("raw", "ohlcv_10s")
@@ -85,23 +89,62 @@ def warehouse_root(spark: SparkSession, root: str | None = None) -> str:
     return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def save_table(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
-    """Full refresh of a layer table (drop + create as select). Tables live
-    at explicit paths in the shared warehouse folder, so a new session (or
-    a restarted driver) overwrites them in place instead of tripping over a
-    folder its catalog does not know."""
+def save_table(df: DataFrame, layer: str, name: str, root: str | None = None, checks: Checks | None = None,
+               enforce: bool = True) -> DataFrame:
+    """Full refresh of a layer table (A7). The rows go into a new version
+    folder; then the table's location is switched to it, one change of the
+    catalog. A reader sees the whole old table or the whole new one, also one
+    that is in the middle of a scan, and a write that fails leaves the old one.
+    ``checks`` are evaluated on the rows as they are written (nothing is scanned
+    again); with ``enforce`` a failing one keeps the new version from being
+    switched in. Only a change of the columns replaces the table itself.
+
+    Versions live below an explicit folder of the shared warehouse root, so a
+    new session (or a restarted driver) need not know what is there;
+    :func:`drop_versions` removes old ones."""
     spark = df.sparkSession
     root = ensure_layers(spark, root)
     table = layer_table(layer, name)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.mode("overwrite").format("parquet").option("path", f"{root}/{layer}.db/{name}") \
-        .saveAsTable(table)
+    path = f"{root}/{layer}.db/{name}/v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    (checks.on(df) if checks else df).write.parquet(path)
+    if checks and enforce:
+        checks.enforce()
+    if spark.catalog.tableExists(table):
+        kept = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]
+        if kept:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
     return spark.table(table)
 
 
-def refresh_raw_table(spark: SparkSession, bars: DataFrame, root: str | None = None) -> DataFrame:
+def drop_versions(spark: SparkSession, layer: str, name: str, root: str | None = None, keep: int = 2) -> int:
+    """Removes the version folders of a table but the newest ``keep``, of which the table has the last (readers of the
+    one before may still run); returns how many went."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{warehouse_root(spark, root)}/{layer}.db/{name}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().startswith("v")),
+                   key=lambda x: x.getName())
+    return sum(bool(fs.delete(old, True)) for old in found[:-keep])
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, by: tuple[str, ...], sort: tuple[str, ...],
+                  buckets: int | None = None) -> DataFrame:
+    """A table bucketed on ``by`` and sorted in each bucket: windows, joins and aggregations on these columns read it
+    without an exchange. The rows are dealt out by the hash that the buckets use, so a bucket is one file."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, *by).write.format("parquet").mode("overwrite").bucketBy(n, *by).sortBy(*sort)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def refresh_raw_table(spark: SparkSession, bars: DataFrame, root: str | None = None, checks: Checks | None = None,
+                      enforce: bool = True) -> DataFrame:
     """Full refresh of ``raw.ohlcv_10s``."""
-    return save_table(bars.select(*BAR_COLUMNS), *RAW_TABLE, root=root)
+    return save_table(bars.select(*BAR_COLUMNS), *RAW_TABLE, root=root, checks=checks, enforce=enforce)
 
 
 def load_audit(table: DataFrame) -> DataFrame:
