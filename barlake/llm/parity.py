@@ -10,9 +10,14 @@ exclusive or of the hashes of its shingles: 64 parities of random halves of them
 shares a block that is not empty with each partner, so its empty ones, which unlike texts share, are no keys; m grows
 with the empty blocks to expect. Each text is keyed by its blocks in its own band and in the next.
 
-1. One pass over the texts writes, per row, size, digest of the set, a small sketch and the keys. Equal sets are one
-   class; its copies are never paired, and a task gives keys to the first copy it sees only.
-2. Keys that several classes share give candidates. Each class is first compared with the smallest class under the
+1. One pass over the texts writes, per row, size, digest of the set and a small sketch. Equal sets are one class; its
+   copies are never paired.
+2. A second pass makes the keys, of the first copy that a task sees only. They are never written one by one: a run of
+   rows sends its keys packed by ``parts`` of the key space, four bytes a key (the part holds the rest of it) and two for
+   the row, each key once. A part finds the keys of several runs; those that a run holds more than once are known to
+   be shared, and their rows go straight on. So a part gets at most one entry of a key from each run, however many rows
+   share it, and only shared keys become rows. Two keys that agree in these bits are one more candidate, no error.
+   Keys that several classes share give candidates. Each class is first compared with the smallest class under the
    same key (a star, so candidates grow with the rows under a key, not with their square).
 3. Candidates whose sketches differ by more than the bound are no partners; the rest are verified on the full sets.
 4. Components of the verified links. Then every pair under a shared key that is still in different components is
@@ -36,6 +41,7 @@ from barlake.llm.graph import components, saved
 from barlake.llm.text import coded_words, filled, list_array, slices
 
 SHINGLE = 3
+RUN_KEYS = 1_000_000
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -128,31 +134,96 @@ def small_sketch(s: np.ndarray, bound: int) -> np.ndarray:
 def _rows(batches: Iterator[pa.RecordBatch], p: int, q: int, width: int) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    bands, seen = Bands(p, q), set()
+    bands = Bands(p, q)
     for batch in batches:
         texts, ids = filled(batch.column("text")), batch.column("doc_id")
         known = ids.is_valid().to_pylist()
         for lo, hi in slices(texts):
-            sizes, digests, keys, sketches = [], [], [], []
+            sizes, digests, sketches = [], [], []
             for i, s in enumerate(shingle_sets(texts.slice(lo, hi - lo), width), lo):
                 n = len(s)
-                digest = xxhash.xxh128_digest(s.tobytes()) if n else None
-                mine, sketch = [], np.zeros(0, np.int64)
-                if n >= bands.edges[0] and known[i]:
-                    sketch = small_sketch(s, bands.bound(n, n) + 1)
-                    if digest not in seen:
-                        seen.add(digest)
-                        b = bands.band(n)
-                        mine += [block_keys(s, b, bands), block_keys(s, b + 1, bands)]
                 sizes.append(n)
-                digests.append(digest)
-                keys.append(np.concatenate(mine) if mine else np.zeros(0, np.int64))
-                sketches.append(sketch)
+                digests.append(xxhash.xxh128_digest(s.tobytes()) if n else None)
+                sketches.append(small_sketch(s, bands.bound(n, n) + 1) if n >= bands.edges[0] and known[i]
+                                else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(digests, pa.binary()), *(list_array(np.array([len(x) for x in v]), pa.array(
-                     np.concatenate(v), pa.int64())) for v in (keys, sketches))],
-                names=["doc_id", "n", "digest", "keys", "sketch"])
+                [ids.slice(lo, hi - lo).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                 list_array(np.array([len(x) for x in sketches]), pa.array(np.concatenate(sketches), pa.int64()))],
+                names=["doc_id", "n", "digest", "sketch"])
+
+
+def _packed(keys: np.ndarray, rows: np.ndarray, ids: np.ndarray, parts: int, run: int) -> pa.RecordBatch:
+    """Keys of a run of rows by part: the distinct ones; and, in one more row (part below 0), all entries of those that
+    occur more than once."""
+    part = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    whole = (part << np.uint64(32)) | (keys.view(np.uint64) & np.uint64(0xFFFFFFFF))
+    order = np.argsort(whole, kind="stable")
+    whole, rows = whole[order], rows[order]
+    first = np.concatenate(([True], whole[1:] != whole[:-1]))
+    more = ~first
+    more[:-1] |= ~first[1:]                                 # every entry of a key that occurs again
+    cells = []
+    single, row1 = whole[first], rows[first]
+    cuts = np.searchsorted(single >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+    for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        used, place = np.unique(row1[cuts[k]:cuts[k + 1]], return_inverse=True)
+        cells.append((k, (single[cuts[k]:cuts[k + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
+                      place.astype(np.uint16).tobytes(), ids[used].tobytes()))
+    if more.any():
+        used, place = np.unique(rows[more], return_inverse=True)
+        cells.append((-1 - run % parts, whole[more].tobytes(), place.astype(np.uint16).tobytes(), ids[used].tobytes()))
+    columns = list(zip(*cells)) or [(), (), (), ()]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+                                      names=["part", "keys", "rows", "ids"])
+
+
+def _keys(batches: Iterator[pa.RecordBatch], p: int, q: int, width: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Packed keys of the first copies that this task sees, in runs of at most ``RUN_KEYS`` keys and 2^16 rows."""
+    import xxhash
+
+    bands, seen = Bands(p, q), set()
+    keys, ids, held = [], [], 0
+
+    def packed() -> pa.RecordBatch:
+        counts = [len(k) for k in keys]
+        return _packed(np.concatenate(keys), np.repeat(np.arange(len(keys)), counts), np.array(ids, np.int64), parts,
+                       ids[0])
+
+    for batch in batches:
+        texts, numbers = filled(batch.column("text")), batch.column("doc_id").to_pylist()
+        for lo, hi in slices(texts):
+            for i, s in enumerate(shingle_sets(texts.slice(lo, hi - lo), width), lo):
+                if len(s) < bands.edges[0] or numbers[i] is None:
+                    continue
+                if (digest := xxhash.xxh128_digest(s.tobytes())) in seen:
+                    continue
+                seen.add(digest)
+                j = bands.band(len(s))
+                # a row's own keys are distinct: a key met twice in a run is shared by two rows
+                keys.append(np.unique(np.concatenate((block_keys(s, j, bands), block_keys(s, j + 1, bands)))))
+                ids.append(int(numbers[i]))
+                held += len(keys[-1])
+                if held >= RUN_KEYS or len(ids) == 1 << 16:
+                    yield packed()
+                    keys, ids, held = [], [], 0
+    if ids:
+        yield packed()
+
+
+def _shared(cells: pa.Table) -> pa.Table:
+    """(key, doc_id) of the keys of a part that several runs hold; of known ones, all."""
+    part = cells["part"][0].as_py()
+    lists = [[np.frombuffer(x.as_buffer(), kind) for x in cells[c]] for c, kind in (
+        ("keys", np.uint64 if part < 0 else np.uint32), ("rows", np.uint16), ("ids", np.int64))]
+    keys = np.concatenate(lists[0]).astype(np.uint64)
+    ids = np.concatenate([i[r] for r, i in zip(lists[1], lists[2])])
+    if part >= 0:
+        order = np.argsort(keys, kind="stable")
+        keys, ids = keys[order], ids[order]
+        again = np.concatenate(([False], keys[1:] == keys[:-1]))
+        again[:-1] |= again[1:]
+        keys, ids = keys[again] | np.uint64(part << 32), ids[again]
+    return pa.table({"key": pa.array(keys.view(np.int64)), "doc_id": pa.array(ids)})
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -200,14 +271,16 @@ def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
     p, q = similarity
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = saved(docs.mapInArrow(lambda it: _rows(it, p, q, width),
-                                 "doc_id long, n long, digest binary, keys array<long>, sketch array<long>"))
+                                 "doc_id long, n long, digest binary, sketch array<long>"))
     slim = rows.select("doc_id", "n", "digest")
     classes = slim.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
-    # keys that at least two rows share; a class has as many rows here as tasks that saw it
+    # keys that at least two runs of rows share, or two rows of a run; a class has a row in each task that saw it
     w = Window.partitionBy("key")
-    shared = (rows.select("digest", F.explode("keys").alias("key"))
-              .withColumn("_c", F.count(F.lit(1)).over(w)).where("_c > 1").select("key", "digest"))
-    shared = saved(shared.join(classes, "digest").select("key", "node").distinct())
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = docs.mapInArrow(lambda it: _keys(it, p, q, width, parts), "part int, keys binary, rows binary, ids binary")
+    shared = cells.groupBy("part").applyInArrow(_shared, "key long, doc_id long")
+    node_of = slim.where("n > 0 AND doc_id IS NOT NULL").join(classes, "digest").select("doc_id", "node").distinct()
+    shared = saved(shared.join(node_of, "doc_id").select("key", "node").distinct())
     nodes = saved(rows.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
                   .select(F.col("doc_id").alias("node"), "n", "sketch").dropDuplicates(["node"]))
     star = (shared.withColumn("a", F.min("node").over(w)).where("a < node")
