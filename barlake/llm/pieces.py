@@ -8,7 +8,8 @@ recovered from the end of the text backwards. No merge queue runs over the text.
 
 A text starts with one added blank mark, blanks become marks, nothing else is normalised. No vocabulary entry has a
 mark after another character, a line feed, or a stop or comma after a letter (checked when the file is loaded), so a
-text falls into units at these places that are encoded on their own; encoded units are kept in a table of bounded size. Characters outside the vocabulary become byte tokens.
+text falls into chunks at its marks, and these into units at the other places, that are encoded on their own; encoded
+chunks and units are kept in tables of bounded size. Characters outside the vocabulary become byte tokens.
 
 Null counts as the empty text: only the end id, decoded to ''."""
 from __future__ import annotations
@@ -26,14 +27,46 @@ from barlake.llm.text import bounds, filled, per_worker, slices
 from barlake.llm.vocab import PIECES, vocab_path
 
 MARK = "▁"
-KEPT_UNITS = 80_000   # encoded units a worker keeps, twice
-KEPT_PAIRS = 120_000  # compatibility answers a worker keeps
+KEPT_CHUNKS = 160_000  # encoded chunks (without their mark) a worker keeps at most, old and new together; about 200 bytes each
+KEPT_UNITS = 200_000  # encoded units, likewise
+KEPT_PAIRS = 240_000  # compatibility answers, likewise
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
 
-class PrefixTable(dict):
-    """Unit -> its ids as little-endian 16-bit numbers; missing units are encoded on first use."""
+class TokenBytes(dict):
+    """Token -> its id as a little-endian 16-bit number; of a character without one, the ids of its bytes."""
+
+    def __init__(self, ids: dict[str, int], byte: list[int]):
+        super().__init__((t, i.to_bytes(2, "little")) for t, i in ids.items())
+        self.byte = [i.to_bytes(2, "little") for i in byte]
+
+    def __missing__(self, token: str) -> bytes:
+        return b"".join([self.byte[b] for b in token.encode()])
+
+
+class Kept(dict):
+    """Text -> its ids as little-endian 16-bit numbers, made on first use and kept while it is in use: at ``most`` texts
+    in all, those not asked for since the table was last full are given up."""
+
+    def __init__(self, make, most):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, text: str) -> bytes:
+        if 2 * len(self) >= self.most():
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(text)
+        if value is None:
+            value = self.make(text)
+        if len(text) <= 64:
+            self[text] = value
+        return value
+
+
+class PrefixTable:
+    """Encoder and decoder of a vocabulary file, with the tables that a worker keeps."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -65,8 +98,11 @@ class PrefixTable(dict):
         for p in self.reached:  # an entry that merging never reaches ends no prefix
             self.automaton.add_word(p, (p, len(p)))
         self.automaton.make_automaton()
+        self.bytes_of = TokenBytes(self.id, self.byte)
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.older: dict[str, bytes] = {}
+        self.units = Kept(self.unit_ids, lambda: KEPT_UNITS)
+        self.words = Kept(lambda word: self.chunk_ids(MARK + word), lambda: KEPT_CHUNKS)
+        self.older_pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Symbols of a short text after all merges, best score first, leftmost among equals."""
@@ -83,10 +119,13 @@ class PrefixTable(dict):
 
     def compatible(self, left: str, right: str) -> bool:
         """Do the symbols of the joined text merge to just these two?"""
-        if len(self.pairs) >= KEPT_PAIRS:
+        if 2 * len(self.pairs) >= KEPT_PAIRS:   # what was asked since the last time stays
+            self.older_pairs = dict(self.pairs)
             self.pairs.clear()
-        joined = left + right
-        known = joined not in self.reached and self.merged(joined) == [left, right]
+        known = self.older_pairs.get((left, right))
+        if known is None:
+            joined = left + right
+            known = joined not in self.reached and self.merged(joined) == [left, right]
         self.pairs[left, right] = known
         return known
 
@@ -112,29 +151,21 @@ class PrefixTable(dict):
             i -= len(found[-1])
         return found[::-1]
 
-    def __missing__(self, unit: str) -> bytes:
-        if len(self) >= KEPT_UNITS:  # keep what was used since the last time, so frequent units stay
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(unit)
-        if value is not None:
-            self[unit] = value
-            return value
-        ids: list[int] = []
-        for token in self.tokens(unit):
-            i = self.id.get(token)
-            ids += [i] if i is not None else [self.byte[b] for b in token.encode()]
-        value = np.array(ids, "<u2").tobytes()
-        if len(unit) <= 64:
-            self[unit] = value
-        return value
+    def unit_ids(self, unit: str) -> bytes:
+        code = self.bytes_of
+        return b"".join([code[t] for t in self.tokens(unit)])
+
+    def chunk_ids(self, chunk: str) -> bytes:
+        return b"".join([self.units[u] for u in _UNIT.findall(chunk)])
 
     def encode(self, text: str, end: bool = True) -> np.ndarray:
-        marked = MARK + text.replace(" ", MARK) if text else ""
-        parts = [self[u] for u in _UNIT.findall(marked)]
-        if end:
-            parts.append(np.array([self.end], "<u2").tobytes())
-        return np.frombuffer(b"".join(parts), "<u2")
+        if not text:
+            ids = b""
+        elif text[0] == " " or "  " in text:    # chunks with several marks
+            ids = b"".join(map(self.chunk_ids, _CHUNK.findall(MARK + text.replace(" ", MARK))))
+        else:
+            ids = b"".join(map(self.words.__getitem__, text.split(" ")))
+        return np.frombuffer(ids + self.end.to_bytes(2, "little") if end else ids, "<u2")
 
     def decode(self, ids) -> str:
         """Text of ids; the blank added before the text goes."""
@@ -142,8 +173,9 @@ class PrefixTable(dict):
         return data[1:] if data.startswith(" ") else data
 
 
-# A unit ends before a mark, around a line feed, and between a letter and a stop or comma.
+# A chunk ends before a mark; a unit does, and in a chunk also around a line feed, and between a letter and a stop or comma.
 _INNER = f"(?:[^{MARK}\n.,]|(?<![{_LETTER}])[.,])"
+_CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _UNIT = re.compile(f"{MARK}*(?:[.,]{_INNER}*|{_INNER}+)|{MARK}+|\n")
 
 
