@@ -161,7 +161,7 @@ class PrefixTable:
     def encode(self, text: str, end: bool = True) -> np.ndarray:
         if not text:
             ids = b""
-        elif text[0] == " " or "  " in text:    # chunks with several marks
+        elif text[0] == " " or "  " in text or MARK in text:    # chunks with several marks
             ids = b"".join(map(self.chunk_ids, _CHUNK.findall(MARK + text.replace(" ", MARK))))
         else:
             ids = b"".join(map(self.words.__getitem__, text.split(" ")))

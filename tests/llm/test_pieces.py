@@ -40,10 +40,13 @@ def test_equals_the_library_on_any_text(library, table, text):
 
 def test_small_tables_give_the_same_ids(library, monkeypatch):
     monkeypatch.setattr(pieces, "KEPT_UNITS", 50)
+    monkeypatch.setattr(pieces, "KEPT_CHUNKS", 40)
     monkeypatch.setattr(pieces, "KEPT_PAIRS", 50)
     table = pieces.PrefixTable(vocab_path(PIECES))
     text = " ".join(f"unit{i % 300}ation" for i in range(2000))
     assert table.encode(text).tolist() == library.encode(text, add_eos=True)
+    for text in ("▁ ", " ▁", "a ▁b", "a▁ b ", "a\n b", "a. .b  c,", "x ", "  x"):
+        assert table.encode(text).tolist() == library.encode(text, add_eos=True)
 
 
 def sha(s):
