@@ -3,22 +3,43 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.session import checkpoint_dir
 
 
+_PASSING: list[list[str]] = []
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from a table below the shared checkpoint folder.
 
     Cuts the lineage, survives lost executors, and later steps read only the columns they use."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    if _PASSING:
+        _PASSING[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def outcome(spark: SparkSession, make) -> DataFrame:
+    """``make()`` saved, and the tables saved while making it deleted: nothing reads them once the result is written.
+    If making fails they stay, as any other table."""
+    _PASSING.append([])
+    try:
+        result = make()
+        passing, _PASSING[-1] = _PASSING[-1], []
+        result = saved(result)
+    finally:
+        _PASSING.pop()
+    for path in passing:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return result
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of an edge table (a, b); the component is its smallest node.
 

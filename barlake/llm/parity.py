@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from barlake.llm.graph import components, saved
+from barlake.llm.graph import components, outcome, saved
 from barlake.llm.text import coded_words, filled, list_array, slices
 
 SHINGLE = 3
@@ -307,6 +307,6 @@ def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity:
 
 def first_of_each(df: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
     """``df`` without the rows whose id is not the smallest of their component; rows without an id stay."""
-    gone = saved(link(df, doc_id, **how).where("doc_id <> component_id")
-                 .select(F.col("doc_id").alias(doc_id)).distinct())
+    gone = outcome(df.sparkSession, lambda: link(df, doc_id, **how).where("doc_id <> component_id")
+                   .select(F.col("doc_id").alias(doc_id)).distinct())
     return df.join(gone, doc_id, "left_anti").select(*df.columns)

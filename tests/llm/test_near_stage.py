@@ -56,3 +56,16 @@ def test_partners_share_a_key_and_unlike_sets_do_not():
         assert keys(a) & keys(longer)
         shared += bool(keys(a) & keys(draw(n)))
     assert shared <= 5
+
+
+def test_tables_made_on_the_way_are_deleted(rows, spark):
+    import os
+
+    from barlake.session import checkpoint_dir
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    tables = lambda: {x for x in os.listdir(folder) if x.startswith("table-")}
+    before = tables()
+    df = rows([near(k, 40, 1) for k in range(20)] + ["one two", None], ids=list(range(22)))
+    kept = parity.first_of_each(df, similarity=(4, 5), width=5)
+    assert len(tables() - before) == 1       # the ids that go
+    assert kept.count() == kept.count() <= 22
