@@ -1,8 +1,8 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds anchors: at-signs, plus signs, digits, address schemes and identifier cues
-("iban", "account no", ...). A small deterministic parser starts at each anchor, expands to the exact boundaries of
-the item and validates it. No pattern is searched over the text as a whole.
+("iban", "account no", ... in any case). A small deterministic parser starts at each anchor, expands to the exact
+boundaries of the item and validates it. No pattern is searched over the text as a whole.
 
 Base kinds, leftmost and non-overlapping per kind (ASCII letters and digits only):
 
@@ -13,18 +13,21 @@ Base kinds, leftmost and non-overlapping per kind (ASCII letters and digits only
 
 A candidate that fails its check is dropped and not retried at a later start inside it. Added kinds: ``mailbox`` (the
 full mailbox where letters beyond ASCII cut the base email short), ``address`` (scheme or ``www.`` up to the last
-character that belongs to it) and ``account`` (the identifier after a cue: a valid IBAN, or 6 to 34 characters with
-at least 6 digits). Positions are code points, ends exclusive. Null and empty texts have no spans; every other column
+character that belongs to it, with a host of at most 253 characters) and ``account`` (the identifier after a cue: a valid
+IBAN, or 6 to 34 characters with at least 6 digits). Positions are code points, ends exclusive. Null and empty texts have no spans; every other column
 of the input passes through, so clashing names cannot occur except with the output column, which is replaced."""
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm.text import free_name
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "mailbox", "address", "account")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -41,10 +44,14 @@ _CUE_LINK = re.compile(r"(?:[ \t]*(?:number|no|nr|num|id)\b\.?)?[ \t]*[:#=]?[ \t
 _IDENT = re.compile(r"[A-Za-z0-9](?:[ -]?[A-Za-z0-9]){5,41}")
 _TOKEN = re.compile(r"[A-Za-z0-9](?:-?[A-Za-z0-9]){5,33}")
 _ADDRESS = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_HOST = re.compile(r"(?:[^/?#@]*@)?([^/?#:]+)")
+_AFTER_HOST = re.compile(r"[/?#]")
+_HOST = re.compile(r"[^/?#:]{1,254}")
+_PLAIN_END = frozenset(".,;:!?*&$%#")
+HOST_LENGTH = 253  # of a domain name, by its standard
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = frozenset("0123456789")
 _PAIRS = {")": "(", "]": "["}
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def _automaton():
@@ -54,8 +61,7 @@ def _automaton():
     for word, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in "0123456789"), *((s, "scheme") for s in _SCHEMES)]:
         a.add_word(word, (kind, len(word)))
     for cue in _CUES:
-        for form in {cue, cue.upper(), cue.capitalize(), cue.title()}:
-            a.add_word(form, ("cue", len(form)))
+        a.add_word(cue, ("cue", len(cue)))
     a.make_automaton()
     return a
 
@@ -127,17 +133,52 @@ def _phone(s: str, plus: int) -> int:
     return end if end > plus + 3 and s[end - 1] in _DIGIT else -1
 
 
-def _address(s: str, start: int) -> int:
-    end = _ADDRESS.match(s, start).end()
-    while end > start and (s[end - 1] in ".,;:!?*&$%#" or s[end - 1] in _PAIRS
-                           and s.count(_PAIRS[s[end - 1]], start, end) < s.count(s[end - 1], start, end)):
-        end -= 1
-    body = s[start:end]
-    body = body[body.index(":") + 1:].lstrip("/") if ":" in body[:8] else body
-    m = _HOST.match(body)
-    host = (body.rpartition("@")[2] if s.startswith("mailto:", start) else m.group(1) if m else "")
+class _Run:
+    """The characters around a scheme that may belong to an address, with what all schemes of the run share: each of its
+    positions is looked at a bounded number of times, however many schemes it holds."""
+
+    def __init__(self, s: str, start: int):
+        self.s, self.start = s, start
+        self.end = self.tail = _ADDRESS.match(s, start).end()
+        while self.tail > start and (s[self.tail - 1] in _PLAIN_END or s[self.tail - 1] in _PAIRS):
+            self.tail -= 1
+        self.last_at = s.rfind("@", start, self.end)
+        self.next_at = self.next_cut = -1
+        # places of each closing bracket in the tail, and openers less closers before each position up to the tail
+        closers = set(s[self.tail:self.end]) & set(_PAIRS)
+        self.closers = {c: [i for i in range(self.tail, self.end) if s[i] == c] for c in closers}
+        self.excess = {c: list(accumulate(((x == _PAIRS[c]) - (x == c) for x in s[start:self.tail]), initial=0))
+                       for c in closers}
+
+    def trimmed(self, start: int) -> int:
+        """End of the run without closing punctuation and without closing brackets that nothing from ``start`` opens."""
+        end = self.tail
+        for c, places in self.closers.items():
+            opened = self.excess[c][-1] - self.excess[c][start - self.start]
+            if opened > 0:
+                end = max(end, places[min(opened, len(places)) - 1] + 1)
+        return end
+
+    def host(self, start: int, end: int) -> str:
+        """Host name from ``start``, behind user information; empty if it is longer than a name can be."""
+        if self.next_at < start:
+            self.next_at = at if (at := self.s.find("@", start, self.end)) >= 0 else self.end
+        if self.next_cut < start:
+            self.next_cut = m.start() if (m := _AFTER_HOST.search(self.s, start, self.end)) else self.end
+        m = _HOST.match(self.s, self.next_at + 1 if self.next_at < min(self.next_cut, end) else start, end)
+        return m.group() if m and len(m.group()) <= HOST_LENGTH else ""
+
+
+def _address(s: str, start: int, scheme: int, run: _Run) -> int:
+    """End of the address whose scheme ends at ``scheme``, or -1."""
+    end = run.trimmed(start)
+    if s[start:scheme].lower() == "mailto:":
+        at = max(scheme, run.last_at + 1)
+        host = s[at:end] if end - at <= HOST_LENGTH else ""
+    else:
+        host = run.host(scheme if s[scheme - 1] == "/" else start, end)
     labels = host.split(".")
-    least = 3 if labels[0] == "www" else 2
+    least = 3 if labels[0].lower() == "www" else 2
     return end if len(labels) >= least and all(labels) and len(labels[-1]) > 1 else -1
 
 
@@ -159,11 +200,18 @@ def _account(s: str, cue_start: int, cue_end: int) -> tuple[int, int] | None:
     return None
 
 
+def _folded(s: str) -> str:
+    """``s`` in lower case, position by position: one letter grows by the usual rule, so then only A-Z are changed."""
+    low = s.lower()
+    return low if len(low) == len(s) else s.translate(_LOWER)
+
+
 def spans_of(s: str, automaton) -> list[tuple[str, int, int]]:
     """All spans of one text by (start, kind as listed)."""
     found: list[tuple[int, int, int]] = []
+    run = None
     email_end = ip_end = card_end = phone_end = address_end = account_end = 0
-    for last, (kind, width) in automaton.iter(s):
+    for last, (kind, width) in automaton.iter(_folded(s)):
         at = last - width + 1
         if kind == "0":
             if at >= ip_end and (at == ip_end or s[at - 1] not in _DIGIT):
@@ -190,9 +238,12 @@ def spans_of(s: str, automaton) -> list[tuple[str, int, int]]:
                 if 9 <= sum(c in _DIGIT for c in s[at:end]) <= 15:
                     found.append((at, 3, end))
         elif kind == "scheme":
-            if at >= address_end and not (at and s[at - 1].isalnum()) and (end := _address(s, at)) > 0:
-                address_end = end
-                found.append((at, 5, end))
+            if at >= address_end and not (at and s[at - 1].isalnum()):
+                if run is None or at >= run.end:
+                    run = _Run(s, at)
+                if (end := _address(s, at, last + 1, run)) > 0:
+                    address_end = end
+                    found.append((at, 5, end))
         elif at >= account_end and (m := _account(s, at, last + 1)):
             account_end = m[1]
             found.append((m[0], 6, m[1]))
@@ -215,10 +266,12 @@ def find_spans(df: DataFrame, text: str = "text", out: str = "pii_spans") -> Dat
 
 def redact(df: DataFrame, text: str = "text", out: str = "text") -> DataFrame:
     """``df`` with each span of the text replaced by ``<kind>``; overlapping spans become one mark of the first kind."""
+    spans_col = free_name(df, "_spans", out)
+
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
             done = []
-            for s, spans in zip(b.column(text).to_pylist(), b.column("_spans").to_pylist(), strict=True):
+            for s, spans in zip(b.column(text).to_pylist(), b.column(spans_col).to_pylist(), strict=True):
                 if s is not None:
                     parts, pos = [], 0
                     for x in spans:
@@ -227,13 +280,13 @@ def redact(df: DataFrame, text: str = "text", out: str = "text") -> DataFrame:
                         pos = max(pos, x["end"])
                     s = "".join([*parts, s[pos:]])
                 done.append(s)
-            b = b.drop_columns(["_spans"])
+            b = b.drop_columns([spans_col])
             names = b.schema.names
             cols = [pa.array(done, pa.string()) if n == out else b.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(cols + ([] if out in names else [pa.array(done, pa.string())]),
                                              names=names + ([] if out in names else [out]))
-    src = find_spans(df, text, "_spans")
-    schema = df.schema if out in df.columns else df.withColumn(out, F.lit("")).schema
+    src = find_spans(df, text, spans_col)
+    schema = df.schema if out in df.columns else df.withColumn(out, F.lit(None).cast("string")).schema
     return src.mapInArrow(cut, schema)
 
 

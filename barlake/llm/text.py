@@ -27,6 +27,14 @@ def per_worker(key: tuple, make):
     return objects[key]
 
 
+def free_name(df, name: str, *more: str) -> str:
+    """``name``, with as many underscores before it as set it apart from the columns of ``df`` and from ``more``."""
+    taken = {c.lower() for c in (*df.columns, *more)}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def filled(texts: pa.Array) -> pa.Array:
     """Text column with null as the empty text."""
     if isinstance(texts, pa.ChunkedArray):
