@@ -7,15 +7,17 @@ many words as there are; a target stops at ``cap`` times its source's size and t
    prefix sums over (source, hash), so a source with a third of all rows spreads over many tasks.
 2. A source takes every block ``epochs`` times, then the first blocks of one more permutation until its target is
    reached, the last one in part: targets are met to the word and no word is taken more than ``cap`` times. A
-   permutation is an affine map of the block numbers (the short last block stays last), so no sort is needed.
-3. The exact block quotas of all sources are split over 2^levels output shards by a binary tree: a node gives its
+   permutation is keyed by source and copy and is a swap-or-not shuffle: in each round a hash decides whether a place
+   and its mirror image around a keyed centre change, which permutes any number of blocks without a sort (the short last
+   block stays last).
+3. The exact block quotas of all sources are split over 2^levels output shards (16 or more) by a binary tree: a node gives its
    left child half of its blocks, drawn without replacement - a multivariate hypergeometric draw, source by source,
    each an inverse-CDF draw from a hashed uniform (tails beyond twelve standard deviations, below 1e-30, are cut).
    A node row holds one number per source.
 4. A leaf takes the next so many permuted copies of each source, so leaves draw disjoint blocks; joined by copy number
    to the pieces of rows in that block, and ordered within the shard by a hash.
 
-Reruns agree: every choice is a hash of the seed and of data. Null, empty and blank texts have size 0 and are not
+``taken`` reports where the words of a row go, shard by shard. Reruns agree: every choice is a hash of the seed and of data. Null, empty and blank texts have size 0 and are not
 taken; equal rows are taken as separate rows."""
 from __future__ import annotations
 
@@ -27,17 +29,18 @@ from pyspark.sql import functions as F
 
 from barlake.functions.index import with_global_index, with_prefix_sums
 from barlake.llm.graph import saved
-from barlake.llm.text import WORD
+from barlake.llm.text import WORD, free_name
 
 BLOCK_WORDS = 4096
 SHARD_WORDS = 2_000_000
-STEP = 2**61 - 1  # a prime above any number of blocks, hence coprime to it
+LEAST_LEVELS = 4
+ROUNDS = 64  # of the shuffle; about twice the bits of the largest number of blocks of a source
 LN_FACT = [math.lgamma(k + 1) for k in range(16)]
 
 
 @dataclass
 class Mix:
-    rows: DataFrame     # rid, doc_id, source, size, source_size, target
+    rows: DataFrame     # rid, doc_id, source, size, hash (of row and text), source_size, target
     pieces: DataFrame   # rid, copy, first_word, n_words, shard, place: words of a row, and where they go
     quotas: DataFrame   # shard, rank, n_blocks, first_copy: the leaves of the tree
 
@@ -153,22 +156,25 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int = 0) -> DataFrame:
 def _place(block: Column, blocks: Column, copy: Column, rank: Column, seed: int) -> Column:
     """Place of a block in permutation number ``copy`` of a source; the short last block stays last."""
     m = F.greatest(blocks - 1, F.lit(1).cast("long"))
-    step = F.pmod(F.lit(STEP).cast("long"), m).cast("decimal(19,0)")
-    shift = F.pmod(F.xxhash64(F.lit(seed), rank, copy), m).cast("decimal(19,0)")
-    moved = F.pmod(step * block.cast("decimal(19,0)") + shift, m.cast("decimal(19,0)")).cast("long")
+
+    def swapped(x, r):
+        mirror = F.pmod(F.pmod(F.xxhash64(F.lit(seed), rank, copy, r), m) - x, m)
+        return F.when(F.xxhash64(F.lit(seed), rank, copy, r, F.greatest(x, mirror)) % 2 == 0, mirror).otherwise(x)
+    moved = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), block, swapped)
     return F.when(block < blocks - 1, moved).otherwise(block)
 
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, block_words: int = BLOCK_WORDS,
-        shard_words: int = SHARD_WORDS, seed: int = 0) -> Mix:
+        shard_words: int = SHARD_WORDS, seed: int = 0, least_levels: int = LEAST_LEVELS) -> Mix:
     b = block_words
-    sized = df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"))
+    sized = df.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"),
+                      F.xxhash64(F.col(text)).alias("text_hash"))
     sized = sized.select("doc_id", "source", "size", F.col("source").isNull().alias("_null"),
                          F.coalesce(F.col("source"), F.lit("")).alias("_source"),
-                         F.xxhash64(F.lit(seed), "doc_id", "size").alias("_hash"), F.lit(1).alias("_one"))
-    rows = saved(with_prefix_sums(sized, ("_null", "_source", "_hash", "doc_id", "size"),
-                                  {"_pos": "size", "rid": "_one"}).drop("_one", "_hash"))
+                         F.xxhash64(F.lit(seed), "doc_id", "size", "text_hash").alias("hash"), F.lit(1).alias("_one"))
+    rows = saved(with_prefix_sums(sized, ("_null", "_source", "hash", "doc_id", "size"),
+                                  {"_pos": "size", "rid": "_one"}).drop("_one"))
     by_source = rows.groupBy("_null", "_source").agg(F.sum("size").alias("source_size"), F.min("_pos").alias("_base"))
     s = targets(by_source, weights, cap)
     size, want = F.col("source_size"), F.round("target").cast("long")
@@ -179,7 +185,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
                      + (F.col("_part") > 0).cast("long")))
     s = saved(s)
     words = s.agg(F.sum("_want")).first()[0] or 0
-    levels = max(0, math.ceil(math.log2(words / shard_words))) if words else 0
+    levels = max(least_levels, math.ceil(math.log2(words / shard_words))) if words else 0
     quotas = saved(split_quotas(s.where("n_blocks > 0").select("rank", "n_blocks"), levels, seed))
     # a row per block copy: Spark sees only the size of the quotas, so it must be kept from broadcasting them
     copies = quotas.select("shard", "rank", F.explode(F.sequence(
@@ -202,35 +208,41 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
               .where("n_words > 0").join(copies.hint("merge"), ["rank", "_copy_no"])
               .select("rid", "copy", "first_word", "n_words", "shard",
                       F.xxhash64(F.lit(seed), "shard", "rank", "_copy_no", "rid").alias("place")))
-    return Mix(rows.select("rid", "doc_id", "source", "size", "source_size", "target"), pieces, quotas)
+    return Mix(rows.select("rid", "doc_id", "source", "size", "hash", "source_size", "target"), pieces, quotas)
 
 
 def taken(m: Mix) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row."""
-    got = m.pieces.groupBy("rid").agg(F.sum("n_words").alias("taken"))
-    return m.rows.join(got, "rid", "left").select("doc_id", "size", "source_size", "target",
-                                                  F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    """(doc_id, size, source_size, target, taken, shards) of every row; shards lists shard:words, by shard."""
+    got = m.pieces.groupBy("rid", "shard").agg(F.sum("n_words").alias("n")).groupBy("rid").agg(
+        F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("parts"))
+    parts = F.transform("parts", lambda x: F.concat_ws(":", x["shard"].cast("string"), x["n"].cast("string")))
+    return m.rows.join(got, "rid", "left").select("doc_id", "size", "source_size", "target", F.coalesce(
+        "taken", F.lit(0)).cast("long").alias("taken"), F.coalesce(F.array_join(parts, ","), F.lit("")).alias("shards"))
 
 
-def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0,
+          **how) -> DataFrame:
     """The mix as rows of ``df``: one row per row and copy taken, its text the taken words with the white space
-    behind them (whole texts unchanged). Rows alike in id, source and size are told apart by order of text."""
-    m = mix(df, doc_id, text, source, **how)
-    key = ["_id", "_src", "_size"]
-    take = m.pieces.groupBy("rid", "copy").agg(F.sum("n_words").alias("_n"), F.sort_array(
-        F.collect_list(F.struct("first_word", "n_words"))).alias("_ranges"))
-    take = take.join(m.rows.select("rid", F.col("doc_id").alias("_id"), F.col("source").alias("_src"),
-                                   F.col("size").alias("_size"), F.row_number().over(
-        Window.partitionBy("doc_id", "source", "size").orderBy("rid")).alias("_no")), "rid")
-    docs = df.withColumns({"_id": F.col(doc_id), "_src": F.col(source), "_size": word_count(text)})
-    docs = docs.withColumn("_no", F.row_number().over(Window.partitionBy(*key).orderBy(text)))
-    on = [docs[k].eqNullSafe(take[k]) for k in (*key, "_no")]
+    behind them (whole texts unchanged). Rows alike in id, source, size and text are numbered. ``df`` may have columns of
+    any name."""
+    m = mix(df, doc_id, text, source, seed=seed, **how)
+    name = {x: free_name(df, x) for x in ("_id", "_src", "_size", "_hash", "_no", "_n", "_ranges")}
+    key = [name[x] for x in ("_id", "_src", "_size", "_hash")]
+    no, n, ranges = name["_no"], name["_n"], name["_ranges"]
+    take = m.pieces.groupBy("rid", "copy").agg(F.sum("n_words").alias(n), F.sort_array(
+        F.collect_list(F.struct("first_word", "n_words"))).alias(ranges))
+    numbered = m.rows.select("rid", *[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "size", "hash"), key, strict=True)])
+    take = take.join(numbered.withColumn(no, F.row_number().over(Window.partitionBy(*key).orderBy("rid"))), "rid")
+    size = word_count(text)
+    docs = df.withColumns(dict(zip(key, (F.col(doc_id), F.col(source), size, F.xxhash64(
+        F.lit(seed), F.col(doc_id), size, F.xxhash64(F.col(text)))), strict=True)))
+    docs = docs.withColumn(no, F.row_number().over(Window.partitionBy(*key).orderBy(text)))
+    on = [docs[k].eqNullSafe(take[k]) for k in (*key, no)]
     words = F.regexp_extract_all(text, F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("_ranges", lambda r: F.slice(
+    some = F.array_join(F.flatten(F.transform(ranges, lambda r: F.slice(
         words, (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))), "")
-    out = docs.join(take, on).select(*[docs[c] for c in df.columns if c != text], docs[text], "_n", "_ranges",
-                                     docs["_size"].alias("_words"))
-    out = out.withColumn(text, F.when(F.col("_n") == F.col("_words"), F.col(text)).otherwise(some))
+    out = docs.join(take, on).select(*[docs[c] for c in df.columns], take[n], take[ranges], docs[name["_size"]])
+    out = out.withColumn(text, F.when(F.col(n) == F.col(name["_size"]), F.col(text)).otherwise(some))
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.length(text).cast(df.schema["n_chars"].dataType))
     return out.select(*df.columns)
