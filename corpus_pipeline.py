@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 
 from barlake.llm import grace, language, mixing, parity, pieces
 from barlake.llm.graph import saved
+from barlake.llm.text import free_name
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; the few rejected ones are what is joined, by id and by a digest of the
     evidence, as a verdict depends on nothing else."""
-    rows = docs.withColumn("_of", F.sha2(F.to_json(F.struct("text", "lang", "source")).cast("binary"), 256))
-    found = language.identify(rows, ("doc_id", "_of"), declared="lang", host="source")
-    rejected = saved(found.where("NOT kept").select("doc_id", "_of").distinct())
-    same = rows["doc_id"].eqNullSafe(rejected["doc_id"]) & (rows["_of"] == rejected["_of"])
-    return rows.join(rejected, same, "left_anti").drop("_of")
+    of = free_name(docs, "_of")
+    rows = docs.withColumn(of, F.sha2(F.to_json(F.struct("text", "lang", "source")).cast("binary"), 256))
+    found = language.identify(rows, ("doc_id", of), declared="lang", host="source")
+    rejected = saved(found.where("NOT kept").select("doc_id", of).distinct())
+    same = rows["doc_id"].eqNullSafe(rejected["doc_id"]) & (rows[of] == rejected[of])
+    return rows.join(rejected, same, "left_anti").drop(of)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
