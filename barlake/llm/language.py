@@ -9,16 +9,16 @@ Four kinds of evidence on a text's language are multiplied as likelihoods:
 * host prior: the share of each language on the host, smoothed toward the parent domain's, that toward the suffix's
   and that toward the corpus's, each with weight ``smooth``, by grouped counts
 
-Declared values count as a language when they are two or three letters (region cut off). Counts per (language,
-trigram bucket) and per (language, suffix) reach the driver; their number is bounded by the codes and buckets, not by
-the rows. Host priors stay a table and are joined to narrow rows (no text), so a host with a third of all rows is
-only a join key that Spark may split.
+Declared values count as a language when they are two or three letters (region cut off) and among the ``most``
+codes that most texts declare (256, more than the languages that have a two-letter code; ties by code); a text with any
+other code is judged like one without a declaration. Counts per (language, trigram bucket) reach the driver and the tasks, which
+the codes and buckets bound, not the rows: 256 x 65,536 numbers. What a language declares, suffixes and host priors stay tables
+and are joined to narrow rows (no text), so a host with a third of all rows is only a join key that Spark may split.
 
 A text is rejected (``kept`` false) when it has no letter at all or no language reaches ``least`` probability. Null
 counts as empty; a null declaration, address or host is no evidence."""
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +34,7 @@ from barlake.llm.text import filled, slices
 BUCKETS = 1 << 16
 SLICE = 1_000_000  # bytes of text at once: a dozen arrays of eight bytes per byte of text
 TEMPER, SMOOTH, LEAST = 0.2, 20.0, 0.5
+MOST_LANGUAGES = 256
 # letters in lower case, every other ASCII character a blank; bytes beyond ASCII as they are
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256)], np.uint8)
 
@@ -42,8 +43,8 @@ _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 el
 class Fit:
     languages: list[str]
     table: np.ndarray                          # languages x buckets, log-probabilities
-    declared: dict[tuple[str, str], float]     # (language, declared) -> log P
-    suffix: dict[tuple[str, str], float]       # (language, suffix) -> log P
+    declared: DataFrame | None                 # declared -> array of log P in the order of languages
+    suffix: DataFrame | None                   # suffix -> array of log P
     hosts: DataFrame | None                    # host -> array of shares in the order of languages
     share: list[float]
 
@@ -153,16 +154,15 @@ def likelihoods(df: DataFrame, languages: list[str], table: np.ndarray, text: st
     return df.withColumn(out, F.arrow_udf(run, "struct<by:array<double>,letters:bigint>")(F.col(text)))
 
 
-def _log_conditional(pairs: DataFrame, languages: list[str]) -> dict[tuple[str, str], float]:
-    """log P(value | language) from rows (_read, value), add-one over the values seen."""
-    got = {(r[0], r[1]): r[2] for r in pairs.groupBy("_read", "value").count().collect()}
-    values = sorted({v for _, v in got})
-    out = {}
-    for name in languages:
-        total = sum(got.get((name, v), 0) for v in values) + len(values)
-        for v in values:
-            out[name, v] = math.log((got.get((name, v), 0) + 1) / total)
-    return out
+def _log_conditional(pairs: DataFrame, languages: list[str]) -> DataFrame | None:
+    """value -> log P(value | language) from rows (_read, value), add-one over the values seen; None without any. The
+    number of values and one sum per language reach the driver."""
+    counts = saved(pairs.groupBy("value").agg(F.array(*[F.count_if(F.col("_read") == n) for n in languages]).alias("_n")))
+    values, *sums = counts.agg(F.count("*"), *[F.sum(F.get("_n", F.lit(i))) for i in range(len(languages))]).first()
+    if not values:
+        return None
+    totals = F.array(*[F.lit(float(x + values)) for x in sums])
+    return counts.select("value", F.zip_with("_n", totals, lambda n, t: F.ln((n + 1) / t)).alias("logs"))
 
 
 def _best(languages: list[str], scores: Column) -> Column:
@@ -184,15 +184,23 @@ def _shares(rows: DataFrame, key: Column, languages: list[str], above: DataFrame
         "_n", prior, lambda n, p: (n + smooth * p) / (total + smooth)).alias("shares"))
 
 
-def fit(rows: DataFrame, smooth: float = SMOOTH) -> tuple[Fit, DataFrame]:
+def frequent_codes(rows: DataFrame, most: int = MOST_LANGUAGES) -> list[str]:
+    """The ``most`` codes that most rows declare, ties by code."""
+    found = rows.where(F.col("_declared").isNotNull()).groupBy("_declared").count()
+    return [r[0] for r in found.orderBy(F.desc("count"), "_declared").limit(most).collect()]
+
+
+def fit(rows: DataFrame, smooth: float = SMOOTH, most: int = MOST_LANGUAGES) -> tuple[Fit, DataFrame]:
     """Model of evidence rows (id columns, text, _declared, _host, _suffix), and the rows without their text but
     with their likelihoods."""
+    codes = frequent_codes(rows, most)
+    rows = rows.withColumn("_declared", F.when(F.col("_declared").isin(codes), F.col("_declared")))
     languages, table = text_table(rows)
     read = likelihoods(rows, languages, table).drop("text")
     read = saved(read.withColumn("_read", F.when(F.col("likelihood.letters") > 0, _best(
         languages, F.col("likelihood.by"))) if languages else F.lit(None).cast("string")))
     if not languages:
-        return Fit([], table, {}, {}, None, []), read
+        return Fit([], table, None, None, None, []), read
     seen = read.withColumn("_seen", F.coalesce("_declared", "_read"))
     n = dict(seen.groupBy("_seen").count().collect())
     total = sum(n.get(x, 0) for x in languages)
@@ -217,37 +225,34 @@ def fuse(read: DataFrame, model: Fit, temper: float = TEMPER, least: float = LEA
     hosts = model.hosts.select(F.col("key").alias("_host"), "shares")
     out = read.join(hosts, "_host", "left")
     prior = F.coalesce("shares", F.array(*map(F.lit, model.share)))
-
-    def given(value: str, logs: dict[tuple[str, str], float]) -> Column:
-        """Array of log P(value | language); zeros for a null or unseen value."""
-        zero = F.array(*[F.lit(0.0)] * len(model.languages))
-        seen = sorted({v for _, v in logs})
-        if not seen:
-            return zero
-        entries = [x for v in seen for x in (F.lit(v), F.array(*[F.lit(logs[n, v]) for n in model.languages]))]
-        return F.coalesce(F.try_element_at(F.create_map(*entries), F.col(value)), zero)
+    zero = F.array(*[F.lit(0.0)] * len(model.languages))
+    given = {"_declared": zero, "_suffix": zero}
+    for value, logs in (("_declared", model.declared), ("_suffix", model.suffix)):
+        if logs is not None:  # a null or unseen value is no evidence
+            out = out.join(logs.select(F.col("value").alias(value), F.col("logs").alias("_log" + value)), value, "left")
+            given[value] = F.coalesce("_log" + value, zero)
 
     ll = F.transform("likelihood.by", lambda x: x * temper)
     fused = F.zip_with(F.zip_with(ll, prior, lambda a, p: a + F.ln(p)),
-                       F.zip_with(given("_declared", model.declared), given("_suffix", model.suffix),
-                                  lambda a, b: a + b), lambda a, b: a + b)
+                       F.zip_with(given["_declared"], given["_suffix"], lambda a, b: a + b), lambda a, b: a + b)
     out = out.withColumn("_log", fused)
     top = F.array_max("_log")
     mass = F.aggregate(F.transform("_log", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
     return (out.withColumn("probability", 1 / mass).withColumn("language", _best(model.languages, F.col("_log")))
             .withColumn("text_language", F.col("_read"))
             .withColumn("kept", (F.col("likelihood.letters") > 0) & (F.col("probability") >= least))
-            .drop("_log", "shares"))
+            .drop("_log", "shares", "_log_declared", "_log_suffix"))
 
 
 def identify(df: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", declared: str | None = None,
              url: str | None = None, host: str | None = None, temper: float = TEMPER, smooth: float = SMOOTH,
-             least: float = LEAST) -> DataFrame:
-    """Per row: the keys, language, probability, text_language, declared_language and kept."""
+             least: float = LEAST, most: int = MOST_LANGUAGES) -> DataFrame:
+    """Per row: the keys, language, probability, text_language, declared_language (null where its code is not among the
+    ``most`` languages) and kept."""
     cols = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
     rows = evidence_rows(df, text, declared, url, host).select(*cols, F.col(text).alias("text"), "_declared", "_host",
                                                               "_suffix")
-    model, read = fit(rows, smooth)
+    model, read = fit(rows, smooth, most)
     return fuse(read, model, temper, least).select(
         *[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], "language", "probability", "text_language",
         F.col("_declared").alias("declared_language"), "kept")
