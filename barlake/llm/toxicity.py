@@ -1,20 +1,23 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Fit, on a bounded sample of labelled rows (``max_examples``, by hash of the id; the only use of labels):
+Fit, on a bounded sample of labelled rows (the only use of labels; see ``fit`` for the two bounds):
 
-* terms are words and their beginnings of 3 to 6 letters (stems); those whose share among the words of toxic examples
-  exceeds that of others, by a lower confidence bound of the log ratio, are kept (at most ``max_terms``, by that bound)
-* an example's vector has (1 + ln tf) idf per kept term and one coordinate for all its other words, the logarithm of
-  their number, so a single kept term in a long text is near texts without any; vectors have length 1
-* equal vectors are one posting with its counts of labels. Postings of a term are stored in blocks of consecutive
-  examples with the block's largest weight
+* terms are lower-case words and their beginnings of 5 letters (stems). Every term of a sampled example is a coordinate;
+  none is chosen or dropped. Terms that no example has cannot meet an example and are left out of the vectors
+* document frequencies are counted over all documents, by a grouped aggregation over the terms of the sample
+* a weight is (1 + ln tf) idf emphasis; the emphasis is ``floor`` plus the lower confidence bound, where positive, of the
+  log ratio of a term's share among toxic examples to that among others. Vectors have length 1
+* equal vectors are one posting with its counts of labels. A term's postings are cut into blocks of consecutive examples,
+  each with its largest weight
 
-Score: for each distinct vector of a slice, blocks are visited by upper bound - the sum of query weight times block
-maximum - and left when it falls below the k-th best similarity, so the k nearest are exact, with all ties at the k-th.
-Votes weigh similarity^``power``; the score is the weighted share of toxic neighbours, drawn to the base rate by a prior of
-``prior`` votes. Evidence is the kept terms of a text. A null or empty text has the background vector alone.
+Score: blocks are visited by upper bound, the sum of query weight times block maximum, and left when it falls below the
+k-th best similarity, so the k nearest are exact, with all ties at the k-th. Votes weigh similarity^``power``; the score is the
+weighted share of toxic neighbours, drawn to the base rate by a prior of ``prior`` votes. Evidence is the neighbours that
+voted: id, cosine, toxic texts and texts of each (the smallest id stands for equal vectors).
 
-Labels, language, source and id are never inputs of a score."""
+A null or empty text, or one without a known term, has no neighbour and scores the base rate. An id labelled more than
+once is toxic if one label is; of texts that share an id the smallest is the example. Without labels every score is a
+half. Labels, language, source and id are never inputs of a score."""
 from __future__ import annotations
 
 import math
@@ -27,198 +30,252 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm.graph import saved
-from barlake.llm.text import coded_words, filled, slices
+from barlake.llm.text import bounds, coded_words, filled, slices
 
-MAX_EXAMPLES, MAX_TERMS, NEAREST, BLOCK = 8000, 2000, 25, 64
-PREFIXES = (3, 4, 5, 6)
+MAX_EXAMPLES, MAX_CHARS, NEAREST, BLOCK = 5000, 50_000_000, 25, 64
+STEM = 5
 _EDGE = ".,;:!?\"'()[]{}|#$%&*<>-_=+/\\~`^0123456789"
 
 
 def terms_of(word: str) -> list[str]:
-    """Terms of a lower-case word: itself and its beginnings."""
+    """Terms of a lower-case word: itself and its beginning."""
     w = word.strip(_EDGE)
-    return [w, *(w[:k] + "~" for k in PREFIXES if len(w) >= k)] if w else []
+    return [w, w[:STEM] + "~"] if len(w) >= STEM else [w] if w else []
 
 
-def _word_terms(texts: pa.Array, known: dict[str, int] | None):
-    """(words per row, code of each word, list of term ids or terms per distinct word)"""
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _occurrences(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets of the texts, term ids, tf) of the distinct terms of each text of a slice."""
     per_row, codes, vocab = coded_words(pc.utf8_lower(texts))
-    if known is None:
-        return per_row, codes, [terms_of(w) for w in vocab.to_pylist()]
     get = known.get
-    return per_row, codes, [[t for x in terms_of(w) if (t := get(x)) is not None] for w in vocab.to_pylist()]
-
-
-def _features(texts: pa.Array, known: dict[str, int]) -> Iterator[tuple[int, dict[int, int]]]:
-    """(words, tf of kept terms) of each text of a slice."""
-    per_row, codes, lists = _word_terms(texts, known)
-    has = np.fromiter(map(bool, lists), bool, len(lists))
-    hit = np.flatnonzero(has[codes])
-    rows = np.searchsorted(np.cumsum(per_row), hit, side="right")
-    tf: dict[int, dict[int, int]] = {}
-    for row, code in zip(rows.tolist(), codes[hit].tolist(), strict=True):
-        d = tf.setdefault(row, {})
-        for t in lists[code]:
-            d[t] = d.get(t, 0) + 1
-    for i, n in enumerate(per_row.tolist()):
-        yield n, tf.get(i, {})
-
-
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (term, toxic, clean) counting texts of a batch that have the term, and one row null for their words."""
+    ids, at = [], [0]
+    for word in vocab.to_pylist():
+        ids += [t for x in terms_of(word) if (t := get(x)) is not None]
+        at.append(len(ids))
+    ids, at = np.array(ids, np.int64), np.array(at, np.int64)
+    lengths = (at[1:] - at[:-1])[codes]
+    rows = np.repeat(np.repeat(np.arange(len(per_row)), per_row), lengths)
+    width = max(len(known), 1)
+    found, tf = np.unique(rows * width + ids[_spread(at[:-1][codes], lengths)], return_counts=True)
+    return np.searchsorted(found, np.arange(len(per_row) + 1) * width), found % width, tf
+
+
+def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (term, toxic, clean): texts of a batch that have the term."""
     for batch in batches:
         texts, labels = filled(batch.column("text")), batch.column("label").to_numpy(zero_copy_only=False)
         for lo, hi in slices(texts):
-            per_row, codes, lists = _word_terms(texts.slice(lo, hi - lo), None)
-            counts: dict[str | None, list[int]] = {}
-            at = 0
-            for n, y in zip(per_row.tolist(), labels[lo:hi].tolist(), strict=True):
-                found = {t for c in np.unique(codes[at:at + n]).tolist() for t in lists[c]}
-                at += n
-                for t in found:
+            per_row, codes, vocab = coded_words(pc.utf8_lower(texts.slice(lo, hi - lo)))
+            lists = [terms_of(w) for w in vocab.to_pylist()]
+            counts: dict[str, list[int]] = {}
+            ends = np.cumsum(per_row)
+            for n, end, y in zip(per_row.tolist(), ends.tolist(), labels[lo:hi].tolist(), strict=True):
+                for t in {t for c in np.unique(codes[end - n:end]).tolist() for t in lists[c]}:
                     counts.setdefault(t, [0, 0])[1 - int(y)] += 1
-                counts.setdefault(None, [0, 0])[1 - int(y)] += n
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(
                 [c[0] for c in counts.values()], pa.int64()), pa.array([c[1] for c in counts.values()], pa.int64())],
                 names=["term", "toxic", "clean"])
 
 
-def vector(words: int, tf: dict[int, int], idf: np.ndarray, others: float) -> tuple[tuple[int, float], ...]:
-    """Unit vector by term id; the last id is the coordinate of all other words."""
-    v = {t: (1 + math.log(n)) * idf[t] for t, n in tf.items()}
-    v[len(idf)] = others * math.log(2 + words)
-    norm = math.sqrt(sum(x * x for x in v.values()))
-    return tuple(sorted((t, round(x / norm, 6)) for t, x in v.items()))
+def _frequencies(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
+    """Texts of ``docs`` (column ``text``) that have each known term."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(len(known), np.int64)
+        for batch in batches:
+            texts = filled(batch.column("text"))
+            for lo, hi in slices(texts):
+                df += np.bincount(_occurrences(texts.slice(lo, hi - lo), known)[1], minlength=len(known))
+        has = np.flatnonzero(df)
+        for at in range(0, len(has), 100_000):
+            part = has[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(df[part], pa.int64())],
+                                             names=["term", "n"])
+    found = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(known))
+    df[found["term"].to_numpy()] = found["n"].to_numpy()
+    return df
 
 
 class Index:
-    """Distinct example vectors, their label counts, and block-max postings."""
+    """Distinct example vectors with their counts of labels, in blocks with maxima.
 
-    def __init__(self, examples: dict[tuple, list[int]], n_terms: int):
-        self.size, self.n_terms = len(examples), n_terms
+    ``vectors`` are (term ids ascending, weights) arrays; ``toxic`` and ``count`` are their numbers of texts."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], toxic, count, n_terms: int):
         # neighbours in the index share their strongest terms, so block maxima are tight
-        order = sorted(examples, key=lambda v: (max(v, key=lambda x: (x[1], x[0]))[0], v))
-        self.toxic = np.array([examples[v][0] for v in order], float)
-        self.count = np.array([sum(examples[v]) for v in order], float)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for e, v in enumerate(order):
-            for t, w in v:
-                postings.setdefault(t, []).append((e, w))
-        self.blocks = -(-self.size // BLOCK)
-        self.postings, self.maxima = {}, {}
-        for t, entries in postings.items():
-            e, w = np.array([x[0] for x in entries]), np.array([x[1] for x in entries])
-            self.postings[t] = (e, w, np.searchsorted(e, np.arange(self.blocks + 1) * BLOCK))
-            top = np.zeros(self.blocks)
-            np.maximum.at(top, e // BLOCK, w)
-            self.maxima[t] = top
-
-    def similar(self, query: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest by number of labelled texts, with all ties at the last."""
-        terms = [(t, w) for t, w in query if t in self.postings]
-        bound = np.zeros(self.blocks)
-        for t, w in terms:
-            bound += w * self.maxima[t]
+        self.order = np.array(sorted(range(len(vectors)), key=lambda e: (
+            int(vectors[e][0][np.argmax(vectors[e][1])]) if len(vectors[e][0]) else -1, e)), np.int64)
+        self.size, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
+        self.toxic, self.count = np.asarray(toxic, float)[self.order], np.asarray(count, float)[self.order]
+        lengths = [len(vectors[e][0]) for e in self.order]
+        example = np.repeat(np.arange(self.size, dtype=np.int32), lengths)
+        empty = [np.zeros(0)]
+        terms = np.concatenate([vectors[e][0] for e in self.order] or empty).astype(np.int64)
+        by_term = np.argsort(terms, kind="stable")
+        terms, self.example = terms[by_term], example[by_term]
+        self.weight = np.concatenate([vectors[e][1] for e in self.order] or empty).astype(np.float32)[by_term]
+        block = self.example // BLOCK
+        new = np.flatnonzero(np.diff(terms, prepend=-1) | np.diff(block, prepend=-1))
+        self.start, self.block = np.append(new, len(terms)).astype(np.int64), block[new]
+        self.top = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0, np.float32)
+        self.first = np.searchsorted(terms[new], np.arange(n_terms + 1))
+
+    def _floor(self, scores: np.ndarray, k: int) -> float:
+        """Similarity of the example that holds the k-th nearest text; 0 if fewer are similar."""
+        near = np.flatnonzero(scores > 0)
+        near = near[np.argsort(-scores[near], kind="stable")]
+        at = int(np.searchsorted(np.cumsum(self.count[near]), k))
+        return float(scores[near[at]]) if at < len(near) else 0.0
+
+    def similar(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, cosines) of the k nearest by number of labelled texts, nearest first, with all ties at the last."""
+        runs = self.first[terms + 1] - self.first[terms]
+        entry, q = _spread(self.first[terms], runs), np.repeat(weights, runs)
+        block = self.block[entry]
+        bound = np.bincount(block, q * self.top[entry], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        found_e, found_s, floor, seen = [], [], 0.0, 0.0
-        for start in range(0, len(order), 8):
-            chunk = order[start:start + 8]
-            if bound[chunk[0]] <= 0 or seen >= k and bound[chunk[0]] < floor - 1e-9:
+        scores, floor, done, step = np.zeros(self.size), 0.0, 0, 4
+        while done < len(order):
+            chosen = order[done:done + step]
+            chosen = chosen[(bound[chosen] > 0) & (bound[chosen] >= floor - 1e-9)]
+            if not len(chosen):
                 break
-            for b in chunk.tolist():
-                if seen >= k and bound[b] < floor - 1e-9:
-                    continue
-                s = np.zeros(min(BLOCK, self.size - b * BLOCK))
-                for t, w in terms:
-                    e, x, cuts = self.postings[t]
-                    lo, hi = cuts[b], cuts[b + 1]
-                    s[e[lo:hi] - b * BLOCK] += w * x[lo:hi]
-                found_e.append(np.arange(len(s)) + b * BLOCK)
-                found_s.append(s)
-            e, s = np.concatenate(found_e), np.concatenate(found_s)
-            rank = np.lexsort((e, -s))
-            seen = float(self.count[e].sum())
-            at = int(np.searchsorted(np.cumsum(self.count[e[rank]]), k))
-            floor = s[rank[min(at, len(rank) - 1)]]
-            keep = s >= floor - 1e-9 if seen >= k else s > 0
-            found_e, found_s = [e[keep]], [s[keep]]
-        return (found_e[0], found_s[0]) if found_e else (np.zeros(0, int), np.zeros(0))
+            visit = np.zeros(self.blocks, bool)
+            visit[chosen] = True
+            use = np.flatnonzero(visit[block])
+            at = entry[use]
+            lengths = self.start[at + 1] - self.start[at]
+            posting = _spread(self.start[at], lengths)
+            scores += np.bincount(self.example[posting], np.repeat(q[use], lengths) * self.weight[posting], self.size)
+            floor = self._floor(scores, k)
+            done, step = done + step, step * 2
+        near = np.flatnonzero((scores > 0) & (scores >= floor - 1e-9))
+        near = near[np.argsort(-scores[near], kind="stable")]
+        return near, scores[near]
 
 
 class Model:
-    def __init__(self, terms: list[str], idf: np.ndarray, others: float, examples: dict[tuple, list[int]], rate: float,
-                 k: int, power: float, prior: float):
-        self.terms, self.idf, self.others, self.rate = terms, idf, others, rate
+    """``known``: term to id; ``strength``: idf times emphasis of each term; ``ids``: an id for each example vector."""
+
+    def __init__(self, known: dict[str, int], strength: np.ndarray, rate: float, k: int, power: float, prior: float):
+        self.known, self.strength, self.rate = known, strength, rate
         self.k, self.power, self.prior = k, power, prior
-        self.known = {t: i for i, t in enumerate(terms)}
-        self.index = Index(examples, len(terms))
+        self.index, self.ids = Index([], [], [], len(known)), pa.array([], pa.int64())
 
-    def score(self, query: tuple) -> float:
-        e, s = self.index.similar(query, self.k)
-        w = np.maximum(s, 0) ** self.power
+    def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Unit vectors (term ids ascending, weights) of the texts of a slice."""
+        at, terms, tf = _occurrences(texts, self.known)
+        weights, out = (1 + np.log(tf)) * self.strength[terms], []
+        for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            t, w = terms[lo:hi], weights[lo:hi]
+            t, w = t[w > 0], w[w > 0]
+            out.append((t, np.round(w / math.sqrt(float(w @ w)), 7) if len(w) else w))
+        return out
+
+    def add_examples(self, ids: pa.Array, vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) -> None:
+        """Index the examples, given by ascending id; equal vectors become one, under its first id."""
+        place: dict[tuple[bytes, bytes], int] = {}
+        first, toxic, count = [], [], []
+        for e, ((t, w), y) in enumerate(zip(vectors, labels, strict=True)):
+            at = place.setdefault((t.tobytes(), w.tobytes()), len(first))
+            if at == len(first):
+                first.append(e)
+                toxic.append(0)
+                count.append(0)
+            toxic[at] += y
+            count[at] += 1
+        self.index = Index([vectors[e] for e in first], toxic, count, len(self.known))
+        self.ids = ids.take(pa.array(np.array(first, np.int64)[self.index.order], pa.int64()))
+
+    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """(score, places, cosines) with the neighbours that vote."""
+        e, s = self.index.similar(terms, weights, self.k)
+        w = s ** self.power
         votes, toxic = float((w * self.index.count[e]).sum()), float((w * self.index.toxic[e]).sum())
-        return (toxic + self.prior * self.rate) / (votes + self.prior)
+        return (toxic + self.prior * self.rate) / (votes + self.prior), e, s
 
 
 def fit(labels: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label",
-        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = NEAREST, power: float = 4.0,
-        prior: float = 1.0, least: int = 4, ratio: float = 1.0) -> Model:
-    """Model of at most ``max_examples`` of ``labels``, with the texts of ``docs``. The sample is drawn before the
-    texts are joined (broadcast: it has ``max_examples`` rows at most); what reaches the driver is bounded by the two
-    maxima."""
+        max_examples: int = MAX_EXAMPLES, max_chars: int = MAX_CHARS, k: int = NEAREST, power: float = 2.0,
+        prior: float = 0.03, floor: float = 0.1) -> Model:
+    """Model of at most ``max_examples`` ids of ``labels``, drawn by hash of the id before the texts of ``docs`` are joined
+    (broadcast: ``max_examples`` rows). Of these as many, in order of hash, as hold ``max_chars`` characters together (one at
+    least) are examples, with their whole texts. These two bound what reaches the driver: the distinct terms of the
+    examples with three counts, and the vectors. Frequencies are counted over all of ``docs``."""
     sample = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-              .select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_examples))
-    rows = saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-                 .join(F.broadcast(sample), "doc_id"))
-    counts = rows.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    words = counts.where("term IS NULL").first()
-    n = rows.agg(F.sum("label"), F.count(F.lit(1))).first()
-    if not n[1]:
-        return Model([], np.zeros(0), 1.0, {((0, 1.0),): [0, 1]}, 0.5, k, power, prior)
-    rate = n[0] / n[1]
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    gain = F.ln(a / b) - math.log((words.a + 1) / (words.b + 1))
-    sure = gain - 1.64 * F.sqrt(1 / a + 1 / b)
-    kept = (counts.where(F.col("term").isNotNull() & (F.col("a") >= least)).withColumn("sure", sure)
-            .where(F.col("sure") >= ratio).orderBy(F.desc("sure"), "term").limit(max_terms).collect())
-    terms = [r.term for r in kept]
-    # rarer among the clean counts more
-    idf = np.array([math.log((1 + n[1]) / (1 + r.b)) for r in kept])
-    others = float(idf.mean()) * 0.25 if len(kept) else 1.0
-    known = {t: i for i, t in enumerate(terms)}
+              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
+              .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(max_examples))
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = saved(named.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label", "place")
+                 .agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
+    sizes = sorted((r.place, r.n) for r in rows.select("place", F.length("text").alias("n")).collect())
+    if not sizes:
+        return Model({}, np.zeros(0), 0.5, k, power, prior)
+    fits = int(np.searchsorted(np.cumsum([n for _, n in sizes]), max_chars, side="right"))
+    rows = rows.where(F.col("place") <= sizes[max(fits, 1) - 1][0])
+    n, toxic = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
+    counts = rows.mapInArrow(_example_terms, "term string, toxic long, clean long").groupBy("term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).orderBy("term").toArrow()
+    known = {t: i for i, t in enumerate(counts["term"].to_pylist())}
+    a, b = counts["toxic"].to_numpy() + 0.5, counts["clean"].to_numpy() + 0.5
+    sure = np.log(a / b) - math.log((toxic + 1) / (n - toxic + 1)) - 1.64 * np.sqrt(1 / a + 1 / b)
+    idf = np.log((1 + docs.count()) / (1 + _frequencies(named, known))) if known else np.zeros(0)
+    model = Model(known, np.maximum(idf, 0) * (floor + np.maximum(sure, 0)), toxic / n, k, power, prior)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = filled(batch.column("text"))
             for lo, hi in slices(texts):
-                v = [vector(n, tf, idf, others) for n, tf in _features(texts.slice(lo, hi - lo), known)]
+                part = batch.slice(lo, hi - lo)
+                v = model.vectors(texts.slice(lo, hi - lo))
+                at = pa.array(bounds(np.array([len(t) for t, _ in v])), pa.int32())
+                flat = [np.concatenate(x) for x in zip(*v, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([[t for t, _ in x] for x in v], pa.list_(pa.int32())),
-                     pa.array([[w for _, w in x] for x in v], pa.list_(pa.float64())),
-                     batch.column("label").slice(lo, hi - lo).cast(pa.int32())], names=["terms", "weights", "label"])
-    merged: dict[tuple, list[int]] = {}
-    for r in rows.mapInArrow(vectors, "terms array<int>, weights array<double>, label int").collect():
-        merged.setdefault(tuple(zip(r.terms, r.weights, strict=True)), [0, 0])[1 - r.label] += 1
-    return Model(terms, idf, others, merged, rate, k, power, prior)
+                    [part.column("doc_id"), part.column("label"), pa.ListArray.from_arrays(at, pa.array(flat[0], pa.int32())),
+                     pa.ListArray.from_arrays(at, pa.array(flat[1], pa.float64()))],
+                    names=["doc_id", "label", "terms", "weights"])
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.select("doc_id", "label", "text").mapInArrow(
+        vectors, f"doc_id {kind}, label int, terms array<int>, weights array<double>").orderBy("doc_id").toArrow()
+    found = found.combine_chunks()
+    lists = [[x.values.to_numpy(zero_copy_only=False) for x in found[c]] for c in ("terms", "weights")]
+    model.add_examples(found["doc_id"].combine_chunks(), [(t.astype(np.int64), w) for t, w in zip(*lists, strict=True)],
+                       found["label"].to_pylist())
+    return model
 
 
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """``df`` with a struct of the score and the kept terms of its text (at most twenty, strongest first)."""
+    """``df`` with a struct of the score and the neighbours that voted, nearest first."""
+    ids, index = model.ids, model.index
+    kind = {"int64": "long", "int32": "int", "int16": "smallint", "int8": "tinyint"}.get(str(ids.type), "string")
+    if kind == "string":
+        ids = ids.cast(pa.string())
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        seen: dict[tuple, float] = {}
         for batch in batches:
-            texts, scores, evidence = filled(batch), [], []
+            texts, scores, places, cosines = filled(batch), [], [], []
             for lo, hi in slices(texts):
-                for n, tf in _features(texts.slice(lo, hi - lo), model.known):
-                    q = vector(n, tf, model.idf, model.others)
-                    if q not in seen:
-                        if len(seen) > 100_000:
-                            seen.clear()
-                        seen[q] = model.score(q)
-                    scores.append(seen[q])
-                    evidence.append([model.terms[t] for t in sorted(tf, key=lambda t: (-model.idf[t] * tf[t], t))][:20])
-            yield pa.StructArray.from_arrays([pa.array(scores, pa.float64()),
-                                              pa.array(evidence, pa.list_(pa.string()))], ["score", "evidence"])
-    return df.withColumn(out, F.arrow_udf(run, "struct<score:double,evidence:array<string>>")(F.col(text)))
+                seen: dict[tuple[bytes, bytes], tuple] = {}
+                for t, w in model.vectors(texts.slice(lo, hi - lo)):
+                    key = t.tobytes(), w.tobytes()
+                    if key not in seen:
+                        seen[key] = model.score(t, w)
+                    s, e, c = seen[key]
+                    scores.append(s)
+                    places.append(e)
+                    cosines.append(c)
+            at = bounds(np.array([len(e) for e in places], np.int64))
+            e = np.concatenate(places or [np.zeros(0, np.int64)])
+            voters = pa.StructArray.from_arrays(
+                [ids.take(pa.array(e, pa.int64())), pa.array(np.concatenate(cosines or [np.zeros(0)])),
+                 pa.array(index.toxic[e].astype(np.int32)), pa.array(index.count[e].astype(np.int32))],
+                ["id", "cosine", "toxic", "texts"])
+            yield pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.ListArray.from_arrays(
+                pa.array(at, pa.int32()), voters)], ["score", "evidence"])
+    voter = f"struct<id:{kind},cosine:double,toxic:int,texts:int>"
+    return df.withColumn(out, F.arrow_udf(run, f"struct<score:double,evidence:array<{voter}>>")(F.col(text)))
