@@ -10,8 +10,8 @@ Fit, on a bounded sample of labelled rows (the only use of labels; see ``fit`` f
 * equal vectors are one posting with its counts of labels. A term's postings are cut into blocks of consecutive examples,
   each with its largest weight
 
-Score: blocks are visited by upper bound, the sum of query weight times block maximum, and left when it falls below the
-k-th best similarity, so the k nearest are exact, with all ties at the k-th. Votes weigh similarity^``power``; the score is the
+Score: blocks are visited by upper bound, made of query weight times block maximum, and left when it falls below the
+k-th best similarity, so the k nearest are exact, with all ties (to ``TIE``) at the k-th. Votes weigh similarity^``power``; the score is the
 weighted share of toxic neighbours, drawn to the base rate by a prior of ``prior`` votes. Evidence is the neighbours that
 voted: id, cosine, toxic texts and texts of each (the smallest id stands for equal vectors).
 
@@ -34,6 +34,8 @@ from barlake.llm.text import bounds, coded_words, filled, slices
 
 MAX_EXAMPLES, MAX_CHARS, NEAREST, BLOCK = 5000, 50_000_000, 25, 64
 STEM = 5
+# Terms stored as arrays, blocks visited before the floor is known, queries looked up together, cosines taken as equal.
+DENSE, LEAD, BATCH, TIE = 512, 8, 64, 1e-6
 _EDGE = ".,;:!?\"'()[]{}|#$%&*<>-_=+/\\~`^0123456789"
 
 
@@ -104,7 +106,8 @@ def _frequencies(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
 class Index:
     """Distinct example vectors with their counts of labels, in blocks with maxima.
 
-    ``vectors`` are (term ids ascending, weights) arrays; ``toxic`` and ``count`` are their numbers of texts."""
+    ``vectors`` are (term ids ascending, weights) arrays; ``toxic`` and ``count`` are their numbers of texts. The
+    ``DENSE`` most frequent terms keep their postings as one array a block, all others as lists; this changes no result."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], toxic, count, n_terms: int):
         # neighbours in the index share their strongest terms, so block maxima are tight
@@ -112,51 +115,70 @@ class Index:
             int(vectors[e][0][np.argmax(vectors[e][1])]) if len(vectors[e][0]) else -1, e)), np.int64)
         self.size, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
         self.toxic, self.count = np.asarray(toxic, float)[self.order], np.asarray(count, float)[self.order]
-        lengths = [len(vectors[e][0]) for e in self.order]
-        example = np.repeat(np.arange(self.size, dtype=np.int32), lengths)
+        example = np.repeat(np.arange(self.size, dtype=np.int32), [len(vectors[e][0]) for e in self.order])
         empty = [np.zeros(0)]
         terms = np.concatenate([vectors[e][0] for e in self.order] or empty).astype(np.int64)
-        by_term = np.argsort(terms, kind="stable")
-        terms, self.example = terms[by_term], example[by_term]
-        self.weight = np.concatenate([vectors[e][1] for e in self.order] or empty).astype(np.float32)[by_term]
-        block = self.example // BLOCK
-        new = np.flatnonzero(np.diff(terms, prepend=-1) | np.diff(block, prepend=-1))
-        self.start, self.block = np.append(new, len(terms)).astype(np.int64), block[new]
-        self.top = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0, np.float32)
-        self.first = np.searchsorted(terms[new], np.arange(n_terms + 1))
-
-    def _floor(self, scores: np.ndarray, k: int) -> float:
-        """Similarity of the example that holds the k-th nearest text; 0 if fewer are similar."""
-        near = np.flatnonzero(scores > 0)
-        near = near[np.argsort(-scores[near], kind="stable")]
-        at = int(np.searchsorted(np.cumsum(self.count[near]), k))
-        return float(scores[near[at]]) if at < len(near) else 0.0
-
-    def similar(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the k nearest by number of labelled texts, nearest first, with all ties at the last."""
-        runs = self.first[terms + 1] - self.first[terms]
-        entry, q = _spread(self.first[terms], runs), np.repeat(weights, runs)
-        block = self.block[entry]
-        bound = np.bincount(block, q * self.top[entry], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        scores, floor, done, step = np.zeros(self.size), 0.0, 0, 4
-        while done < len(order):
-            chosen = order[done:done + step]
-            chosen = chosen[(bound[chosen] > 0) & (bound[chosen] >= floor - 1e-9)]
-            if not len(chosen):
-                break
-            visit = np.zeros(self.blocks, bool)
-            visit[chosen] = True
-            use = np.flatnonzero(visit[block])
-            at = entry[use]
-            lengths = self.start[at + 1] - self.start[at]
-            posting = _spread(self.start[at], lengths)
-            scores += np.bincount(self.example[posting], np.repeat(q[use], lengths) * self.weight[posting], self.size)
-            floor = self._floor(scores, k)
-            done, step = done + step, step * 2
-        near = np.flatnonzero((scores > 0) & (scores >= floor - 1e-9))
-        near = near[np.argsort(-scores[near], kind="stable")]
-        return near, scores[near]
+        weight = np.concatenate([vectors[e][1] for e in self.order] or empty).astype(np.float32)
+        frequency = np.bincount(terms, minlength=n_terms)
+        frequent = np.argsort(-frequency, kind="stable")[:DENSE]
+        frequent = frequent[frequency[frequent] > 0]
+        self.slot = np.full(n_terms, -1, np.int32)
+        self.slot[frequent] = np.arange(len(frequent))
+        slot = self.slot[terms]
+        self.dense = np.zeros((self.blocks, len(frequent), BLOCK), np.float32)
+        kept = slot >= 0
+        self.dense[example[kept] // BLOCK, slot[kept], example[kept] % BLOCK] = weight[kept]
+        self.tops = np.ascontiguousarray(self.dense.max(axis=2).T)
+        by_term = np.argsort(terms[~kept], kind="stable")
+        self.example, self.weight = example[~kept][by_term], weight[~kept][by_term]
+        self.first = np.searchsorted(terms[~kept][by_term], np.arange(n_terms + 1))
+
+    def similar(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (term ids, weights) the (places, cosines) of the k nearest by number of labelled texts, nearest
+        first, with all ties at the last.
+
+        Listed postings are added up first. A block's bound is the largest of these sums in it plus query weight times
+        block maximum over the frequent terms; the ``LEAD`` blocks of largest bound give the floor, and of the others those
+        that reach it are visited."""
+        n, width = len(queries), self.blocks * BLOCK
+        if not n or not self.blocks:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * n
+        rows = np.repeat(np.arange(n), [len(t) for t, _ in queries])
+        terms, weights = (np.concatenate(x) for x in zip(*queries, strict=True))
+        slot = self.slot[terms]
+        frequent, listed = slot >= 0, slot < 0
+        q = np.zeros((n, len(self.tops)), np.float32)
+        q[rows[frequent], slot[frequent]] = weights[frequent]
+        runs = self.first[terms[listed] + 1] - self.first[terms[listed]]
+        posting = _spread(self.first[terms[listed]], runs)
+        sums = np.bincount(np.repeat(rows[listed] * width, runs) + self.example[posting],
+                           np.repeat(weights[listed], runs) * self.weight[posting], n * width).reshape(n, self.blocks, BLOCK)
+        bound = sums.max(axis=2) + q @ self.tops
+        scores = np.zeros_like(sums)
+
+        def visit(need: np.ndarray) -> None:
+            for b in np.flatnonzero(need.any(axis=0)).tolist():
+                who = np.flatnonzero(need[:, b])
+                scores[who, b] = sums[who, b] + q[who] @ self.dense[b]
+        lead = np.argsort(-bound, axis=1, kind="stable")[:, :LEAD]
+        need = np.zeros(bound.shape, bool)
+        np.put_along_axis(need, lead, True, axis=1)
+        visit(need)
+        best = np.take_along_axis(scores, lead[:, :, None], axis=1).reshape(n, -1)
+        # every example holds a text at least, so k examples reach no lower than k texts
+        floor = -np.partition(-best, min(k, best.shape[1]) - 1, axis=1)[:, min(k, best.shape[1]) - 1]
+        if best.shape[1] < k:
+            floor[:] = 0
+        visit(~need & (bound > 0) & (bound >= floor[:, None] - TIE))
+        out = []
+        for s, low in zip(scores.reshape(n, width), floor.tolist(), strict=True):
+            near = np.flatnonzero((s > 0) & (s >= low - TIE))
+            near = near[np.argsort(-s[near], kind="stable")]
+            at = int(np.searchsorted(np.cumsum(self.count[near]), k))
+            if at < len(near):
+                near = near[:np.searchsorted(-s[near], TIE - s[near[at]], side="right")]
+            out.append((near, s[near]))
+        return out
 
 
 class Model:
@@ -192,12 +214,13 @@ class Model:
         self.index = Index([vectors[e] for e in first], toxic, count, len(self.known))
         self.ids = ids.take(pa.array(np.array(first, np.int64)[self.index.order], pa.int64()))
 
-    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """(score, places, cosines) with the neighbours that vote."""
-        e, s = self.index.similar(terms, weights, self.k)
-        w = s ** self.power
-        votes, toxic = float((w * self.index.count[e]).sum()), float((w * self.index.toxic[e]).sum())
-        return (toxic + self.prior * self.rate) / (votes + self.prior), e, s
+    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """(score, places, cosines) of each query, with the neighbours that vote."""
+        for lo in range(0, len(queries), BATCH):
+            for e, s in self.index.similar(queries[lo:lo + BATCH], self.k):
+                w = s ** self.power
+                votes, toxic = float((w * self.index.count[e]).sum()), float((w * self.index.toxic[e]).sum())
+                yield (toxic + self.prior * self.rate) / (votes + self.prior), e, s
 
 
 def fit(labels: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label",
@@ -260,12 +283,14 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity"
         for batch in batches:
             texts, scores, places, cosines = filled(batch), [], [], []
             for lo, hi in slices(texts):
-                seen: dict[tuple[bytes, bytes], tuple] = {}
+                place: dict[tuple[bytes, bytes], int] = {}
+                queries, which = [], []
                 for t, w in model.vectors(texts.slice(lo, hi - lo)):
-                    key = t.tobytes(), w.tobytes()
-                    if key not in seen:
-                        seen[key] = model.score(t, w)
-                    s, e, c = seen[key]
+                    which.append(place.setdefault((t.tobytes(), w.tobytes()), len(queries)))
+                    if which[-1] == len(queries):
+                        queries.append((t, w))
+                found = list(model.scores(queries))
+                for s, e, c in (found[at] for at in which):
                     scores.append(s)
                     places.append(e)
                     cosines.append(c)
