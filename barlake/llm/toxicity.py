@@ -35,7 +35,8 @@ from barlake.llm.text import bounds, coded_words, filled, slices
 MAX_EXAMPLES, MAX_CHARS, NEAREST, BLOCK = 5000, 50_000_000, 25, 64
 STEM = 5
 # Terms stored as arrays, blocks visited before the floor is known, queries looked up together, cosines taken as equal.
-DENSE, LEAD, BATCH, TIE = 512, 8, 64, 1e-6
+DENSE, LEAD, BATCH, TIE = 512, 8, 128, 1e-6
+ONE_THREAD = 1 << 18
 _EDGE = ".,;:!?\"'()[]{}|#$%&*<>-_=+/\\~`^0123456789"
 
 
@@ -51,6 +52,17 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` by a few rows at a time, each product too small to be given to several threads: threads that wait for
+    such short products cost as much CPU time again."""
+    rows = max(1, ONE_THREAD // max(1, b.size))
+    whole = len(a) // rows * rows
+    out = np.empty((len(a), b.shape[1]), a.dtype)
+    out[:whole] = np.matmul(a[:whole].reshape(whole // rows, rows, a.shape[1]), b).reshape(whole, b.shape[1])
+    out[whole:] = a[whole:] @ b
+    return out
+
+
 def _occurrences(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(offsets of the texts, term ids, tf) of the distinct terms of each text of a slice."""
     per_row, codes, vocab = coded_words(pc.utf8_lower(texts))
@@ -149,17 +161,22 @@ class Index:
         frequent, listed = slot >= 0, slot < 0
         q = np.zeros((n, len(self.tops)), np.float32)
         q[rows[frequent], slot[frequent]] = weights[frequent]
-        runs = self.first[terms[listed] + 1] - self.first[terms[listed]]
-        posting = _spread(self.first[terms[listed]], runs)
-        sums = np.bincount(np.repeat(rows[listed] * width, runs) + self.example[posting],
-                           np.repeat(weights[listed], runs) * self.weight[posting], n * width).reshape(n, self.blocks, BLOCK)
-        bound = sums.max(axis=2) + q @ self.tops
+        sums, at = np.zeros((n, width)), 0
+        for row, (t, w) in enumerate(queries):
+            rare = listed[at:at + len(t)]
+            at += len(t)
+            starts = self.first[t[rare]]
+            runs = self.first[t[rare] + 1] - starts
+            posting = _spread(starts, runs)
+            sums[row] = np.bincount(self.example[posting], np.repeat(w[rare], runs) * self.weight[posting], width)
+        sums = sums.reshape(n, self.blocks, BLOCK)
+        bound = sums.max(axis=2) + _product(q, self.tops)
         scores = np.zeros_like(sums)
 
         def visit(need: np.ndarray) -> None:
             for b in np.flatnonzero(need.any(axis=0)).tolist():
                 who = np.flatnonzero(need[:, b])
-                scores[who, b] = sums[who, b] + q[who] @ self.dense[b]
+                scores[who, b] = sums[who, b] + _product(q[who], self.dense[b])
         lead = np.argsort(-bound, axis=1, kind="stable")[:, :LEAD]
         need = np.zeros(bound.shape, bool)
         np.put_along_axis(need, lead, True, axis=1)
