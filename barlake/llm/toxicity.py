@@ -63,19 +63,17 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _occurrences(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(offsets of the texts, term ids, tf) of the distinct terms of each text of a slice."""
+def _occurrences(texts: pa.Array, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets of the texts, places in ``names``, tf) of the distinct terms of each text of a slice, as ``terms_of`` gives
+    them, for terms that are in ``names``."""
     per_row, codes, vocab = coded_words(pc.utf8_lower(texts))
-    get = known.get
-    ids, at = [], [0]
-    for word in vocab.to_pylist():
-        ids += [t for x in terms_of(word) if (t := get(x)) is not None]
-        at.append(len(ids))
-    ids, at = np.array(ids, np.int64), np.array(at, np.int64)
-    lengths = (at[1:] - at[:-1])[codes]
-    rows = np.repeat(np.repeat(np.arange(len(per_row)), per_row), lengths)
-    width = max(len(known), 1)
-    found, tf = np.unique(rows * width + ids[_spread(at[:-1][codes], lengths)], return_counts=True)
+    words = pc.utf8_trim(vocab, characters=_EDGE)
+    stems = pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, STEM), *(pa.scalar(x, words.type) for x in ("~", "")))
+    ids = np.stack([pc.fill_null(pc.index_in(x, value_set=names), -1).to_numpy() for x in (words, stems)], axis=1)
+    ids[pc.less(pc.utf8_length(words), STEM).to_numpy(zero_copy_only=False), 1] = -1
+    ids = ids[codes].ravel().astype(np.int64)
+    rows, has, width = np.repeat(np.arange(len(per_row)), 2 * per_row), ids >= 0, max(len(names), 1)
+    found, tf = np.unique(rows[has] * width + ids[has], return_counts=True)
     return np.searchsorted(found, np.arange(len(per_row) + 1) * width), found % width, tf
 
 
@@ -96,21 +94,21 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 names=["term", "toxic", "clean"])
 
 
-def _frequencies(docs: DataFrame, known: dict[str, int]) -> np.ndarray:
+def _frequencies(docs: DataFrame, names: pa.Array) -> np.ndarray:
     """Texts of ``docs`` (column ``text``) that have each known term."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(len(known), np.int64)
+        df = np.zeros(len(names), np.int64)
         for batch in batches:
             texts = filled(batch.column("text"))
             for lo, hi in slices(texts):
-                df += np.bincount(_occurrences(texts.slice(lo, hi - lo), known)[1], minlength=len(known))
+                df += np.bincount(_occurrences(texts.slice(lo, hi - lo), names)[1], minlength=len(names))
         has = np.flatnonzero(df)
         for at in range(0, len(has), 100_000):
             part = has[at:at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(df[part], pa.int64())],
                                              names=["term", "n"])
     found = docs.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(known))
+    df = np.zeros(len(names))
     df[found["term"].to_numpy()] = found["n"].to_numpy()
     return df
 
@@ -199,16 +197,16 @@ class Index:
 
 
 class Model:
-    """``known``: term to id; ``strength``: idf times emphasis of each term; ``ids``: an id for each example vector."""
+    """``names``: the terms; ``strength``: idf times emphasis of each term; ``ids``: an id for each example vector."""
 
-    def __init__(self, known: dict[str, int], strength: np.ndarray, rate: float, k: int, power: float, prior: float):
-        self.known, self.strength, self.rate = known, strength, rate
+    def __init__(self, names: pa.Array, strength: np.ndarray, rate: float, k: int, power: float, prior: float):
+        self.names, self.strength, self.rate = names, strength, rate
         self.k, self.power, self.prior = k, power, prior
-        self.index, self.ids = Index([], [], [], len(known)), pa.array([], pa.int64())
+        self.index, self.ids = Index([], [], [], len(names)), pa.array([], pa.int64())
 
     def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Unit vectors (term ids ascending, weights) of the texts of a slice."""
-        at, terms, tf = _occurrences(texts, self.known)
+        at, terms, tf = _occurrences(texts, self.names)
         weights, out = (1 + np.log(tf)) * self.strength[terms], []
         for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             t, w = terms[lo:hi], weights[lo:hi]
@@ -228,7 +226,7 @@ class Model:
                 count.append(0)
             toxic[at] += y
             count[at] += 1
-        self.index = Index([vectors[e] for e in first], toxic, count, len(self.known))
+        self.index = Index([vectors[e] for e in first], toxic, count, len(self.names))
         self.ids = ids.take(pa.array(np.array(first, np.int64)[self.index.order], pa.int64()))
 
     def scores(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
@@ -255,17 +253,17 @@ def fit(labels: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str =
                  .agg(F.min(F.coalesce("text", F.lit(""))).alias("text")))
     sizes = sorted((r.place, r.n) for r in rows.select("place", F.length("text").alias("n")).collect())
     if not sizes:
-        return Model({}, np.zeros(0), 0.5, k, power, prior)
+        return Model(pa.array([], pa.large_string()), np.zeros(0), 0.5, k, power, prior)
     fits = int(np.searchsorted(np.cumsum([n for _, n in sizes]), max_chars, side="right"))
     rows = rows.where(F.col("place") <= sizes[max(fits, 1) - 1][0])
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     counts = rows.mapInArrow(_example_terms, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).orderBy("term").toArrow()
-    known = {t: i for i, t in enumerate(counts["term"].to_pylist())}
+    names = pa.array(counts["term"].to_pylist(), pa.large_string())
     a, b = counts["toxic"].to_numpy() + 0.5, counts["clean"].to_numpy() + 0.5
     sure = np.log(a / b) - math.log((toxic + 1) / (n - toxic + 1)) - 1.64 * np.sqrt(1 / a + 1 / b)
-    idf = np.log((1 + docs.count()) / (1 + _frequencies(named, known))) if known else np.zeros(0)
-    model = Model(known, np.maximum(idf, 0) * (floor + np.maximum(sure, 0)), toxic / n, k, power, prior)
+    idf = np.log((1 + docs.count()) / (1 + _frequencies(named, names))) if len(names) else np.zeros(0)
+    model = Model(names, np.maximum(idf, 0) * (floor + np.maximum(sure, 0)), toxic / n, k, power, prior)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -164,4 +164,4 @@ def test_repeated_ids(spark, rows):
     docs = rows(["b vile", "a vile", "c"], ids=[1, 1, 2])
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (None, 1), (2, None)], "doc_id long, label int")
     m = toxicity.fit(labels, docs)
-    assert m.index.count.sum() == 2 and m.index.toxic.sum() == 1 and "a" in m.known and "b" not in m.known
+    assert m.index.count.sum() == 2 and m.index.toxic.sum() == 1 and "a" in m.names.to_pylist() and "b" not in m.names.to_pylist()
