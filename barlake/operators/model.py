@@ -12,7 +12,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -25,6 +24,7 @@ from barlake.operators.marts import latest_features
 from barlake.operators.metrics import classification_metrics, mean_auc, roc_auc, roc_auc_by
 from barlake.operators.serving import accepted_requests, decide
 from barlake.schemas import FEATURE_COLUMNS, LABEL_COLUMN
+from barlake.session import checkpoint_dir
 
 # Reference hyper-parameters where MLlib has an equivalent: 400 rounds,
 # learning rate 0.03, row and column sampling 0.8, seed 42; 31 leaves ~ depth 5.
@@ -35,6 +35,8 @@ SUBSAMPLE = 0.8
 FEATURE_SUBSET = "0.8"
 SEED = 42
 ROWS_PER_TASK = 50_000
+TASKS_PER_CORE = 2
+MAX_ROWS_PER_TASK = 1_000_000
 
 
 @dataclass
@@ -69,15 +71,32 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return decide(score(model, df))
 
 
-def _fit(train: DataFrame, rounds: int, rows: int) -> PipelineModel:
-    """One fit over cached input. Every round is a handful of jobs over the
-    whole input, so small inputs use few tasks (``ROWS_PER_TASK`` each)."""
-    data = ds.feature_matrix(train, keep=()).coalesce(max(1, math.ceil(rows / ROWS_PER_TASK))) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline(rounds).fit(data)
-    finally:
-        data.unpersist()
+def fit_tasks(rows: list[int], cores: int) -> list[int]:
+    """Tasks of each fit. Every round is a handful of jobs over the whole
+    input, so the fixed cost of a task counts 2,000 times in a fit: small
+    inputs use few tasks (``ROWS_PER_TASK`` each), and once the fits together
+    have ``TASKS_PER_CORE`` tasks a core, tasks grow rather than their number
+    (to ``MAX_ROWS_PER_TASK``)."""
+    per_task = max(ROWS_PER_TASK, math.ceil(sum(rows) / (TASKS_PER_CORE * cores)))
+    return [max(1, math.ceil(n / min(per_task, MAX_ROWS_PER_TASK))) for n in rows]
+
+
+def fit_input(train: DataFrame, rows: int, tasks: int) -> DataFrame:
+    """The feature matrix of the first ``rows`` rows in ``tasks`` equal runs of the time order. The files
+    of the frame are runs of it as well, so merging them would leave some tasks of a fold without rows and
+    others with several shares, and the slowest task sets the time of every job."""
+    if tasks == 1:
+        return ds.feature_matrix(train, keep=()).coalesce(1)
+    run = F.floor(F.col("row_idx") / math.ceil(rows / tasks)).cast("int")
+    return ds.feature_matrix(train, keep=("row_idx",)).repartitionById(tasks, run) \
+        .sortWithinPartitions("row_idx").drop("row_idx")
+
+
+def _fit(train: DataFrame, rounds: int, rows: int, tasks: int) -> PipelineModel:
+    """One fit over checkpointed input: the learner keeps its binned rows cached, but every task of its
+    2,000 jobs would carry (and report the metrics of) the plan that the input comes from."""
+    checkpoint_dir(train.sparkSession)
+    return pipeline(rounds).fit(fit_input(train, rows, tasks).checkpoint())
 
 
 def fit_many(trains: list[tuple[DataFrame, int]], rounds: int = ROUNDS, parallelism: int = 1) -> list[PipelineModel]:
@@ -85,10 +104,13 @@ def fit_many(trains: list[tuple[DataFrame, int]], rounds: int = ROUNDS, parallel
     a time: each fit is a chain of Spark jobs submitted from its own driver
     thread (the scheme of MLlib's CrossValidator ``parallelism``); seeded, so
     the models do not depend on it."""
+    if not trains:
+        return []
+    tasks = fit_tasks([n for _, n in trains], trains[0][0].sparkSession.sparkContext.defaultParallelism)
     if parallelism <= 1 or len(trains) <= 1:
-        return [_fit(t, rounds, n) for t, n in trains]
+        return [_fit(t, rounds, n, k) for (t, n), k in zip(trains, tasks)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda t: _fit(t[0], rounds, t[1]), trains))
+        return list(pool.map(lambda a: _fit(a[0][0], rounds, a[0][1], a[1]), zip(trains, tasks)))
 
 
 def walk_forward_cv(frame: DataFrame, rounds: int = ROUNDS, n: int | None = None,

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from barlake.operators import dataset as ds
 from barlake.operators import model as ml
@@ -57,3 +59,35 @@ def test_fit_parallelism_does_not_change_results(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == b[k] or (a[k] != a[k] and b[k] != b[k])      # NaN == NaN
+
+
+class _Sizes:
+    """Stands in for the learner: rows of each task of the fit's input, and the features in their order."""
+
+    def fit(self, data):
+        return data.rdd.mapPartitions(lambda rows: [[r.trade_count for r in rows]]).collect()
+
+
+def _runs(spark, rows, files):
+    """A frame in ``files`` runs of the time order."""
+    idx = F.col("id").cast("double")
+    return spark.range(0, rows, 1, files).select(F.col("id").alias("row_idx"), *[idx.alias(c) for c in ml.FEATURE_COLUMNS],
+                                                 F.lit(1).alias(ml.LABEL_COLUMN))
+
+
+def test_tasks_of_a_fold_hold_equal_runs(spark, monkeypatch):
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 50)
+    monkeypatch.setattr(ml, "pipeline", lambda rounds: _Sizes())
+    frame = _runs(spark, 800, 8)
+    # the first 200 rows lie in two of the eight files
+    small, one = ml.fit_many([(frame.where("row_idx < 200"), 200), (frame.where("row_idx < 40"), 40)])
+    assert small == [[float(i) for i in range(k, k + 50)] for k in range(0, 200, 50)]
+    assert [len(x) for x in one] == [40]
+
+
+def test_tasks_grow_rather_than_their_number():
+    assert ml.fit_tasks([40, 50_000, 60_000], 12) == [1, 1, 2]
+    rows = [1_300_000 * k // 6 for k in range(1, 6)] + [1_040_000]
+    now, more = ml.fit_tasks(rows, 12), ml.fit_tasks([2 * n for n in rows], 12)
+    assert sum(now) <= 24 + len(rows) and now == more
+    assert ml.fit_tasks([40_000_000], 12) == [40]      # a task's rows stay bounded
